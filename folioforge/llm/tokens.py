@@ -13,11 +13,12 @@ empty table gives an empty file. Other columns are not read.
 
 from __future__ import annotations
 
-import re
+import json
+import unicodedata
 import zlib
 from collections.abc import Iterator
 from itertools import chain
-from operator import itemgetter
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -27,22 +28,17 @@ from pyspark.sql import functions as F
 
 from folioforge.llm import simple8b
 from folioforge.llm._store import Scratch
-from folioforge.llm._text import slices
+from folioforge.llm._text import buffer_of, slices, words
 
 FILE_SCHEMA = "shard int, block int, shard_start long, doc_ids array<bigint>, lengths array<int>, n_ids long, payload binary"
 _FILE_ARROW = pa.schema([("shard", pa.int32()), ("block", pa.int32()), ("shard_start", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("lengths", pa.list_(pa.int32())), ("n_ids", pa.int64()), ("payload", pa.binary())])
 #: Ids after which a block closes, and words that a worker remembers.
 BLOCK_IDS = 1 << 16
-REMEMBERED = 500_000
+REMEMBERED = 1_000_000
 
 
-#: What lower-casing A-Z first could change: a mark that composes, or a special token's text.
-_KEEP_CASE = re.compile("[\u0300-\u036f]|<\\|")
-
-
-def _lowered(text: str) -> str:
-    """A-Z lower-cased where the tokenizer, which lower-cases later, can't tell; fewer words differ then."""
-    return text if _KEEP_CASE.search(text) else text.encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass")
+#: First bytes of the marks U+0300-U+036F, which compose with A-Z and a-z differently.
+_MARKS = (b"\xcc", b"\xcd")
 
 
 class WordEncoder:
@@ -50,51 +46,105 @@ class WordEncoder:
 
     Holds for tokenizers that never join text across a space or line end and
     drop both, which ``exact_for`` confirms on the tokenizer's own description.
+    Words are told apart by the hash of their bytes with A-Z lower-cased, which the
+    tokenizer does too; texts with combining marks or a special token's text, where
+    case could matter earlier, go word by word as they are. A new word is cut by the tokenizer's own pattern, and its new pieces go to the
+    tokenizer together; the suffix of their last ids tells them apart again.
     """
 
     def __init__(self, path: str) -> None:
+        import regex
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = False
+        kind = json.loads(Path(path).read_text())
+        self.pieces = regex.compile(kind["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]).findall
+        self.special = regex.compile(b"|".join(regex.escape(t["content"].encode().lower()) for t in kind["added_tokens"]) or b"(?!)", regex.IGNORECASE).search
+        suffix = kind["model"]["end_of_word_suffix"]
+        self.last = np.zeros(max(self.tokenizer.get_vocab().values()) + 1, bool)
+        self.last[[i for t, i in self.tokenizer.get_vocab().items() if t.endswith(suffix)]] = True
         self._forget()
 
     def _forget(self) -> None:
         self.known: dict[str, int] = {}
+        self.hashed: dict[int, int] = {}
         self.ids = np.zeros(1 << 16, np.int32)
         self.first = np.zeros(1 << 16, np.int64)
         self.n_ids = self.n_words = 0
 
-    def _learn(self, new: list[str]) -> None:
-        encoding = self.tokenizer.encode(" ".join(new), add_special_tokens=False)
-        ids = np.array(encoding.ids, np.int32)
-        begins = np.cumsum([0, *(len(w) + 1 for w in new)])[:-1]
-        at = np.fromiter(map(itemgetter(0), encoding.offsets), np.int64)
-        counts = np.bincount(np.searchsorted(begins, at, "right") - 1, minlength=len(new))
+    def _add(self, names: list[str], ids: np.ndarray, counts: np.ndarray) -> None:
         while self.n_ids + len(ids) > len(self.ids):
             self.ids = np.r_[self.ids, np.zeros_like(self.ids)]
-        while self.n_words + len(new) + 1 > len(self.first):
+        while self.n_words + len(names) + 1 > len(self.first):
             self.first = np.r_[self.first, np.zeros_like(self.first)]
         self.ids[self.n_ids : self.n_ids + len(ids)] = ids
-        self.first[self.n_words + 1 : self.n_words + 1 + len(new)] = self.n_ids + np.cumsum(counts)
-        self.known.update(zip(new, range(self.n_words, self.n_words + len(new)), strict=True))
+        self.first[self.n_words + 1 : self.n_words + 1 + len(names)] = self.n_ids + np.cumsum(counts)
+        self.known.update(zip(names, range(self.n_words, self.n_words + len(names)), strict=True))
         self.n_ids += len(ids)
-        self.n_words += len(new)
+        self.n_words += len(names)
 
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def _gather(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        sizes = self.first[which + 1] - self.first[which]
+        ends = np.cumsum(sizes)
+        return self.ids[np.repeat(self.first[which] - (ends - sizes), sizes) + np.arange(int(ends[-1]) if len(ends) else 0)], sizes
+
+    def _alone(self, names: list[str]) -> None:
+        each = [self.tokenizer.encode(w, add_special_tokens=False).ids for w in names]
+        self._add(names, np.array([i for ids in each for i in ids], np.int32), np.array([len(ids) for ids in each]))
+
+    def _learn(self, rest: list[str]) -> None:
+        normalize = self.tokenizer.normalizer.normalize_str
+        normal = [w if w.isascii() or w.islower() and unicodedata.is_normalized("NFC", w) else normalize(w) for w in rest]
+        cut = [[w] if w.isalpha() else self.pieces(w) for w in normal]
+        fresh = list(set().union(*cut).difference(self.known)) if cut else []
+        if fresh:
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(fresh)], add_special_tokens=False)[0].ids, np.int32)
+            ends = np.flatnonzero(self.last[ids]) + 1
+            if len(ends) == len(fresh) and ends[-1] == len(ids):
+                self._add(fresh, ids, np.diff(np.r_[0, ends]))
+            else:
+                self._alone(fresh)
+        made = [(w, c) for w, c in zip(rest, cut, strict=True) if w not in self.known]
+        if made:
+            flat, sizes = self._gather(np.fromiter(map(self.known.__getitem__, chain.from_iterable(c for _, c in made)), np.int64))
+            total = np.r_[0, np.cumsum(sizes)][np.r_[0, np.cumsum([len(c) for _, c in made])]]
+            self._add([w for w, _ in made], flat, np.diff(total))
+
+    def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts, and each text's count."""
-        parts = [_lowered(t).replace("\n", " ").split(" ") for t in texts]
         if self.n_words > REMEMBERED:
             self._forget()
+        data, _ = buffer_of(column)
+        whole = data.tobytes()
+        if any(m in whole for m in _MARKS) or self.special(whole):
+            return self._by_name(column.to_pylist())
+        hashes, rows, first, last = words(column)
+        value, at, which = np.unique(hashes, return_index=True, return_inverse=True)
+        found = list(map(self.hashed.get, value.tolist()))
+        missing = [k for k, x in enumerate(found) if x is None]
+        if missing:
+            names = [whole[a:b].lower().decode() for a, b in zip(first[at[missing]].tolist(), last[at[missing]].tolist(), strict=True)]
+            new = [w for w in names if w not in self.known]
+            if new:
+                self._learn(new)
+            for k, w in zip(missing, names, strict=True):
+                found[k] = self.known[w]
+            self.hashed.update(zip(value[missing].tolist(), (found[k] for k in missing), strict=True))
+        ids, sizes = self._gather(np.array(found, np.int64)[which])
+        total = np.r_[0, np.cumsum(sizes)]
+        return ids, np.diff(total[np.searchsorted(rows, np.arange(len(column) + 1))])
+
+    def _by_name(self, texts: list) -> tuple[np.ndarray, np.ndarray]:
+        parts = [(t or "").replace("\n", " ").split(" ") for t in texts]
         new = list(set().union(*parts).difference(self.known))
+        if whole := [w for w in new if self.special(w.encode()) or w.isascii() and w != w.lower()]:
+            self._alone(whole)
+            new = [w for w in new if w not in self.known]
         if new:
             self._learn(new)
-        which = np.fromiter(map(self.known.__getitem__, chain.from_iterable(parts)), np.int64)
-        sizes = self.first[which + 1] - self.first[which]
-        ends = np.cumsum(sizes)
-        flat = np.repeat(self.first[which] - (ends - sizes), sizes) + np.arange(int(ends[-1]) if len(ends) else 0)
-        bounds = np.cumsum([len(p) for p in parts])
-        return self.ids[flat], np.diff(np.r_[0, ends[bounds - 1]])
+        ids, sizes = self._gather(np.fromiter(map(self.known.__getitem__, chain.from_iterable(parts)), np.int64))
+        return ids, np.diff(np.r_[0, np.cumsum(sizes)[np.cumsum([len(p) for p in parts]) - 1]])
 
 
 class TextEncoder:
@@ -105,22 +155,20 @@ class TextEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
 
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        texts = [t or "" for t in column.to_pylist()]
         ids = [np.array(e.ids, np.int32) for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
         return np.concatenate(ids), np.array([len(x) for x in ids])
 
 
 def exact_for(path: str) -> bool:
     """Whether the tokenizer replaces white space by one space and drops it between words."""
-    import json
-
-    with open(path) as f:
-        kind = json.load(f)
+    kind = json.loads(Path(path).read_text())
     steps = (kind.get("normalizer") or {}).get("normalizers", [])
     split = ((kind.get("pre_tokenizer") or {}).get("pretokenizers") or [{}])[0]
     plain = any(s["type"] == "Lowercase" for s in steps) and all(s["type"] in ("NFC", "Lowercase") or s["type"] == "Replace" and s["pattern"] == {"Regex": "\\s+"} and s["content"] == " " for s in steps)
     added = all(not (t["lstrip"] or t["rstrip"] or t["single_word"] or t["normalized"]) and not any(c.isspace() for c in t["content"]) for t in kind.get("added_tokens", []))
-    return plain and added and kind.get("post_processor") is None and split.get("type") == "Split" and split.get("behavior") == "Removed" and split.get("invert") is True and "[^\\s\\p{L}\\p{N}]" in split["pattern"]["Regex"]
+    return plain and added and kind.get("post_processor") is None and split.get("type") == "Split" and split.get("behavior") == "Removed" and split.get("invert") is True and bool(kind["model"].get("end_of_word_suffix")) and "[^\\s\\p{L}\\p{N}]" in split["pattern"]["Regex"]
 
 
 _encoders: dict[str, WordEncoder | TextEncoder] = {}
@@ -152,7 +200,7 @@ def _writer(path: str, end_id: int):
 
         for batch in batches:
             for piece in slices(batch, "text", 1 << 20):
-                flat, counts = encoder.encode([t or "" for t in piece.column(1).to_pylist()])
+                flat, counts = encoder.encode(piece.column(1))
                 ends = np.cumsum(counts + 1) - 1
                 out = np.empty(len(flat) + len(counts), np.int64)
                 at = np.ones(len(out), bool)
