@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import DataFrame, SparkSession
 
 #: Settings that results depend on, then those that only concern speed.
@@ -26,3 +30,20 @@ def build(app: str = "folioforge", master: str | None = None, **conf: str) -> Sp
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """One table of a folder of Parquet tables, by any path that Spark reads."""
     return spark.read.parquet(f"{folder}/{name}.parquet")
+
+
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Let Python workers import this package, wherever they start, by sending it once a session."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = Path(__file__).resolve().parent
+    target = Path(tempfile.mkdtemp(prefix="folioforge-package-")) / f"{package.name}.zip"
+    with zipfile.ZipFile(target, "w") as archive:
+        for path in sorted(package.rglob("*.py")):
+            archive.write(path, path.relative_to(package.parent))
+    context.addPyFile(str(target))
+    _shipped.add(context.applicationId)
