@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from folioforge.llm import tokens
+from folioforge.llm import neardup, tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,8 +20,12 @@ def op1_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.encode(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.components_of(_table(spark, sf_dir, "documents"), k=2)
+
+
 def queries() -> dict[str, Query]:
-    return {"op1_token_ids": op1_token_ids}
+    return {f.__name__: f for f in (op1_token_ids, op4_near_duplicates)}
 
 
 def oracle_sql() -> dict[str, str]:
