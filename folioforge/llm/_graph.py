@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from folioforge.llm._store import Scratch
@@ -20,15 +20,18 @@ def components(edges: DataFrame, scratch: Scratch, rounds: int = 60) -> DataFram
         edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).where("a is not null and b is not null").distinct(),
         "edges",
     )
-    labels = scratch.keep(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("label")).select("node", F.least("node", "label").alias("label")), "labels")
+    start = both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("label"))
+    labels = scratch.keep(start.select("node", F.least("node", "label").alias("label")), "labels")
     for _ in range(rounds):
         near = both.join(labels.select(F.col("node").alias("b"), F.col("label").alias("seen")), "b").groupBy(F.col("a").alias("node")).agg(F.min("seen").alias("seen"))
         lower = labels.join(near, "node", "left").select("node", F.col("label").alias("old"), F.least("label", "seen").alias("label"))
         jump = labels.select(F.col("node").alias("label"), F.col("label").alias("further"))
-        new = scratch.keep(lower.join(jump, "label", "left").select("node", "old", F.least("label", "further").alias("label")), "labels")
-        changed = new.where("old <> label").limit(1).count()
+        moved = Observation()
+        new = lower.join(jump, "label", "left").select("node", "old", F.least("label", "further").alias("label"))
+        new = scratch.keep(new.observe(moved, F.count_if(F.col("old") != F.col("label")).alias("n")).select("node", "label"), "labels")
         scratch.drop(labels)
         labels = new
-        if not changed:
-            return labels.select("node", "label")
+        if not moved.get["n"]:
+            scratch.drop(both)
+            return labels
     raise RuntimeError(f"components did not settle in {rounds} rounds")

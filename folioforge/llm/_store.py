@@ -10,9 +10,11 @@ import atexit
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 _LIVE: list[tuple[SparkSession, str]] = []
+_LASTING: list[tuple[SparkSession, str]] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -40,14 +42,14 @@ class Scratch:
     """The tables of one operator call, in a folder of their own.
 
     They stay until ``drop``, ``release`` or the end of the process, because the
-    operator's lazy result may still read them.
+    operator's lazy result may still read them; ``lasting`` ones to the end.
     """
 
-    def __init__(self, spark: SparkSession, name: str) -> None:
+    def __init__(self, spark: SparkSession, name: str, lasting: bool = False) -> None:
         self.spark = spark
         self.root = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
         self._paths: dict[int, str] = {}
-        _LIVE.append((spark, self.root))
+        (_LASTING if lasting else _LIVE).append((spark, self.root))
 
     def path(self, table: str) -> str:
         return f"{self.root}/{table}-{uuid.uuid4().hex[:8]}"
@@ -60,6 +62,12 @@ class Scratch:
         self._paths[id(out)] = path
         return out
 
+    def counted(self, df: DataFrame, table: str) -> tuple[DataFrame, int]:
+        """Like ``keep``, with the number of rows, which the same job counts."""
+        seen = Observation()
+        out = self.keep(df.observe(seen, F.count(F.lit(1)).alias("n")), table)
+        return out, seen.get["n"]
+
     def drop(self, *frames: DataFrame) -> None:
         """Delete tables that nothing reads any more."""
         for df in frames:
@@ -79,7 +87,7 @@ def release() -> None:
 
 
 def _at_exit() -> None:
-    for spark, root in _LIVE:
+    for spark, root in _LIVE + _LASTING:
         try:
             if spark.sparkContext._jsc is not None:
                 _delete(spark, root)

@@ -51,12 +51,12 @@ def buffer_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def slices(batch: pa.RecordBatch, text: str, limit: int = PIECE) -> Iterator[pa.RecordBatch]:
-    """Cut a batch into runs of whole rows with about ``limit`` bytes of text each."""
+def slices(batch: pa.RecordBatch, text: str, limit: int = PIECE, most: int = 4096) -> Iterator[pa.RecordBatch]:
+    """Cut a batch into runs of at most ``most`` whole rows with about ``limit`` bytes of text each."""
     _, offsets = buffer_of(batch.column(batch.schema.get_field_index(text)))
     at = 0
     while at < batch.num_rows:
-        end = max(at + 1, int(np.searchsorted(offsets, offsets[at] + limit, "right")) - 1)
+        end = max(at + 1, min(at + most, int(np.searchsorted(offsets, offsets[at] + limit, "right")) - 1))
         yield batch.slice(at, end - at)
         at = end
 
@@ -129,6 +129,3 @@ def distinct(value: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray
     new = np.r_[True, (value[1:] != value[:-1]) | (row[1:] != row[:-1])]
     return value[new], row[new]
 
-
-def strings(values: list, kind: pa.DataType) -> pa.Array:
-    return pa.array(values, kind)

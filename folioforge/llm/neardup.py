@@ -11,9 +11,12 @@ full sets.
 
 Copies first collapse to one class by a 128-bit digest of the set, aggregated on
 both sides of the shuffle. A large node compares everything with one random pivot,
-and stops once all its documents are connected; so a group of thousands of near
-copies costs a multiple of its size, not its square. Nodes that are still large
-and unconnected after ``depth`` levels are compared exhaustively in blocks.
+and stops once all its documents are connected; if at most ``limit`` documents are
+not connected with most others, these are compared with the whole node and it stops
+too. So a group of thousands of near copies costs a multiple of its size, not its
+square. Nodes branch on into 1.25 children on average, the inverse of the
+similarity, and those still large and unconnected after ``depth`` levels are
+compared exhaustively in blocks.
 
 Defined results: null or empty texts, and texts without words, have an empty set
 and are linked with nothing; rows that share an id are copies of one node; a null
@@ -113,8 +116,11 @@ def _entries(trees: int):
 def _branch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         if batch.num_rows:
-            paths = _children(batch.column(0).to_numpy().view(np.uint64), _matrix(batch.column(2)))
-            yield pa.RecordBatch.from_arrays([pa.array(paths.ravel().view(np.int64)), pa.array(np.repeat(batch.column(1).to_numpy(), 2))], names=["path", "rep"])
+            path = batch.column(0).to_numpy().view(np.uint64)
+            children = _children(path, _matrix(batch.column(2)))
+            second = np.flatnonzero(mix(path + np.uint64(5)) % np.uint64(4) == 0)
+            rep = batch.column(1).to_numpy()
+            yield pa.RecordBatch.from_arrays([pa.array(np.r_[children[:, 0], children[second, 1]].view(np.int64)), pa.array(np.r_[rep, rep[second]])], names=["path", "rep"])
 
 
 def _cutoff(percent: int) -> int:
@@ -149,10 +155,13 @@ def _compare(percent: int, forest: bool):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            if not batch.num_rows:
+                continue
             lists = batch.column(0)
-            all_sizes = np.diff(lists.offsets.to_numpy())
-            for at in range(0, len(all_sizes), 512):
-                sizes = all_sizes[at : at + 512]
+            all_sizes = np.diff(lists.offsets.to_numpy()).astype(np.int64)
+            group = np.cumsum(all_sizes * (all_sizes - 1) // 2) >> 20
+            for at, end in zip(*(lambda cut: (cut[:-1], cut[1:]))(np.r_[np.flatnonzero(np.r_[True, group[1:] != group[:-1]]), len(group)]), strict=True):
+                sizes = all_sizes[at:end]
                 flat = lists.slice(at, len(sizes)).flatten()
                 rep, n, label = (flat.field(x).to_numpy() for x in ("rep", "n", "label"))
                 tokens = _matrix(flat.field("tokens"))
@@ -239,8 +248,8 @@ class _Join:
         left = self.sets.select(F.col("rep").alias("a"), F.col("full").alias("full_a"))
         right = self.sets.select(F.col("rep").alias("b"), F.col("full").alias("full_b"))
         both = pairs.join(left, "a").join(right, "b").select("a", "b", "full_a", "full_b")
-        found = self.scratch.keep(both.mapInArrow(_confirm(self.percent), "a long, b long"), name)
-        if found.limit(1).count():
+        found, n = self.scratch.counted(both.mapInArrow(_confirm(self.percent), "a long, b long"), name)
+        if n:
             self.links = self.scratch.keep(self.links.union(found).distinct(), "links") if self.links is not None else found
             old, self.labels = self.labels, components(self.links, self.scratch)
             if old is not None:
@@ -270,25 +279,40 @@ class _Join:
             within = self.nodes(self.labelled(small), "path").mapInArrow(_compare(percent, True), "a long, b long")
             pivots = big.where("is_pivot").select("path", F.col("rep").alias("p"), F.col("n").alias("pn"), F.col("tokens").alias("ptokens"))
             star = big.join(pivots, "path").where("rep <> p").select("rep", "n", "tokens", "p", "pn", "ptokens").mapInArrow(_against_pivot(percent), "a long, b long")
-            pairs = keep(within.union(star).distinct(), "pairs")
+            pairs, n_pairs = self.scratch.counted(within.union(star).distinct(), "pairs")
             if self.sets is None:
                 involved = pairs.select("a").union(pairs.select("b")).union(big.select("rep")).distinct().withColumnRenamed("a", "id")
                 texts = self.rows.join(involved, "id", "left_semi")
                 sets = texts.mapInArrow(_full_sets(self.k), "rep long, full binary").groupBy("rep", F.xxhash64("full").alias("h")).agg(F.any_value("full").alias("full"))
                 self.sets = keep(sets.select("rep", "full"), "sets")
-            self.confirm(pairs, "found")
-            rest = keep(self.nodes(self.labelled(small), "path").mapInArrow(_compare(percent, False), "a long, b long").distinct(), "rest")
-            self.confirm(rest, "found")
-            open_nodes = self.labelled(big.select("path", "rep")).groupBy("path").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("path")
-            left = keep(big.join(open_nodes, "path", "left_semi").select("path", "rep", "n", "tokens", "size"), "left")
-            self.scratch.drop(entries, members, pairs, rest)
-            if not left.limit(1).count():
+            if n_pairs:
+                self.confirm(pairs, "found")
+            large = self.labelled(big.select("path", "rep", "n", "tokens", "size"))
+            by_label = large.groupBy("path", "size", "label").agg(F.count("*").alias("of"))
+            states = by_label.groupBy("path", "size").agg(F.max(F.struct("of", "label")).alias("most"))
+            states = states.where("most.of < size").select("path", F.col("most.label").alias("main"), (F.col("size") - F.col("most.of")).alias("apart"))
+            large = keep(large.join(states, "path"), "large")
+            few = self.nodes(self.spread(large.where(f"apart <= {limit}")), "path", "part")
+            lists = self.nodes(self.labelled(small), "path").union(few)
+            rest, n_rest = self.scratch.counted(lists.mapInArrow(_compare(percent, False), "a long, b long").distinct(), "rest")
+            if n_rest:
+                self.confirm(rest, "found")
+            left, n_left = self.scratch.counted(large.where(f"apart > {limit}").select("path", "rep", "n", "tokens", "size"), "left")
+            self.scratch.drop(entries, members, pairs, rest, large)
+            if not n_left:
                 break
             entries = left.select("path", "rep", "tokens").mapInArrow(_branch, "path long, rep long")
         else:
             self.blocks(left)
         return sketch, reps
 
+    def spread(self, large: DataFrame) -> DataFrame:
+        """Parts of about ``limit`` documents of each node, each with the node's documents apart from its main label."""
+        parts = large.withColumn("of", F.ceil(F.col("size") / self.limit).cast("int"))
+        own = F.array(F.pmod(F.xxhash64("rep"), F.col("of")).cast("int"))
+        every = F.sequence(F.lit(0), F.col("of") - 1)
+        return parts.withColumn("part", F.explode(F.when(F.col("label") == F.col("main"), own).otherwise(every)))
+
     def blocks(self, members: DataFrame) -> None:
         """Compare what branching did not part: every pair of parts of a node is a group of its own."""
         parts = members.withColumn("of", F.ceil(F.col("size") / self.limit).cast("int")).withColumn("part", F.pmod(F.xxhash64("rep"), F.col("of")).cast("int"))
