@@ -6,8 +6,10 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from folioforge.llm import neardup, tokens
+import corpus_pipeline
+from folioforge.llm import chunks, decontam, lines, mixing, neardup, quality, tokens, toxicity, urls, vectors
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,13 +22,88 @@ def op1_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.encode(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.grade(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.matches(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.components_of(_table(spark, sf_dir, "documents"), k=2)
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op6_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.links_of(_table(spark, sf_dir, "embeddings"))
+
+
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = mixing.plan(_table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", F.col("_mix_size").alias("size"), F.col("_mix_total").alias("source_size"), F.col("_mix_target").alias("target"), F.col("_mix_taken").alias("taken"))
+
+
+def op8_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chunks.repeats(_table(spark, sf_dir, "documents"))
+
+
+def op9_repeated_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = lines.drop_repeated(_table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", F.col("_line_count").alias("n_lines"), F.col("_line_dropped").alias("n_dropped"), F.sha2("_line_text", 256).alias("kept_sha256"))
+
+
+def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(_table(spark, sf_dir, "pages"))
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
+
+
+QUERIES = (op1_token_ids, op2_quality, op3_decontamination, op4_near_duplicates, op5_toxicity, op6_near_vectors, op7_mixing, op8_repeated_passages, op9_repeated_lines, op10_url_filters, pipeline)
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_token_ids, op4_near_duplicates)}
+    return {f.__name__: f for f in QUERIES}
+
+
+_BLANK = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+
+OP7 = r"""
+WITH d AS (
+  SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size,
+         md5(coalesce(CAST(doc_id AS VARCHAR), '')) AS k
+  FROM documents),
+s AS (SELECT source, sum(size)::BIGINT AS total FROM d GROUP BY source),
+w AS (SELECT *, CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 WHEN 0 THEN 5.0::DOUBLE WHEN 1 THEN 2.0::DOUBLE ELSE 1.0::DOUBLE END AS weight FROM s),
+l AS (SELECT *, 2.0::DOUBLE * total AS cap, 2.0::DOUBLE * total / weight AS at_cap, 1.5::DOUBLE * sum(total) OVER () AS budget FROM w),
+c AS (SELECT *, (budget - coalesce(sum(cap) OVER (ORDER BY at_cap, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0.0::DOUBLE))
+         / sum(weight) OVER (ORDER BY at_cap, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM l),
+t AS (SELECT source, total, least(cap, weight * (SELECT min_by(level, at_cap) FROM c WHERE level <= at_cap)) AS target FROM c),
+p AS (SELECT d.doc_id, d.size, t.total, t.target,
+             CAST(sum(d.size) OVER (PARTITION BY d.source ORDER BY d.k, d.size ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - d.size AS BIGINT) AS before,
+             CASE WHEN t.total > 0 THEN CAST(floor(t.target / t.total) AS BIGINT) ELSE 0 END AS whole
+      FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
+SELECT doc_id, size, total AS source_size, target,
+       CAST(whole * size + greatest(0, least(size, CAST(floor(target) AS BIGINT) - whole * total - before)) AS BIGINT) AS taken
+FROM p
+"""
+
+OP9 = f"""
+WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents),
+l AS (SELECT doc_id, unnest(parts) AS line, generate_subscripts(parts, 1) AS place FROM d),
+k AS (SELECT *, translate(trim(line, {_BLANK}), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+s AS (SELECT key, min(doc_id) AS keeper FROM k WHERE length(key) >= 10 GROUP BY key HAVING count(DISTINCT doc_id) >= 2),
+m AS (SELECT k.*, s.keeper IS NOT NULL AND k.doc_id <> s.keeper AS lost FROM k LEFT JOIN s USING (key))
+SELECT doc_id, count(*)::BIGINT AS n_lines, count(*) FILTER (WHERE lost)::BIGINT AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (WHERE NOT lost), '')) AS kept_sha256
+FROM m GROUP BY doc_id
+"""
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op7_mixing": OP7, "op9_repeated_lines": OP9}
