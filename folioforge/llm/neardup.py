@@ -6,12 +6,13 @@ sends each of its documents to the two children named by the document's tokens
 there, so documents of Jaccard similarity ``s`` share a child with chance
 ``1-(1-s)**2`` and others part at once. Nodes of at most ``limit`` documents are
 compared exhaustively, larger ones branch again; ``trees`` independent trees make
-the chance to miss a pair at 0.8 about 1e-5. Each candidate is confirmed on the
-full sets.
+the chance to miss a pair at 0.8 about 1e-5. Candidates are confirmed on the full
+sets: first a spanning forest of each node's near pairs, then what is near but not
+yet connected, node by node, so no list of all pairs is made.
 
 Copies first collapse to one class by a 128-bit digest of the set, aggregated on
 both sides of the shuffle. A large node compares everything with one random pivot,
-and stops once all its documents are connected; if at most ``limit`` documents are
+and stops once all its documents are connected; if at most ``4 * limit`` documents are
 not connected with most others, these are compared with the whole node and it stops
 too. So a group of thousands of near copies costs a multiple of its size, not its
 square. Nodes branch on into 1.25 children on average, the inverse of the
@@ -31,7 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from folioforge.llm._graph import components
@@ -150,51 +151,111 @@ def _pairs_within(sizes: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np
     return np.concatenate(left), np.concatenate(right)
 
 
-def _compare(percent: int, forest: bool):
-    """Candidate pairs of nodes given as lists: a spanning forest of them, or all between different labels."""
+def _nodes(batch: pa.RecordBatch, pairs: int = 1 << 20) -> Iterator[pa.Array]:
+    """Runs of the batch's lists with about ``pairs`` pairs each."""
+    lists = batch.column(0)
+    sizes = np.diff(lists.offsets.to_numpy()).astype(np.int64)
+    group = np.cumsum(sizes * (sizes - 1) // 2) // pairs
+    cut = np.r_[np.flatnonzero(np.r_[True, group[1:] != group[:-1]]), len(group)]
+    for at, end in zip(cut[:-1], cut[1:], strict=True):
+        yield lists.slice(at, end - at)
+
+
+def _near_pairs(lists: pa.Array, percent: int) -> tuple[np.ndarray, ...]:
+    """Sizes and starts of the nodes, rep and label of their documents, and near pairs, nearest first."""
+    sizes = np.array(lists.value_lengths(), np.int64)
+    starts = np.r_[0, np.cumsum(sizes)[:-1]].astype(np.int64)
+    flat = lists.flatten()
+    rep, n, label = (flat.field(x).to_numpy() for x in ("rep", "n", "label"))
+    i, j = _pairs_within(sizes, starts)
+    apart = label[i] != label[j]
+    i, j = i[apart], j[apart]
+    agree = _near(n, _matrix(flat.field("tokens")), i, j, percent)
+    hit = np.flatnonzero(agree)
+    hit = hit[np.argsort(-agree[hit], kind="stable")]
+    return sizes, starts, rep, label, i[hit], j[hit]
+
+
+class _Union:
+    def __init__(self, n: int) -> None:
+        self.up = list(range(n))
+
+    def top(self, x: int) -> int:
+        up = self.up
+        while up[x] != x:
+            up[x] = x = up[up[x]]
+        return x
+
+    def join(self, x: int, y: int) -> bool:
+        x, y = self.top(x), self.top(y)
+        self.up[x] = y
+        return x != y
+
+
+def _forest(percent: int):
+    """A spanning forest of each node's near pairs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            lists = batch.column(0)
-            all_sizes = np.diff(lists.offsets.to_numpy()).astype(np.int64)
-            group = np.cumsum(all_sizes * (all_sizes - 1) // 2) >> 20
-            for at, end in zip(*(lambda cut: (cut[:-1], cut[1:]))(np.r_[np.flatnonzero(np.r_[True, group[1:] != group[:-1]]), len(group)]), strict=True):
-                sizes = all_sizes[at:end]
-                flat = lists.slice(at, len(sizes)).flatten()
-                rep, n, label = (flat.field(x).to_numpy() for x in ("rep", "n", "label"))
-                tokens = _matrix(flat.field("tokens"))
-                i, j = _pairs_within(sizes, np.r_[0, np.cumsum(sizes)[:-1]].astype(np.int64))
-                if not forest:
-                    apart = label[i] != label[j]
-                    i, j = i[apart], j[apart]
-                agree = _near(n, tokens, i, j, percent)
-                hit = np.flatnonzero(agree)
-                hit = hit[np.argsort(-agree[hit], kind="stable")]
-                i, j = i[hit], j[hit]
-                if forest:
-                    up = np.arange(len(rep)).tolist()
-
-                    def top(x: int) -> int:
-                        while up[x] != x:  # noqa: B023
-                            up[x] = up[up[x]]  # noqa: B023
-                            x = up[x]  # noqa: B023
-                        return x
-
-                    use = []
-                    for q, (x, y) in enumerate(zip(i.tolist(), j.tolist(), strict=True)):
-                        x, y = top(x), top(y)
-                        if x != y:
-                            up[x] = y
-                            use.append(q)
-                    i, j = i[use], j[use]
-                a, b = rep[i], rep[j]
+            for lists in _nodes(batch):
+                _, _, rep, _, i, j = _near_pairs(lists, percent)
+                union = _Union(len(rep))
+                use = [q for q, (x, y) in enumerate(zip(i.tolist(), j.tolist(), strict=True)) if union.join(x, y)]
+                a, b = rep[i[use]], rep[j[use]]
                 yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
 
     return run
 
 
+def _clusters(percent: int):
+    """The documents of each node that are near one of another label; equal ones of several nodes share a name."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            for lists in _nodes(batch):
+                sizes, starts, rep, label, i, j = _near_pairs(lists, percent)
+                some = np.unique(np.r_[i, j])
+                node = np.searchsorted(starts, some, "right") - 1
+                total = np.zeros(len(sizes), np.uint64)
+                np.add.at(total, node, mix(rep[some].view(np.uint64)))
+                yield pa.RecordBatch.from_arrays([pa.array(total[node].view(np.int64)), pa.array(rep[some]), pa.array(label[some])], names=["cluster", "rep", "label"])
+
+    return run
+
+
+def _verify(percent: int):
+    """Links between labels of clusters given with full sets, as spanning forests."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(batch.num_rows):
+                docs = batch.column(0).slice(row, 1).flatten()
+                rep, label = docs.field("rep").to_numpy(), docs.field("label").to_numpy()
+                sets = [np.frombuffer(x, np.uint64) for x in docs.field("full").to_pylist()]
+                size = np.array([len(x) for x in sets])
+                starts = np.r_[0, np.cumsum(size)[:-1]]
+                names, place = np.unique(np.concatenate(sets), return_inverse=True)
+                kinds, kind, many = np.unique(label, return_inverse=True, return_counts=True)
+                union = _Union(len(kinds))
+                edges = []
+                mark = np.zeros(len(names), np.int32)
+                for x in np.flatnonzero(kind != many.argmax()).tolist():
+                    own = place[starts[x] : starts[x] + size[x]]
+                    mark[own] = 1
+                    common = np.add.reduceat(mark[place], starts)
+                    mark[own] = 0
+                    for y in np.flatnonzero(100 * common >= percent * (size + size[x] - common)).tolist():
+                        if union.join(int(kind[x]), int(kind[y])):
+                            edges.append((min(rep[x], rep[y]), max(rep[x], rep[y])))
+                yield pa.RecordBatch.from_arrays([pa.array([int(e[k]) for e in edges], pa.int64()) for k in (0, 1)], names=["a", "b"])
+
+    return run
+
+
 def _against_pivot(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -235,6 +296,14 @@ def _confirm(percent: int):
     return run
 
 
+_CLUSTERS = "cluster long, rep long, label long"
+
+
+def _pivot_rank() -> Column:
+    """Orders a node's documents; nodes draw from four orders, so those of one group share few pivots."""
+    return F.xxhash64("rep", F.pmod("path", F.lit(4)))
+
+
 class _Join:
     def __init__(self, rows: DataFrame, k: int, percent: int, trees: int, limit: int, depth: int) -> None:
         self.rows, self.k, self.percent, self.trees, self.limit, self.depth = rows, k, percent, trees, limit, depth
@@ -248,7 +317,15 @@ class _Join:
         left = self.sets.select(F.col("rep").alias("a"), F.col("full").alias("full_a"))
         right = self.sets.select(F.col("rep").alias("b"), F.col("full").alias("full_b"))
         both = pairs.join(left, "a").join(right, "b").select("a", "b", "full_a", "full_b")
-        found, n = self.scratch.counted(both.mapInArrow(_confirm(self.percent), "a long, b long"), name)
+        self.add(both.mapInArrow(_confirm(self.percent), "a long, b long"), name)
+
+    def confirm_clusters(self, rows: DataFrame, name: str) -> None:
+        """Add the links between different labels within clusters, confirmed on full sets."""
+        lists = rows.join(self.sets, "rep").groupBy("cluster").agg(F.collect_list(F.struct("rep", "label", "full")).alias("docs")).select("docs")
+        self.add(lists.mapInArrow(_verify(self.percent), "a long, b long"), name)
+
+    def add(self, links: DataFrame, name: str) -> None:
+        found, n = self.scratch.counted(links, name)
         if n:
             self.links = self.scratch.keep(self.links.union(found).distinct(), "links") if self.links is not None else found
             old, self.labels = self.labels, components(self.links, self.scratch)
@@ -273,10 +350,10 @@ class _Join:
         entries = reps.where("rep is not null").select("rep", "tokens").mapInArrow(_entries(self.trees), "path long, rep long")
         for level in range(self.depth):
             entries = keep(entries.distinct() if level else entries, "entries")
-            nodes = entries.groupBy("path").agg(F.count("*").alias("size"), F.min(F.xxhash64("rep", "path")).alias("pivot")).where("size > 1")
-            members = keep(entries.join(nodes, "path").join(reps.select("rep", "n", "tokens"), "rep").select("path", "rep", "n", "tokens", "size", (F.xxhash64("rep", "path") == F.col("pivot")).alias("is_pivot")), "members")
+            nodes = entries.groupBy("path").agg(F.count("*").alias("size"), F.min(_pivot_rank()).alias("pivot")).where("size > 1")
+            members = keep(entries.join(nodes, "path").join(reps.select("rep", "n", "tokens"), "rep").select("path", "rep", "n", "tokens", "size", (_pivot_rank() == F.col("pivot")).alias("is_pivot")), "members")
             small, big = members.where(f"size <= {limit}"), members.where(f"size > {limit}")
-            within = self.nodes(self.labelled(small), "path").mapInArrow(_compare(percent, True), "a long, b long")
+            within = self.nodes(self.labelled(small), "path").mapInArrow(_forest(percent), "a long, b long")
             pivots = big.where("is_pivot").select("path", F.col("rep").alias("p"), F.col("n").alias("pn"), F.col("tokens").alias("ptokens"))
             star = big.join(pivots, "path").where("rep <> p").select("rep", "n", "tokens", "p", "pn", "ptokens").mapInArrow(_against_pivot(percent), "a long, b long")
             pairs, n_pairs = self.scratch.counted(within.union(star).distinct(), "pairs")
@@ -292,12 +369,12 @@ class _Join:
             states = by_label.groupBy("path", "size").agg(F.max(F.struct("of", "label")).alias("most"))
             states = states.where("most.of < size").select("path", F.col("most.label").alias("main"), (F.col("size") - F.col("most.of")).alias("apart"))
             large = keep(large.join(states, "path"), "large")
-            few = self.nodes(self.spread(large.where(f"apart <= {limit}")), "path", "part")
+            few = self.nodes(self.spread(large.where(f"apart <= {4 * limit}")), "path", "part")
             lists = self.nodes(self.labelled(small), "path").union(few)
-            rest, n_rest = self.scratch.counted(lists.mapInArrow(_compare(percent, False), "a long, b long").distinct(), "rest")
+            rest, n_rest = self.scratch.counted(lists.mapInArrow(_clusters(percent), _CLUSTERS).distinct(), "rest")
             if n_rest:
-                self.confirm(rest, "found")
-            left, n_left = self.scratch.counted(large.where(f"apart > {limit}").select("path", "rep", "n", "tokens", "size"), "left")
+                self.confirm_clusters(rest, "found")
+            left, n_left = self.scratch.counted(large.where(f"apart > {4 * limit}").select("path", "rep", "n", "tokens", "size"), "left")
             self.scratch.drop(entries, members, pairs, rest, large)
             if not n_left:
                 break
@@ -318,8 +395,8 @@ class _Join:
         parts = members.withColumn("of", F.ceil(F.col("size") / self.limit).cast("int")).withColumn("part", F.pmod(F.xxhash64("rep"), F.col("of")).cast("int"))
         each = parts.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("of") - 1)))
         each = each.withColumn("low_part", F.least("part", "other")).withColumn("high_part", F.greatest("part", "other"))
-        found = self.nodes(self.labelled(each), "path", "low_part", "high_part").mapInArrow(_compare(self.percent, False), "a long, b long")
-        self.confirm(self.scratch.keep(found.distinct(), "blocks"), "found")
+        found = self.nodes(self.labelled(each), "path", "low_part", "high_part").mapInArrow(_clusters(self.percent), _CLUSTERS)
+        self.confirm_clusters(self.scratch.keep(found.distinct(), "blocks"), "found")
 
 
 def components_of(docs: DataFrame, k: int = 5, percent: int = 80, trees: int = 4, limit: int = 128, depth: int = 12, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
