@@ -166,14 +166,17 @@ def dollars(e8: Column) -> Column:
 
 
 def cost_label(pages: Column | None = None, page_dollars: str = PAGE_DOLLARS) -> Column:
-    """The label of a cost: one amount or a range, a page surcharge and the sum, or that nothing is priced."""
+    """The label of a cost: one amount or a range, a page surcharge and the sum, or that nothing is priced.
+
+    Its words are fixed values of the report format.
+    """
     def span(low: Column, high: Column) -> Column:
         return F.when(low == high, dollars(low)).otherwise(F.concat(dollars(low), F.lit(" - "), dollars(high)))
 
     low, high = F.col("low_e8"), F.col("high_e8")
     nothing = (F.col("priced_calls") == 0) & (F.col("unpriced_calls") > 0)
-    part = F.when(F.col("unpriced_calls") > 0, " (partial)").otherwise("")
-    base = F.when(nothing, F.lit("unpriced")).otherwise(F.concat(span(low, high), part))
+    part = F.when(F.col("unpriced_calls") > 0, "（部分）").otherwise("")
+    base = F.when(nothing, F.lit("未计价")).otherwise(F.concat(span(low, high), part))
     if pages is None:
         return base
     extra = pages * F.lit(round(float(page_dollars) * 100_000_000)).cast("long")

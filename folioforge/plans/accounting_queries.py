@@ -61,7 +61,7 @@ def _span_sql(low: str, high: str) -> str:
     return f"CASE WHEN {low} = {high} THEN {_dollar_sql(low)} ELSE {_dollar_sql(low)} || ' - ' || {_dollar_sql(high)} END"
 
 
-_LABEL = f"CASE WHEN priced_calls = 0 AND unpriced_calls > 0 THEN 'unpriced' ELSE {_span_sql('low_e8', 'high_e8')} || CASE WHEN unpriced_calls > 0 THEN ' (partial)' ELSE '' END END"
+_LABEL = f"CASE WHEN priced_calls = 0 AND unpriced_calls > 0 THEN '未计价' ELSE {_span_sql('low_e8', 'high_e8')} || CASE WHEN unpriced_calls > 0 THEN '（部分）' ELSE '' END END"
 COST_RANGE = f"""
 SELECT *, {_LABEL} AS label FROM (
   SELECT doc_id, {_cost_sql('least(short_e8, long_e8)', 'greatest(short_e8, long_e8)', 'count(*) FILTER (WHERE priced)')} FROM ({_PRICED_SQL}) GROUP BY doc_id)
@@ -244,11 +244,11 @@ WEB_DAILY = f"SELECT day, count(*)::BIGINT AS converted, count(elapsed_seconds):
 
 def duration_text(spark: SparkSession, folder: str) -> DataFrame:
     s = F.bround("elapsed_seconds").cast("long")
-    text = F.coalesce(F.format_string("%dh%02dm%02ds", F.floor(s / 3600), F.floor(s % 3600 / 60), s % 60), F.lit("unknown"))
-    return R.frame(spark, folder, R.COMPLETION).select("id", F.when(F.col("elapsed_seconds").isNull(), "unknown").otherwise(text).alias("elapsed"))
+    text = F.coalesce(F.format_string("%d时%02d分%02d秒", F.floor(s / 3600), F.floor(s % 3600 / 60), s % 60), F.lit("未知"))
+    return R.frame(spark, folder, R.COMPLETION).select("id", F.when(F.col("elapsed_seconds").isNull(), "未知").otherwise(text).alias("elapsed"))
 
 
-DURATION = f"SELECT id, CASE WHEN elapsed_seconds IS NULL THEN 'unknown' ELSE printf('%dh%02dm%02ds', s // 3600, s % 3600 // 60, s % 60) END AS elapsed FROM (SELECT id, elapsed_seconds, round_even(elapsed_seconds, 0)::BIGINT AS s FROM {R.duck(R.COMPLETION)})"
+DURATION = f"SELECT id, CASE WHEN elapsed_seconds IS NULL THEN '未知' ELSE printf('%d时%02d分%02d秒', s // 3600, s % 3600 // 60, s % 60) END AS elapsed FROM (SELECT id, elapsed_seconds, round_even(elapsed_seconds, 0)::BIGINT AS s FROM {R.duck(R.COMPLETION)})"
 
 QUERIES = {
     "daily_cost_by_date": (daily_cost_by_date, DAILY_COST),
