@@ -5,27 +5,29 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from folioforge.llm._store import Scratch
+from folioforge.llm._store import Scratch, light
 
 
-def components(edges: DataFrame, scratch: Scratch, rounds: int = 60) -> DataFrame:
-    """The smallest reachable node of each node that has an edge.
+def components(edges: DataFrame, scratch: Scratch, rounds: int = 60) -> tuple[DataFrame, int]:
+    """The smallest reachable node of each node that has an edge, and how many these are.
 
     ``edges`` has integer columns ``a`` and ``b``; loops and repeats are harmless.
     Each round takes the least label among a node's neighbours (a partial
     aggregate, so a hub's edges never meet in one task) and then the label of
-    that label, so chains shorten geometrically. Returns ``node`` and ``label``.
+    that label, so chains shorten geometrically. Labels travel to the edges while
+    they are few (``light``), and meet them in shuffles beyond. Returns ``node`` and
+    ``label``.
     """
     both = scratch.keep(
         edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).where("a is not null and b is not null").distinct(),
         "edges",
     )
     start = both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("label"))
-    labels = scratch.keep(start.select("node", F.least("node", "label").alias("label")), "labels")
+    labels, n = scratch.counted(start.select("node", F.least("node", "label").alias("label")), "labels")
     for _ in range(rounds):
-        near = both.join(labels.select(F.col("node").alias("b"), F.col("label").alias("seen")), "b").groupBy(F.col("a").alias("node")).agg(F.min("seen").alias("seen"))
-        lower = labels.join(near, "node", "left").select("node", F.col("label").alias("old"), F.least("label", "seen").alias("label"))
-        jump = labels.select(F.col("node").alias("label"), F.col("label").alias("further"))
+        near = both.join(light(labels.select(F.col("node").alias("b"), F.col("label").alias("seen")), n), "b").groupBy(F.col("a").alias("node")).agg(F.min("seen").alias("seen"))
+        lower = near.join(light(labels, n), "node").select("node", F.col("label").alias("old"), F.least("label", "seen").alias("label"))
+        jump = light(labels.select(F.col("node").alias("label"), F.col("label").alias("further")), n)
         moved = Observation()
         new = lower.join(jump, "label", "left").select("node", "old", F.least("label", "further").alias("label"))
         new = scratch.keep(new.observe(moved, F.count_if(F.col("old") != F.col("label")).alias("n")).select("node", "label"), "labels")
@@ -33,5 +35,5 @@ def components(edges: DataFrame, scratch: Scratch, rounds: int = 60) -> DataFram
         labels = new
         if not moved.get["n"]:
             scratch.drop(both)
-            return labels
+            return labels, n
     raise RuntimeError(f"components did not settle in {rounds} rounds")

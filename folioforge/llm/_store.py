@@ -32,6 +32,15 @@ def shared_dir(spark: SparkSession) -> str:
     return base
 
 
+#: Rows of two or three integers that may be broadcast: about 6 MB.
+LIGHT_ROWS = 200_000
+
+
+def light(df: DataFrame, rows: int) -> DataFrame:
+    """``df`` marked for broadcast if its counted rows are few; the result is the same either way."""
+    return F.broadcast(df) if rows <= LIGHT_ROWS else df
+
+
 def _delete(spark: SparkSession, path: str) -> None:
     jvm = spark.sparkContext._jvm
     target = jvm.org.apache.hadoop.fs.Path(path)

@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from folioforge.llm._graph import components
-from folioforge.llm._store import Scratch
+from folioforge.llm._store import Scratch, light
 from folioforge.llm._text import distinct, mix, shingles, slices, words
 
 PLACES = 64
@@ -192,8 +192,12 @@ class _Union:
         return x != y
 
 
-def _forest(percent: int):
-    """A spanning forest of each node's near pairs."""
+def _near_parts(percent: int):
+    """Each node's documents that are near another: their part of the node (what near pairs connect), and a spanning forest.
+
+    Rows are a part's name and a document, then also the other end of a forest pair.
+    Parts of several nodes with the same documents share a name.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -203,8 +207,14 @@ def _forest(percent: int):
                 _, _, rep, _, i, j = _near_pairs(lists, percent)
                 union = _Union(len(rep))
                 use = [q for q, (x, y) in enumerate(zip(i.tolist(), j.tolist(), strict=True)) if union.join(x, y)]
+                some = np.unique(np.r_[i, j])
+                part = np.array([union.top(x) for x in some.tolist()], np.int64)
+                total = np.zeros(len(rep), np.uint64)
+                np.add.at(total, part, mix(rep[some].view(np.uint64)))
                 a, b = rep[i[use]], rep[j[use]]
-                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+                name = np.r_[total[part], np.zeros(len(use), np.uint64)].view(np.int64)
+                other = pa.array(np.r_[np.zeros(len(some), np.int64), np.maximum(a, b)], mask=np.r_[np.ones(len(some), bool), np.zeros(len(use), bool)])
+                yield pa.RecordBatch.from_arrays([pa.array(name), pa.array(np.r_[rep[some], np.minimum(a, b)]), other], names=["cluster", "rep", "other"])
 
     return run
 
@@ -310,6 +320,7 @@ class _Join:
         self.scratch = Scratch(rows.sparkSession, "neardup")
         self.links: DataFrame | None = None
         self.labels: DataFrame | None = None
+        self.n_labels = 0
         self.sets: DataFrame | None = None
 
     def confirm(self, pairs: DataFrame, name: str) -> None:
@@ -328,7 +339,8 @@ class _Join:
         found, n = self.scratch.counted(links, name)
         if n:
             self.links = self.scratch.keep(self.links.union(found).distinct(), "links") if self.links is not None else found
-            old, self.labels = self.labels, components(self.links, self.scratch)
+            old = self.labels
+            self.labels, self.n_labels = components(self.links, self.scratch)
             if old is not None:
                 self.scratch.drop(old)
 
@@ -336,7 +348,7 @@ class _Join:
         if self.labels is None:
             return members.withColumn("label", F.col("rep"))
         found = self.labels.select(F.col("node").alias("rep"), F.col("label").alias("found"))
-        return members.join(found, "rep", "left").withColumn("label", F.coalesce("found", "rep")).drop("found")
+        return members.join(light(found, self.n_labels), "rep", "left").withColumn("label", F.coalesce("found", "rep")).drop("found")
 
     def nodes(self, members: DataFrame, *keys: str) -> DataFrame:
         """One row for each node: its documents, at most ``limit`` of them by construction, if labels differ."""
@@ -350,32 +362,39 @@ class _Join:
         entries = reps.where("rep is not null").select("rep", "tokens").mapInArrow(_entries(self.trees), "path long, rep long")
         for level in range(self.depth):
             entries = keep(entries.distinct() if level else entries, "entries")
-            nodes = entries.groupBy("path").agg(F.count("*").alias("size"), F.min(_pivot_rank()).alias("pivot")).where("size > 1")
-            members = keep(entries.join(nodes, "path").join(reps.select("rep", "n", "tokens"), "rep").select("path", "rep", "n", "tokens", "size", (_pivot_rank() == F.col("pivot")).alias("is_pivot")), "members")
-            small, big = members.where(f"size <= {limit}"), members.where(f"size > {limit}")
-            within = self.nodes(self.labelled(small), "path").mapInArrow(_forest(percent), "a long, b long")
-            pivots = big.where("is_pivot").select("path", F.col("rep").alias("p"), F.col("n").alias("pn"), F.col("tokens").alias("ptokens"))
-            star = big.join(pivots, "path").where("rep <> p").select("rep", "n", "tokens", "p", "pn", "ptokens").mapInArrow(_against_pivot(percent), "a long, b long")
-            pairs, n_pairs = self.scratch.counted(within.union(star).distinct(), "pairs")
+            nodes, n_nodes = self.scratch.counted(entries.groupBy("path").agg(F.count("*").alias("size"), F.min(_pivot_rank()).alias("pivot")).where("size > 1"), "nodes")
+            members = keep(entries.join(light(nodes, n_nodes), "path").select("path", "rep", "size", (_pivot_rank() == F.col("pivot")).alias("is_pivot")), "members")
+            tokens = reps.select("rep", "n", "tokens")
+            small = members.where(f"size <= {limit}").select("path", "rep").join(tokens, "rep")
+            near = keep(self.nodes(self.labelled(small), "path").mapInArrow(_near_parts(percent), "cluster long, rep long, other long"), "near")
+            big, n_big = self.scratch.counted(members.where(f"size > {limit}").join(tokens, "rep"), "big")
+            pairs = near.where("other is not null").select(F.col("rep").alias("a"), F.col("other").alias("b"))
+            if n_big:
+                pivots = big.where("is_pivot").select("path", F.col("rep").alias("p"), F.col("n").alias("pn"), F.col("tokens").alias("ptokens"))
+                star = big.join(pivots, "path").where("rep <> p").select("rep", "n", "tokens", "p", "pn", "ptokens").mapInArrow(_against_pivot(percent), "a long, b long")
+                pairs = pairs.union(star)
+            pairs, n_pairs = self.scratch.counted(pairs.distinct(), "pairs")
             if self.sets is None:
                 involved = pairs.select("a").union(pairs.select("b")).union(big.select("rep")).distinct().withColumnRenamed("a", "id")
-                texts = self.rows.join(involved, "id", "left_semi")
-                sets = texts.mapInArrow(_full_sets(self.k), "rep long, full binary").groupBy("rep", F.xxhash64("full").alias("h")).agg(F.any_value("full").alias("full"))
-                self.sets = keep(sets.select("rep", "full"), "sets")
+                texts = self.rows.join(involved, "id", "left_semi").dropDuplicates(["id", "text"])
+                self.sets = keep(texts.mapInArrow(_full_sets(self.k), "rep long, full binary"), "sets")
             if n_pairs:
                 self.confirm(pairs, "found")
-            large = self.labelled(big.select("path", "rep", "n", "tokens", "size"))
-            by_label = large.groupBy("path", "size", "label").agg(F.count("*").alias("of"))
-            states = by_label.groupBy("path", "size").agg(F.max(F.struct("of", "label")).alias("most"))
-            states = states.where("most.of < size").select("path", F.col("most.label").alias("main"), (F.col("size") - F.col("most.of")).alias("apart"))
-            large = keep(large.join(states, "path"), "large")
-            few = self.nodes(self.spread(large.where(f"apart <= {4 * limit}")), "path", "part")
-            lists = self.nodes(self.labelled(small), "path").union(few)
-            rest, n_rest = self.scratch.counted(lists.mapInArrow(_clusters(percent), _CLUSTERS).distinct(), "rest")
+            rest = self.unequal(self.labelled(near.where("other is null").select("cluster", "rep").distinct()))
+            n_left = 0
+            if n_big:
+                large = self.labelled(big.select("path", "rep", "n", "tokens", "size"))
+                by_label = large.groupBy("path", "size", "label").agg(F.count("*").alias("of"))
+                states = by_label.groupBy("path", "size").agg(F.max(F.struct("of", "label")).alias("most"))
+                states = states.where("most.of < size").select("path", F.col("most.label").alias("main"), (F.col("size") - F.col("most.of")).alias("apart"))
+                large = keep(large.join(states, "path"), "large")
+                few = self.nodes(self.spread(large.where(f"apart <= {4 * limit}")), "path", "part")
+                rest = rest.union(few.mapInArrow(_clusters(percent), _CLUSTERS).distinct())
+                left, n_left = self.scratch.counted(large.where(f"apart > {4 * limit}").select("path", "rep", "n", "tokens", "size"), "left")
+            rest, n_rest = self.scratch.counted(rest, "rest")
             if n_rest:
                 self.confirm_clusters(rest, "found")
-            left, n_left = self.scratch.counted(large.where(f"apart > {4 * limit}").select("path", "rep", "n", "tokens", "size"), "left")
-            self.scratch.drop(entries, members, pairs, rest, large)
+            self.scratch.drop(entries, nodes, members, near, big, pairs, rest)
             if not n_left:
                 break
             entries = left.select("path", "rep", "tokens").mapInArrow(_branch, "path long, rep long")
@@ -390,6 +409,11 @@ class _Join:
         every = F.sequence(F.lit(0), F.col("of") - 1)
         return parts.withColumn("part", F.explode(F.when(F.col("label") == F.col("main"), own).otherwise(every)))
 
+    def unequal(self, rows: DataFrame) -> DataFrame:
+        """The rows of clusters whose labels differ."""
+        open_ones = rows.groupBy("cluster").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("cluster")
+        return rows.join(open_ones, "cluster", "left_semi").select("cluster", "rep", "label")
+
     def blocks(self, members: DataFrame) -> None:
         """Compare what branching did not part: every pair of parts of a node is a group of its own."""
         parts = members.withColumn("of", F.ceil(F.col("size") / self.limit).cast("int")).withColumn("part", F.pmod(F.xxhash64("rep"), F.col("of")).cast("int"))

@@ -213,7 +213,7 @@ def links_of(vectors: DataFrame, threshold: float = 0.95, tables: int = 12, prob
     groups = members.groupBy("cell", "tbl", "low", "high").agg(F.collect_list(F.struct("rep", "many", "home", "part", "vector")).alias("docs"))
     found = scratch.keep(groups.where(F.size("docs") > 1).mapInArrow(_links(threshold, tables, probes, scale), "a long, b long, n long"), "found")
     counts = found.where("b is null").groupBy(F.col("a").alias("rep")).agg(F.sum("n").alias("n"))
-    labels = components(found.where("b is not null").select("a", "b"), scratch).withColumnRenamed("node", "rep")
+    labels = components(found.where("b is not null").select("a", "b"), scratch)[0].withColumnRenamed("node", "rep")
     classes = classes.select("h1", "h2", "rep", "many").join(counts, "rep", "left").join(labels, "rep", "left")
     out = rows.select("id", "h1", "h2").join(classes, ["h1", "h2"], "left")
     component = F.coalesce("label", "rep", "id")
