@@ -2,6 +2,6 @@
 
 from __future__ import annotations
 
-from folioforge.plans import accounting_queries, job_queries, page_queries, record_queries
+from folioforge.plans import accounting_queries, job_queries, page_queries, record_queries, text_queries
 
-QUERIES = {**accounting_queries.QUERIES, **job_queries.QUERIES, **page_queries.QUERIES, **record_queries.QUERIES}
+QUERIES = {**accounting_queries.QUERIES, **job_queries.QUERIES, **page_queries.QUERIES, **record_queries.QUERIES, **text_queries.QUERIES}
