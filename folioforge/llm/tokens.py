@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from folioforge.llm import simple8b
 from folioforge.llm._store import Scratch
-from folioforge.llm._text import buffer_of, slices, words
+from folioforge.llm._text import LOWER, buffer_of, slices, words
 
 FILE_SCHEMA = "shard int, block int, shard_start long, doc_ids array<bigint>, lengths array<int>, n_ids long, payload binary"
 _FILE_ARROW = pa.schema([("shard", pa.int32()), ("block", pa.int32()), ("shard_start", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("lengths", pa.list_(pa.int32())), ("n_ids", pa.int64()), ("payload", pa.binary())])
@@ -41,6 +41,10 @@ REMEMBERED = 1_000_000
 _MARKS = (b"\xcc", b"\xcd")
 
 
+_LETTER = np.zeros(256, bool)
+_LETTER[65:91] = _LETTER[97:123] = True
+
+
 class WordEncoder:
     """Encodes texts word by word, each different word once.
 
@@ -76,13 +80,14 @@ class WordEncoder:
     def _add(self, names: list[str], ids: np.ndarray, counts: np.ndarray) -> None:
         while self.n_ids + len(ids) > len(self.ids):
             self.ids = np.r_[self.ids, np.zeros_like(self.ids)]
-        while self.n_words + len(names) + 1 > len(self.first):
+        n = len(counts)
+        while self.n_words + n + 1 > len(self.first):
             self.first = np.r_[self.first, np.zeros_like(self.first)]
         self.ids[self.n_ids : self.n_ids + len(ids)] = ids
-        self.first[self.n_words + 1 : self.n_words + 1 + len(names)] = self.n_ids + np.cumsum(counts)
-        self.known.update(zip(names, range(self.n_words, self.n_words + len(names)), strict=True))
+        self.first[self.n_words + 1 : self.n_words + 1 + n] = self.n_ids + np.cumsum(counts)
+        self.known.update(zip(names, range(self.n_words, self.n_words + n)))
         self.n_ids += len(ids)
-        self.n_words += len(names)
+        self.n_words += n
 
     def _gather(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         sizes = self.first[which + 1] - self.first[which]
@@ -111,6 +116,19 @@ class WordEncoder:
             total = np.r_[0, np.cumsum(sizes)][np.r_[0, np.cumsum([len(c) for _, c in made])]]
             self._add([w for w, _ in made], flat, np.diff(total))
 
+    def _learn_letters(self, data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> bool:
+        """Encode words of A-Z and a-z, each one piece, as one text; their places follow those known so far."""
+        sizes = end - begin + 1
+        ends = np.cumsum(sizes)
+        joined = LOWER[data[np.minimum(np.repeat(begin - (ends - sizes), sizes) + np.arange(ends[-1]), len(data) - 1)]]
+        joined[ends - 1] = 32
+        ids = np.array(self.tokenizer.encode_batch_fast([joined.tobytes().decode("ascii")], add_special_tokens=False)[0].ids, np.int32)
+        stops = np.flatnonzero(self.last[ids]) + 1
+        if len(stops) != len(begin) or stops[-1] != len(ids):
+            return False
+        self._add([], ids, np.diff(np.r_[0, stops]))
+        return True
+
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts, and each text's count."""
         if self.n_words > REMEMBERED:
@@ -122,15 +140,23 @@ class WordEncoder:
         hashes, rows, first, last = words(column)
         value, at, which = np.unique(hashes, return_index=True, return_inverse=True)
         found = list(map(self.hashed.get, value.tolist()))
-        missing = [k for k, x in enumerate(found) if x is None]
-        if missing:
-            names = [whole[a:b].lower().decode() for a, b in zip(first[at[missing]].tolist(), last[at[missing]].tolist(), strict=True)]
-            new = [w for w in names if w not in self.known]
-            if new:
-                self._learn(new)
-            for k, w in zip(missing, names, strict=True):
-                found[k] = self.known[w]
-            self.hashed.update(zip(value[missing].tolist(), (found[k] for k in missing), strict=True))
+        missing = np.array([k for k, x in enumerate(found) if x is None], np.int64)
+        if len(missing):
+            begin, end = first[at[missing]], last[at[missing]]
+            other = np.r_[0, np.cumsum(~_LETTER[data])]
+            plain = other[end] == other[begin]
+            if plain.any() and not self._learn_letters(data, begin[plain], end[plain]):
+                plain[:] = False
+            new = np.empty(len(missing), np.int64)
+            new[plain] = np.arange(self.n_words - int(plain.sum()), self.n_words)
+            rest = np.flatnonzero(~plain)
+            names = [whole[a:b].lower().decode() for a, b in zip(begin[rest].tolist(), end[rest].tolist(), strict=True)]
+            if unknown := [w for w in names if w not in self.known]:
+                self._learn(unknown)
+            new[rest] = [self.known[w] for w in names]
+            for k, x in zip(missing.tolist(), new.tolist(), strict=True):
+                found[k] = x
+            self.hashed.update(zip(value[missing].tolist(), new.tolist(), strict=True))
         ids, sizes = self._gather(np.array(found, np.int64)[which])
         total = np.r_[0, np.cumsum(sizes)]
         return ids, np.diff(total[np.searchsorted(rows, np.arange(len(column) + 1))])
