@@ -8,32 +8,47 @@ from pyspark.sql import functions as F
 from folioforge.llm._store import Scratch, light
 
 
+def _roots(step: DataFrame, n: int, scratch: Scratch, rounds: int) -> DataFrame:
+    """Follows ``label``, which is never above its ``node``, to the node that names itself; chains halve each round."""
+    for _ in range(rounds):
+        moved = Observation()
+        up = light(step.select(F.col("node").alias("label"), F.col("label").alias("further")), n)
+        new = step.join(up, "label", "left").select("node", F.col("label").alias("old"), F.coalesce("further", "label").alias("label"))
+        new = scratch.keep(new.observe(moved, F.count_if(F.col("old") != F.col("label")).alias("n")).select("node", "label"), "labels")
+        scratch.drop(step)
+        step = new
+        if not moved.get["n"]:
+            return step
+    raise RuntimeError(f"labels did not settle in {rounds} rounds")
+
+
 def components(edges: DataFrame, scratch: Scratch, rounds: int = 60) -> tuple[DataFrame, int]:
     """The smallest reachable node of each node that has an edge, and how many these are.
 
     ``edges`` has integer columns ``a`` and ``b``; loops and repeats are harmless.
-    Each round takes the least label among a node's neighbours (a partial
-    aggregate, so a hub's edges never meet in one task) and then the label of
-    that label, so chains shorten geometrically. Labels travel to the edges while
-    they are few (``light``), and meet them in shuffles beyond. Returns ``node`` and
+    Each round points a node at its least neighbour (a partial aggregate, so a hub's
+    edges never meet in one task), follows the pointers to their roots and draws the
+    edges between roots, which leaves at most half of the nodes that have edges. A
+    component's least node is always a root. Labels travel to the edges while they
+    are few (``light``), and meet them in shuffles beyond. Returns ``node`` and
     ``label``.
     """
-    both = scratch.keep(
-        edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).where("a is not null and b is not null").distinct(),
-        "edges",
-    )
-    start = both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("label"))
-    labels, n = scratch.counted(start.select("node", F.least("node", "label").alias("label")), "labels")
+    edges = edges.select("a", "b").where("a is not null and b is not null")
+    labels, total = None, 0
     for _ in range(rounds):
-        near = both.join(light(labels.select(F.col("node").alias("b"), F.col("label").alias("seen")), n), "b").groupBy(F.col("a").alias("node")).agg(F.min("seen").alias("seen"))
-        lower = near.join(light(labels, n), "node").select("node", F.col("label").alias("old"), F.least("label", "seen").alias("label"))
-        jump = light(labels.select(F.col("node").alias("label"), F.col("label").alias("further")), n)
-        moved = Observation()
-        new = lower.join(jump, "label", "left").select("node", "old", F.least("label", "further").alias("label"))
-        new = scratch.keep(new.observe(moved, F.count_if(F.col("old") != F.col("label")).alias("n")).select("node", "label"), "labels")
-        scratch.drop(labels)
-        labels = new
-        if not moved.get["n"]:
-            scratch.drop(both)
-            return labels, n
+        edges = scratch.keep(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "edges")
+        both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        near = both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("label"))
+        step, n = scratch.counted(near.select("node", F.least("node", "label").alias("label")), "labels")
+        if labels is not None and not n:
+            scratch.drop(edges, step)
+            return labels, total
+        step = _roots(step, n, scratch, rounds)
+        if labels is None:
+            labels, total = step, n
+        else:
+            further = light(step.select(F.col("node").alias("label"), F.col("label").alias("further")), n)
+            labels = scratch.keep(labels.join(further, "label", "left").select("node", F.coalesce("further", "label").alias("label")), "labels")
+        at = [light(step.select(F.col("node").alias(c), F.col("label").alias(f"root_{c}")), n) for c in ("a", "b")]
+        edges = edges.join(at[0], "a").join(at[1], "b").where("root_a <> root_b").select(F.col("root_a").alias("a"), F.col("root_b").alias("b"))
     raise RuntimeError(f"components did not settle in {rounds} rounds")

@@ -318,7 +318,6 @@ class _Join:
     def __init__(self, rows: DataFrame, k: int, percent: int, trees: int, limit: int, depth: int) -> None:
         self.rows, self.k, self.percent, self.trees, self.limit, self.depth = rows, k, percent, trees, limit, depth
         self.scratch = Scratch(rows.sparkSession, "neardup")
-        self.links: DataFrame | None = None
         self.labels: DataFrame | None = None
         self.n_labels = 0
         self.sets: DataFrame | None = None
@@ -338,9 +337,9 @@ class _Join:
     def add(self, links: DataFrame, name: str) -> None:
         found, n = self.scratch.counted(links, name)
         if n:
-            self.links = self.scratch.keep(self.links.union(found).distinct(), "links") if self.links is not None else found
             old = self.labels
-            self.labels, self.n_labels = components(self.links, self.scratch)
+            links = found if old is None else found.union(old.select(F.col("node").alias("a"), F.col("label").alias("b")))
+            self.labels, self.n_labels = components(links, self.scratch)
             if old is not None:
                 self.scratch.drop(old)
 
