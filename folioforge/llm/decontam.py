@@ -89,6 +89,7 @@ class Matcher:
     def document(self, hashes: np.ndarray) -> Iterator[tuple[int, float, int, int]]:
         """The best window of each matching item: item, similarity, first word, words."""
         best: dict[int, tuple[float, int]] = {}
+        self._whole(hashes, best)
         short = [s for s in self.by_size if s < self.k]
         for size in short:
             self._windows(hashes, 0, len(hashes), size, size, best)
@@ -103,7 +104,29 @@ class Matcher:
                         if size >= self.k:
                             self._windows(hashes, low, high, size, self.k, best)
         for r, (similarity, first) in sorted(best.items()):
-            yield self.ids[r], similarity, first, int(self.sizes[r])
+            yield self.ids[r], similarity, first, min(int(self.sizes[r]), len(hashes))
+
+    def _whole(self, hashes: np.ndarray, best: dict) -> None:
+        """Compare a document with every longer item that it can still be near."""
+        longer = [s for s in self.by_size if s > len(hashes) and 100 * max(1, len(hashes) - self.k + 1) >= self.percent * max(1, s - self.k + 1)]
+        if not longer:
+            return
+        value, _, _ = shingles(hashes, np.zeros(len(hashes), np.int64), self.k)
+        if not np.isin(value, self.known).any():
+            return
+        mine = Counter(value.tolist())
+        fingerprint = _fingerprints(_bits(mix(value)).sum(0)[None, :])
+        for size in longer:
+            which, index = self.by_size[size]
+            for _, i in index.near(fingerprint):
+                self._confirm(mine, int(which[i]), 0, best)
+
+    def _confirm(self, mine: Counter, r: int, first: int, best: dict) -> None:
+        item = self.counts[r]
+        common = sum(min(n, item[s]) for s, n in mine.items())
+        whole = sum(mine.values()) + sum(item.values()) - common
+        if 100 * common >= self.percent * whole and common / whole > best.get(r, (0.0, 0))[0]:
+            best[r] = (common / whole, first)
 
     def _windows(self, hashes: np.ndarray, low: int, high: int, size: int, k: int, best: dict) -> None:
         if high - low < size:
@@ -122,11 +145,7 @@ class Matcher:
         at = np.flatnonzero(shares[width:] > shares[:-width])
         for w, i in index.near(_fingerprints(total[at + width] - total[at])):
             first, r = int(at[w]), int(which[i])
-            mine, item = Counter(value[first : first + width].tolist()), self.counts[r]
-            common = sum(min(n, item[s]) for s, n in mine.items())
-            whole = sum(mine.values()) + sum(item.values()) - common
-            if 100 * common >= self.percent * whole and common / whole > best.get(r, (0.0, 0))[0]:
-                best[r] = (common / whole, low + first)
+            self._confirm(Counter(value[first : first + width].tolist()), r, low + first, best)
 
 
 def _search(items: list[tuple[int, str]], k: int, percent: int, radius: int):

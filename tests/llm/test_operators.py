@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 import zlib
+from collections import Counter
 
 import duckdb
 import numpy as np
@@ -130,6 +131,25 @@ def test_decontamination_finds_planted_passages(spark):
     assert left.columns == docs.columns and {r.doc_id for r in left.collect()} == {*range(20, 28), 41, 42}
 
 
+def test_decontamination_finds_truncated_items_as_whole_documents(spark):
+    items = [prose(300 + i, 60) for i in range(20)] + [prose(330, 12), "one two three four"]
+    benchmark = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    rows = [(100 * cut + i, " ".join(t.split()[: len(t.split()) - cut])) for cut in (1, 3, 9, 11, 12, 30) for i, t in enumerate(items)]
+    rows += [(1000 + i, " ".join(t.split()[3:])) for i, t in enumerate(items)]
+
+    def near(text, item):
+        a, b = (words(t) for t in (text, item))
+        a, b = (Counter(tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))) if w else Counter() for w in (a, b))
+        return bool(a) and 10 * (a & b).total() >= 8 * (a | b).total()
+
+    expected = {(d, i) for d, t in rows for i, item in enumerate(items) if near(t, item)}
+    assert len(expected) == 101
+    out = decontam.matches(docs_of(spark, rows), benchmark).collect()
+    assert {(r.doc_id, r.item_id) for r in out} == expected
+    assert all(r.first_word == 0 and r.n_words == len(dict(rows)[r.doc_id].split()) for r in out)
+    assert {r.doc_id for r in decontam.drop_contaminated(docs_of(spark, rows), benchmark).collect()} == {d for d, _ in rows} - {d for d, _ in expected}
+
+
 # 4
 
 
