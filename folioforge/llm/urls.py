@@ -4,8 +4,11 @@ A rule of host and path fits its host and all subdomains where the url's path st
 with the rule's; the longest fitting rule decides. Pages that no rule fits are judged
 by their host: hosts with allowed pages are trusted seeds, hosts with blocked pages
 distrusted seeds, each in proportion to its pages. Personalised PageRank spreads
-trust along host edges and distrust against them; a host with more distrust than
-trust is blocked. Host edges are the absolute links of the pages' html, counted per
+trust along host edges and distrust against them, in rounds until no host's score
+changes by more than its ``close``-th part, so every host that links reach is scored,
+however far or small: about 90 rounds at damping 0.85, more where a host is first
+reached later. A host with more distrust than trust, by over a part in 1e9, is
+blocked; the scores are given to 10 significant digits. Host edges are the absolute links of the pages' html, counted per
 pair of hosts by a partial aggregate, so a host with a third of all pages is one row
 a task.
 
@@ -18,6 +21,7 @@ each; an empty table gives an empty result; other columns are not read.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from itertools import count
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -62,8 +66,10 @@ def host_edges(pages: DataFrame, url_col: str, html_col: str) -> DataFrame:
     return links.select("src", host_of(F.when(F.col("to").startswith("//"), F.concat(F.lit("http:"), "to")).otherwise(F.col("to"))).alias("dst")).where("src <> '' and dst <> '' and src <> dst").groupBy("src", "dst").agg(F.count("*").alias("n"))
 
 
-def propagate(seeds: DataFrame, edges: DataFrame, scratch: Scratch, damping: float, rounds: int, close: float) -> DataFrame:
-    """Personalised PageRank of ``host`` from ``seed`` masses, until a round moves less than ``close``.
+def propagate(seeds: DataFrame, edges: DataFrame, scratch: Scratch, damping: float, rounds: int | None, close: float) -> DataFrame:
+    """Personalised PageRank of ``host`` from ``seed`` masses, until no score changes by more than its ``close``-th part.
+
+    ``rounds``, if given, is a limit.
 
     A host without outward edges returns its mass to the seeds.
     """
@@ -72,21 +78,23 @@ def propagate(seeds: DataFrame, edges: DataFrame, scratch: Scratch, damping: flo
     total = seeds.agg(F.sum("seed")).first()[0]
     seeds = scratch.keep(seeds.select("host", (F.col("seed") / F.lit(float(total or 1))).alias("seed")), "seeds")
     rank = seeds.select("host", F.col("seed").alias("rank"))
-    for _ in range(rounds):
+    for _ in count() if rounds is None else range(rounds):
         flow = shares.join(rank, F.col("src") == F.col("host")).groupBy(F.col("dst").alias("host")).agg(F.sum(F.col("rank") * F.col("share")).alias("flow"))
         sent = flow.agg(F.sum("flow")).first()[0] or 0.0
         mass = rank.agg(F.sum("rank")).first()[0] or 0.0
         back = (1 - damping) + damping * max(0.0, mass - sent)
         both = seeds.join(flow, "host", "full").select("host", (F.coalesce("seed", F.lit(0.0)) * back + F.coalesce("flow", F.lit(0.0)) * damping).alias("rank"))
         new = scratch.keep(both, "rank")
-        moved = new.join(rank.withColumnRenamed("rank", "old"), "host", "full").agg(F.sum(F.abs(F.coalesce("rank", F.lit(0.0)) - F.coalesce("old", F.lit(0.0))))).first()[0] or 0.0
+        change = F.abs(F.col("rank") - F.coalesce("old", F.lit(0.0))) / F.col("rank")
+        moved = new.where("rank > 0").join(rank.withColumnRenamed("rank", "old"), "host", "left").agg(F.max(change)).first()[0] or 0.0
+        scratch.drop(rank)
         rank = new
         if moved < close:
             break
     return rank
 
 
-def judge(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES, damping: float = 0.85, rounds: int = 20, close: float = 1e-6, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
+def judge(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES, damping: float = 0.85, rounds: int | None = None, close: float = 1e-6, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """One row a page: ``id_col``, ``host``, ``path``, ``rule``, ``verdict``, and its host's ``trust`` and ``distrust``."""
     scratch = Scratch(pages.sparkSession, "urls")
     rows = pages.select(id_col, host_of(F.col(url_col)).alias("host"), path_of(F.col(url_col)).alias("path"))
@@ -99,6 +107,7 @@ def judge(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES, damping: f
     distrust = propagate(hosts.where("blocked > 0").select("host", F.col("blocked").alias("seed")), back, scratch, damping, rounds, close)
     scores = trust.withColumnRenamed("rank", "trust").join(distrust.withColumnRenamed("rank", "distrust"), "host", "full")
     out = rows.join(scores, "host", "left")
-    both = [F.round(F.coalesce(c, F.lit(0.0)), 12).alias(c) for c in ("trust", "distrust")]
-    by_method = F.when(both[1] > both[0], F.lit("block")).otherwise(F.lit("allow"))
-    return out.select(id_col, "host", "path", "rule", F.coalesce("said", by_method).alias("verdict"), *both)
+    both = [F.coalesce(c, F.lit(0.0)) for c in ("trust", "distrust")]
+    by_method = F.when(both[1] > both[0] * (1 + 1e-9), F.lit("block")).otherwise(F.lit("allow"))
+    shown = [F.format_string("%.9e", c).cast("double").alias(name) for c, name in zip(both, ("trust", "distrust"), strict=True)]
+    return out.select(id_col, "host", "path", "rule", F.coalesce("said", by_method).alias("verdict"), *shown)

@@ -315,6 +315,17 @@ def test_url_rules_and_propagation(spark):
     assert out == {r[0]: r[3] for r in rows}
 
 
+def test_url_propagation_reaches_far_hosts_and_small_shares(spark):
+    link = '<a href="http://{}.test/">x</a>'.format
+    rows = [(1, "http://x.org/es/", None), (2, "http://far0.test/", '<a href="http://x.org/">x</a>'), (3, "http://small0.test/", '<a href="http://x.org/">x</a>')]
+    rows += [(100 + i, f"http://far{i}.test/", link(f"far{i - 1}")) for i in range(1, 26)]
+    rows += [(200 + i, f"http://small{i}.test/", link(f"small{i - 1}")) for i in range(1, 5)]
+    rows += [(300 + i, f"http://filler{i}.test/", link(f"small{i}") * 5000) for i in range(4)]
+    out = urls.judge(spark.createDataFrame([*rows, (400, "http://apart.test/", "")], "page_id long, url string, html string")).collect()
+    assert {r.page_id for r in out if r.verdict == "allow"} == {400}
+    assert all(r.distrust > 0 for r in out if r.page_id != 400)
+
+
 # all
 
 
