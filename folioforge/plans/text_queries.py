@@ -74,6 +74,14 @@ PLAIN = r"""
 SELECT doc_id, length(regexp_replace(regexp_replace('Lead in  x 1    ' || substr(text, 1, 200), '\s+', ' ', 'g'), '^ | $', '', 'g'))::INT AS chars
 FROM documents WHERE NOT regexp_matches(text, '[\\{}$&#_^~]')
 """
+
+
+def plain_texts(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's whole text as visible words."""
+    plain = T.tex_to_plain(F.col("text"))
+    return table(spark, folder, "documents").select("doc_id", F.length(plain).alias("chars"), F.md5(plain).alias("plain_md5"))
+
+
 _RULES = (
     (1, "a\\nB c\\nd", "a\nB c\\nd"), (2, r"A37\\2605", r"A37\textbackslash{}2605"), (3, r"\handwritten{10^3}", r"\handwritten{10\textsuperscript{3}}"),
     (4, r"  \%  #VALUE_ID: X", "  % #VALUE_ID: X"), (5, r"x\中\\文", r"x\textbackslash{}中\textbackslash{}文"), (6, "a\n  \\newline  \nb", "a\n\\par\nb"), (7, "plain", "plain"),
@@ -155,6 +163,7 @@ QUERIES = {
     "slug_names": (slug_names, SLUGS),
     "log_tail": (log_tail, LOG_TAIL),
     "plain_words": (plain_words, PLAIN),
+    "plain_texts": (plain_texts, None),
     "rules_regex": (rules_regex, _values([(i, r) for i, _, r in _RULES], "id, result")),
     "markup_issues": (markup_issues, _values(_ISSUES, "id, severity, code, line")),
     "brace_balance": (brace_balance, None),
