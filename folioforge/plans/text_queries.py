@@ -93,6 +93,12 @@ def rules_regex(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select("id", T.normalize(F.col("source"))[0].alias("result"))
 
 
+def rules_texts(spark: SparkSession, folder: str) -> DataFrame:
+    """The built rules over every whole document: its digest after them, and the finds of each rule."""
+    result, finds = T.normalize(F.col("text"))
+    return table(spark, folder, "documents").select("doc_id", F.md5(result).alias("result_md5"), *[finds[name].alias(name) for name, _, _ in T.REGEX_RULES])
+
+
 _BROKEN = ((1, r"a {b} c"), (2, "a } b\n{ c"), (3, r"\begin{a}\end{b}"), (4, r"\begin{document} x"), (5, r"x \end{document}"), (6, "% {\n\\{ \\verb|{| ok"), (7, "{{\n{"))
 _ISSUES = (
     (2, "error", "UNMATCHED_CLOSE_BRACE", 1), (2, "error", "UNCLOSED_BRACE", 2), (3, "error", "ENVIRONMENT_MISMATCH", 1), (3, "error", "UNCLOSED_ENVIRONMENT", 1), (4, "warning", "DOCUMENT_FRAGMENT_BEGIN", 1),
@@ -165,6 +171,7 @@ QUERIES = {
     "plain_words": (plain_words, PLAIN),
     "plain_texts": (plain_texts, None),
     "rules_regex": (rules_regex, _values([(i, r) for i, _, r in _RULES], "id, result")),
+    "rules_texts": (rules_texts, None),
     "markup_issues": (markup_issues, _values(_ISSUES, "id, severity, code, line")),
     "brace_balance": (brace_balance, None),
     "table_cells": (table_cells, _values(_CELLS, "id, table_no, env, columns, row_no, cell_no, text, span")),
