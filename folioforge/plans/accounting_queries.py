@@ -210,6 +210,15 @@ LEDGER_MERGE = f"""
 SELECT id, day, completed_at, 'local' AS origin FROM {R.duck(R.COMPLETION)} WHERE id % 2 = 0 AND day < DATE '1998-06-01'
 UNION ALL SELECT id, day, completed_at, 'remote' FROM {R.duck(R.COMPLETION)} WHERE id % 3 = 0 AND day >= DATE '1998-06-01'
 """
+
+
+def ledger_merge_all(spark: SparkSession, folder: str) -> DataFrame:
+    """Two ledgers that each hold every order, split by the cutover day alone."""
+    rows = R.frame(spark, folder, R.COMPLETION).select("id", "day", "completed_at")
+    return A.merge_ledgers(rows.withColumn("origin", F.lit("local")), rows.withColumn("origin", F.lit("remote")), "1998-06-01")
+
+
+LEDGER_MERGE_ALL = f"SELECT id, day, completed_at, CASE WHEN day < DATE '1998-06-01' THEN 'local' ELSE 'remote' END AS origin FROM {R.duck(R.COMPLETION)} WHERE day IS NOT NULL"
 _BAD_ROWS = "VALUES (-1, DATE '1999-01-01'), (-1, DATE '1999-01-02'), (NULL, DATE '1999-01-03'), (-2, NULL)"
 
 
@@ -265,6 +274,7 @@ QUERIES = {
     "first_stage": (first_stage, FIRST_STAGE),
     "previous_completion": (previous_completion, PREVIOUS),
     "ledger_merge_cutover": (ledger_merge_cutover, LEDGER_MERGE),
+    "ledger_merge_all": (ledger_merge_all, LEDGER_MERGE_ALL),
     "ledger_validate": (ledger_validate, LEDGER_VALIDATE),
     "published_anti": (published_anti, PUBLISHED),
     "web_daily_rollup": (web_daily_rollup, WEB_DAILY),
