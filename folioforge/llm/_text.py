@@ -1,8 +1,9 @@
 """Words, hashes and shingles of whole Arrow string columns, by numpy.
 
 A word is a run of bytes other than ``\\x20`` and ``\\x09-\\x0D``, with A-Z lower-cased.
-All of these are ASCII, so UTF-8 bytes can be scanned without decoding. A word's
-hash is a polynomial over a random table of its bytes modulo 2**64, then mixed.
+All of these are ASCII, so UTF-8 bytes can be scanned without decoding. A range of
+bytes is hashed from its length and its blocks of eight bytes, each scrambled into
+the hash so far; ranges of over ``LONG`` bytes are hashed by xxHash.
 """
 
 from __future__ import annotations
@@ -12,17 +13,15 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 
 PIECE = 1 << 20
-_rng = np.random.Generator(np.random.PCG64(20240607))
-_BYTE = _rng.integers(0, 1 << 64, 256, dtype=np.uint64) | np.uint64(1)
+LONG = 256
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 SPACE = np.zeros(256, bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
-_VALUE = _BYTE[LOWER]
-_BASE = 0x9E3779B97F4A7C15 | 1
-_powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+_FIRST = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -33,13 +32,22 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if len(_powers[0]) < n:
-        for k, base in enumerate((_BASE, pow(_BASE, -1, 1 << 64))):
-            steps = np.full(max(n, PIECE), base, np.uint64)
-            steps[0] = 1
-            _powers[k] = np.multiply.accumulate(steps)
-    return _powers[0][:n], _powers[1][:n]
+def hash_ranges(data: np.ndarray, first: np.ndarray, last: np.ndarray, seed: int = 0) -> np.ndarray:
+    """64-bit hashes of the byte ranges ``first`` to ``last`` of ``data``."""
+    padded = np.zeros(len(data) + 8, np.uint8)
+    padded[:-8] = data
+    block = np.ndarray(len(data) + 1, "<u8", padded, strides=(1,))
+    size = last - first
+    out = mix((block[first] & _FIRST[np.minimum(size, 8)]) ^ mix(size.astype(np.uint64) + np.uint64(seed << 32)))
+    more = np.flatnonzero((size > 8) & (size <= LONG))
+    at = 8
+    while len(more):
+        rest = size[more] - at
+        out[more] = mix(out[more] * np.uint64(3) + (block[first[more] + at] & _FIRST[np.minimum(rest, 8)]))
+        more, at = more[rest > 8], at + 8
+    for k in np.flatnonzero(size > LONG).tolist():
+        out[k] = xxhash.xxh3_64_intdigest(data[first[k] : last[k]].tobytes(), seed)
+    return out
 
 
 def buffer_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -80,11 +88,7 @@ def words(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndar
         after = np.empty_like(solid)
         after[-1], after[:-1] = False, solid[1:]
         last = np.flatnonzero(solid & (~after | edges[at + 1 : end + 1])) + 1
-        power, inverse = _power(end - at)
-        total = np.empty(end - at + 1, np.uint64)
-        total[0] = 0
-        np.cumsum(_VALUE[data[at:end]] * power, out=total[1:])
-        out.append((mix((total[last] - total[first]) * inverse[first]), first + at, last + at))
+        out.append((hash_ranges(LOWER[data[at:end]], first, last), first + at, last + at))
         at = end
     if not out:
         empty = np.zeros(0, np.int64)

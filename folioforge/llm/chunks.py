@@ -24,12 +24,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from folioforge.llm._text import SPACE, _power, buffer_of, mix, slices
+from folioforge.llm._text import SPACE, buffer_of, hash_ranges, slices
 
 WINDOW = 32
 _rng = np.random.Generator(np.random.PCG64(77))
 GEAR = _rng.integers(0, 1 << 32, 256, dtype=np.uint32)
-_DIGEST = [_rng.integers(0, 1 << 64, 256, dtype=np.uint64) | np.uint64(1) for _ in range(2)]
 
 
 def _greatest(x: np.ndarray, n: int) -> np.ndarray:
@@ -86,12 +85,7 @@ def _chunk(reach: int, longest: int):
             for piece in slices(batch, "text"):
                 data, offsets = buffer_of(piece.column(1))
                 row, first, end = cuts(data, offsets, reach, longest)
-                power, inverse = _power(len(data) + 1)
-                digests = []
-                for table in _DIGEST:
-                    total = np.zeros(len(data) + 1, np.uint64)
-                    np.cumsum(table[data] * power[: len(data)], out=total[1:])
-                    digests.append(mix((total[end] - total[first]) * inverse[first] + (end - first).astype(np.uint64)).view(np.int64))
+                digests = [hash_ranges(data, first, end, seed).view(np.int64) for seed in (1, 2)]
                 gap = SPACE[data]
                 begins = ~gap & np.r_[True, gap[:-1]] if len(data) else gap
                 count = np.r_[0, np.cumsum(begins)]
