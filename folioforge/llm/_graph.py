@@ -9,12 +9,14 @@ from folioforge.llm._store import Scratch, light
 
 
 def _roots(step: DataFrame, n: int, scratch: Scratch, rounds: int) -> DataFrame:
-    """Follows ``label``, which is never above its ``node``, to the node that names itself; chains halve each round."""
+    """Follows ``label``, which is never above its ``node``, to the node that names itself; chains shrink fourfold each round."""
     for _ in range(rounds):
         moved = Observation()
-        up = light(step.select(F.col("node").alias("label"), F.col("label").alias("further")), n)
-        new = step.join(up, "label", "left").select("node", F.col("label").alias("old"), F.coalesce("further", "label").alias("label"))
-        new = scratch.keep(new.observe(moved, F.count_if(F.col("old") != F.col("label")).alias("n")).select("node", "label"), "labels")
+        up = light(step.select(F.col("node").alias("label"), F.col("label").alias("second")), n)
+        twice = step.join(up, "label")
+        up = light(twice.select(F.col("node").alias("second"), F.col("second").alias("fourth")), n)
+        new = twice.join(up, "second").observe(moved, F.count_if(F.col("label") != F.col("fourth")).alias("n"))
+        new = scratch.keep(new.select("node", F.col("fourth").alias("label")), "labels")
         scratch.drop(step)
         step = new
         if not moved.get["n"]:
@@ -22,8 +24,8 @@ def _roots(step: DataFrame, n: int, scratch: Scratch, rounds: int) -> DataFrame:
     raise RuntimeError(f"labels did not settle in {rounds} rounds")
 
 
-def components(edges: DataFrame, scratch: Scratch, rounds: int = 60) -> tuple[DataFrame, int]:
-    """The smallest reachable node of each node that has an edge, and how many these are.
+def components(edges: DataFrame, scratch: Scratch, rounds: int = 60) -> tuple[DataFrame | None, int]:
+    """The smallest reachable node of each node that has an edge to another, and how many these are.
 
     ``edges`` has integer columns ``a`` and ``b``; loops and repeats are harmless.
     Each round points a node at its least neighbour (a partial aggregate, so a hub's
@@ -31,18 +33,21 @@ def components(edges: DataFrame, scratch: Scratch, rounds: int = 60) -> tuple[Da
     edges between roots, which leaves at most half of the nodes that have edges. A
     component's least node is always a root. Labels travel to the edges while they
     are few (``light``), and meet them in shuffles beyond. Returns ``node`` and
-    ``label``.
+    ``label``, or None without edges.
     """
-    edges = edges.select("a", "b").where("a is not null and b is not null")
+
+    def drawn(a: str, b: str, found: DataFrame) -> tuple[DataFrame, int]:
+        ends = found.where(F.col(a) != F.col(b)).select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b"))
+        return scratch.counted(ends.distinct(), "edges")
+
+    edges, m = drawn("a", "b", edges)
     labels, total = None, 0
     for _ in range(rounds):
-        edges = scratch.keep(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "edges")
+        if not m:
+            return labels, total
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         near = both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("label"))
         step, n = scratch.counted(near.select("node", F.least("node", "label").alias("label")), "labels")
-        if labels is not None and not n:
-            scratch.drop(edges, step)
-            return labels, total
         step = _roots(step, n, scratch, rounds)
         if labels is None:
             labels, total = step, n
@@ -50,5 +55,5 @@ def components(edges: DataFrame, scratch: Scratch, rounds: int = 60) -> tuple[Da
             further = light(step.select(F.col("node").alias("label"), F.col("label").alias("further")), n)
             labels = scratch.keep(labels.join(further, "label", "left").select("node", F.coalesce("further", "label").alias("label")), "labels")
         at = [light(step.select(F.col("node").alias(c), F.col("label").alias(f"root_{c}")), n) for c in ("a", "b")]
-        edges = edges.join(at[0], "a").join(at[1], "b").where("root_a <> root_b").select(F.col("root_a").alias("a"), F.col("root_b").alias("b"))
+        edges, m = drawn("root_a", "root_b", edges.join(at[0], "a").join(at[1], "b"))
     raise RuntimeError(f"components did not settle in {rounds} rounds")

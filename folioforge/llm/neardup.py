@@ -9,9 +9,13 @@ compared exhaustively, larger ones branch again into two children at every level
 With the 4 trees of the default, an isolated pair at 0.80 is missed with a chance of
 4e-5 if its nodes are small after the first two levels, 1.1e-4 after 3 further
 levels, 1.3e-4 after 5 and 1.5e-4 after 11 (at 0.85: 5e-6, 1.1e-5, 1.2e-5, 1.3e-5),
-computed for independent places over the 64 tokens. Candidates are confirmed on the full
-sets: first a spanning forest of each node's near pairs, then what is near but not
-yet connected, node by node, so no list of all pairs is made.
+computed for independent places over the 64 tokens.
+
+Within a node, documents are compared by four bits of each token: a pair at the
+threshold falls below the cutoff with a chance under 1e-6. The likeliest pairs that
+connect the node's documents, a spanning forest, are confirmed on the full sets
+first, then what is near but not yet connected, so no list of all pairs is made.
+Sets that are compared together are dealt into blocks of about ``BLOCK_BYTES``.
 
 Copies first collapse to one class by a 128-bit digest of the set, aggregated on
 both sides of the shuffle. A large node compares everything with one random pivot,
@@ -23,8 +27,8 @@ exhaustively in blocks.
 
 Defined results: null or empty texts, and texts without words, have an empty set
 and are linked with nothing; rows that share an id are copies of one node; a null
-id takes its class's component; an empty table gives an empty result; other
-columns are not read.
+id takes its component's least id, and links others as any row does; an empty table
+gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations
@@ -34,7 +38,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from folioforge.llm._graph import components
@@ -42,12 +46,14 @@ from folioforge.llm._store import Scratch, light
 from folioforge.llm._text import distinct, mix, shingles, slices, words
 
 PLACES = 64
+#: Bytes of full sets that one group gathers to compare them, if more than two of them.
+BLOCK_BYTES = 1 << 25
 _SEEDS = mix(np.arange(1, PLACES + 1, dtype=np.uint64))
 _ODD = mix(np.arange(1001, 1001 + PLACES, dtype=np.uint64)) | np.uint64(1)
 
 
 def _sets(piece: pa.RecordBatch, k: int) -> tuple[np.ndarray, np.ndarray]:
-    hashes, rows, _, _ = words(piece.column(1))
+    hashes, rows, _, _ = words(piece.column(piece.schema.get_field_index("text")))
     value, row, _ = shingles(hashes, rows, k)
     return distinct(value, row)
 
@@ -79,8 +85,8 @@ def _sketch(k: int):
                     for i, t in zip(full, _tokens(value, starts), strict=True):
                         tokens[i] = t.tobytes()
                 yield pa.RecordBatch.from_arrays(
-                    [piece.column(0), pa.array(size.astype(np.int64)), pa.array(d1.view(np.int64)), pa.array(d2.view(np.int64)), pa.array(tokens, pa.binary())],
-                    names=["id", "n", "d1", "d2", "tokens"],
+                    [*(piece.column(piece.schema.get_field_index(c)) for c in ("id", "t1", "t2")), pa.array(size.astype(np.int64)), pa.array(d1.view(np.int64)), pa.array(d2.view(np.int64)), pa.array(tokens, pa.binary())],
+                    names=["id", "t1", "t2", "n", "d1", "d2", "tokens"],
                 )
 
     return run
@@ -99,6 +105,26 @@ def _children(path: np.ndarray, tokens: np.ndarray) -> np.ndarray:
     return np.stack([mix(path ^ mix((place.astype(np.uint64) << np.uint64(32)) + tokens[at, place])) for place in (one, two)], 1)
 
 
+def _short(tokens: np.ndarray) -> pa.Array:
+    """Four bits of each token."""
+    low = (tokens & np.uint32(15)).astype(np.uint8)
+    return pa.array([r.tobytes() for r in low[:, ::2] | low[:, 1::2] << 4], pa.binary())
+
+
+def _places(column: pa.Array) -> np.ndarray:
+    packed = np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, PLACES // 2)
+    return np.stack([packed & 15, packed >> 4], 2).reshape(-1, PLACES)
+
+
+_ENTRIES = "path long, rep long, n long, short binary"
+
+
+def _entry_batch(paths: np.ndarray, batch: pa.RecordBatch, tokens: np.ndarray) -> pa.RecordBatch:
+    again = pa.array(np.repeat(np.arange(len(tokens)), paths.shape[1]))
+    columns = [batch.column(batch.schema.get_field_index(c)) for c in ("rep", "n")] + [_short(tokens)]
+    return pa.RecordBatch.from_arrays([pa.array(paths.ravel().view(np.int64)), *(c.take(again) for c in columns)], names=["path", "rep", "n", "short"])
+
+
 def _entries(trees: int):
     """Two levels of every tree at once."""
 
@@ -106,12 +132,12 @@ def _entries(trees: int):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            tokens = _matrix(batch.column(1))
+            tokens = _matrix(batch.column(batch.schema.get_field_index("tokens")))
             paths = np.repeat(mix(np.arange(1, trees + 1, dtype=np.uint64))[None, :], len(tokens), 0)
             for _ in range(2):
                 width = paths.shape[1]
                 paths = _children(paths.ravel(), np.repeat(tokens, width, 0)).reshape(len(tokens), -1)
-            yield pa.RecordBatch.from_arrays([pa.array(paths.ravel().view(np.int64)), batch.column(0).take(pa.array(np.repeat(np.arange(len(tokens)), paths.shape[1])))], names=["path", "rep"])
+            yield _entry_batch(paths, batch, tokens)
 
     return run
 
@@ -119,9 +145,8 @@ def _entries(trees: int):
 def _branch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         if batch.num_rows:
-            path = batch.column(0).to_numpy().view(np.uint64)
-            children = _children(path, _matrix(batch.column(2)))
-            yield pa.RecordBatch.from_arrays([pa.array(children.ravel().view(np.int64)), pa.array(np.repeat(batch.column(1).to_numpy(), 2))], names=["path", "rep"])
+            tokens = _matrix(batch.column(batch.schema.get_field_index("tokens")))
+            yield _entry_batch(_children(batch.column(0).to_numpy().view(np.uint64), tokens), batch, tokens)
 
 
 def _cutoff(percent: int) -> int:
@@ -130,50 +155,79 @@ def _cutoff(percent: int) -> int:
     return max(1, math.floor(PLACES * s - 4.9 * math.sqrt(PLACES * s * (1 - s))))
 
 
-def _near(n: np.ndarray, tokens: np.ndarray, i: np.ndarray, j: np.ndarray, percent: int) -> np.ndarray:
-    """Agreeing tokens of each pair, or 0 if the pair can't reach the threshold."""
-    out = np.zeros(len(i), np.int64)
-    possible = np.flatnonzero(100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j]))
-    for at in range(0, len(possible), 1 << 15):
-        p = possible[at : at + (1 << 15)]
-        out[p] = (tokens[i[p]] == tokens[j[p]]).sum(1)
-    out[out < _cutoff(percent)] = 0
-    return out
+def _one_bit_cutoff(percent: int) -> int:
+    """The same for single bits of tokens, half of which agree by chance where tokens differ."""
+    s = (1 + percent / 100) / 2
+    return max(1, math.floor(PLACES * s - 4.9 * math.sqrt(PLACES * s * (1 - s))))
+
+
+def _possible(n: np.ndarray, m: np.ndarray, percent: int) -> np.ndarray:
+    """Whether sets of these sizes can reach the threshold."""
+    return 100 * np.minimum(n, m) >= percent * np.maximum(n, m)
+
+
+def _connect(n: np.ndarray, places: np.ndarray, group: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Connects a node's documents by near pairs, likeliest first.
+
+    ``group`` tells what is connected already. Returns a number for each document's
+    part of the node and the pairs of a spanning forest.
+    """
+    part = np.unique(group, return_inverse=True)[1]
+    bit = np.packbits(places & 1, axis=1).view(np.uint64).ravel()
+    edges: list[tuple[int, int]] = []
+    least, one_bit = _cutoff(percent), _one_bit_cutoff(percent)
+    sure = PLACES * percent // 100
+    for low in sorted({least, max(least, sure - 5), max(least, sure + 4)}, reverse=True):
+        for at in range(0, len(n), 256):
+            end = min(at + 256, len(n))
+            agree = PLACES - np.bitwise_count(bit[at:end, None] ^ bit[None, at:])
+            may = (agree >= one_bit) & (part[at:end, None] != part[None, at:])
+            for x in np.flatnonzero(may.any(1)).tolist():
+                i = at + x
+                j = at + np.flatnonzero(may[x])
+                j = j[(j > i) & (part[j] != part[i])]
+                j = j[_possible(n[i], n[j], percent)]
+                near = (places[j] == places[i]).sum(1)
+                j, near = j[near >= low], near[near >= low]
+                if len(j):
+                    j = j[np.argsort(-near, kind="stable")]
+                    parts, best = np.unique(part[j], return_index=True)
+                    edges += [(i, int(y)) for y in j[best]]
+                    part[np.isin(part, parts)] = part[i]
+    found = np.array(edges, np.int64).reshape(-1, 2)
+    return part, found[:, 0], found[:, 1]
+
+
+def _parts(percent: int, forest: bool):
+    """What near pairs connect in each node: rows of a part's name, and a document with its label.
+
+    Parts of several nodes with the same documents share a name. With ``forest``, rows
+    without a name follow: the ends of the pairs that connect them.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(batch.num_rows):
+                docs = batch.column(0).slice(row, 1).flatten()
+                rep, n, label = (docs.field(x).to_numpy() for x in ("rep", "n", "label"))
+                order = np.argsort(rep)
+                rep, n, label = rep[order], n[order], label[order]
+                part, i, j = _connect(n, _places(docs.field("short"))[order], label, percent)
+                if not len(i):
+                    continue
+                some = np.flatnonzero(np.isin(part, part[i]))
+                total = np.zeros(len(rep), np.uint64)
+                np.add.at(total, part[some], mix(rep[some].view(np.uint64)))
+                names, members, labels = total[part[some]].view(np.int64), rep[some], label[some]
+                blank = pa.nulls(len(names), pa.int64())
+                if forest:
+                    yield pa.RecordBatch.from_arrays([pa.nulls(len(i), pa.int64()), pa.array(rep[i]), pa.array(label[i]), pa.array(rep[j])], names=["cluster", "rep", "label", "other"])
+                yield pa.RecordBatch.from_arrays([pa.array(names), pa.array(members), pa.array(labels), blank], names=["cluster", "rep", "label", "other"])
+
+    return run
 
 
-def _pairs_within(sizes: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-    for s in np.unique(sizes):
-        i, j = np.triu_indices(s, 1)
-        base = starts[sizes == s][:, None]
-        left.append((base + i).ravel())
-        right.append((base + j).ravel())
-    return np.concatenate(left), np.concatenate(right)
-
-
-def _nodes(batch: pa.RecordBatch, pairs: int = 1 << 20) -> Iterator[pa.Array]:
-    """Runs of the batch's lists with about ``pairs`` pairs each."""
-    lists = batch.column(0)
-    sizes = np.diff(lists.offsets.to_numpy()).astype(np.int64)
-    group = np.cumsum(sizes * (sizes - 1) // 2) // pairs
-    cut = np.r_[np.flatnonzero(np.r_[True, group[1:] != group[:-1]]), len(group)]
-    for at, end in zip(cut[:-1], cut[1:], strict=True):
-        yield lists.slice(at, end - at)
-
-
-def _near_pairs(lists: pa.Array, percent: int) -> tuple[np.ndarray, ...]:
-    """Sizes and starts of the nodes, rep and label of their documents, and near pairs, nearest first."""
-    sizes = np.array(lists.value_lengths(), np.int64)
-    starts = np.r_[0, np.cumsum(sizes)[:-1]].astype(np.int64)
-    flat = lists.flatten()
-    rep, n, label = (flat.field(x).to_numpy() for x in ("rep", "n", "label"))
-    i, j = _pairs_within(sizes, starts)
-    apart = label[i] != label[j]
-    i, j = i[apart], j[apart]
-    agree = _near(n, _matrix(flat.field("tokens")), i, j, percent)
-    hit = np.flatnonzero(agree)
-    hit = hit[np.argsort(-agree[hit], kind="stable")]
-    return sizes, starts, rep, label, i[hit], j[hit]
+_PARTS = "cluster long, rep long, label long, other long"
 
 
 class _Union:
@@ -192,53 +246,8 @@ class _Union:
         return x != y
 
 
-def _near_parts(percent: int):
-    """Each node's documents that are near another: their part of the node (what near pairs connect), and a spanning forest.
-
-    Rows are a part's name and a document, then also the other end of a forest pair.
-    Parts of several nodes with the same documents share a name.
-    """
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            for lists in _nodes(batch):
-                _, _, rep, _, i, j = _near_pairs(lists, percent)
-                union = _Union(len(rep))
-                use = [q for q, (x, y) in enumerate(zip(i.tolist(), j.tolist(), strict=True)) if union.join(x, y)]
-                some = np.unique(np.r_[i, j])
-                part = np.array([union.top(x) for x in some.tolist()], np.int64)
-                total = np.zeros(len(rep), np.uint64)
-                np.add.at(total, part, mix(rep[some].view(np.uint64)))
-                a, b = rep[i[use]], rep[j[use]]
-                name = np.r_[total[part], np.zeros(len(use), np.uint64)].view(np.int64)
-                other = pa.array(np.r_[np.zeros(len(some), np.int64), np.maximum(a, b)], mask=np.r_[np.ones(len(some), bool), np.zeros(len(use), bool)])
-                yield pa.RecordBatch.from_arrays([pa.array(name), pa.array(np.r_[rep[some], np.minimum(a, b)]), other], names=["cluster", "rep", "other"])
-
-    return run
-
-
-def _clusters(percent: int):
-    """The documents of each node that are near one of another label; equal ones of several nodes share a name."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            for lists in _nodes(batch):
-                sizes, starts, rep, label, i, j = _near_pairs(lists, percent)
-                some = np.unique(np.r_[i, j])
-                node = np.searchsorted(starts, some, "right") - 1
-                total = np.zeros(len(sizes), np.uint64)
-                np.add.at(total, node, mix(rep[some].view(np.uint64)))
-                yield pa.RecordBatch.from_arrays([pa.array(total[node].view(np.int64)), pa.array(rep[some]), pa.array(label[some])], names=["cluster", "rep", "label"])
-
-    return run
-
-
 def _verify(percent: int):
-    """Links between labels of clusters given with full sets, as spanning forests."""
+    """Links between labels of groups given with full sets, as spanning forests."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -269,12 +278,11 @@ def _verify(percent: int):
 def _against_pivot(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            m = batch.num_rows
-            if not m:
+            if not batch.num_rows:
                 continue
-            a, n, b, k = (batch.column(c).to_numpy() for c in (0, 1, 3, 4))
-            tokens = np.concatenate([_matrix(batch.column(2)), _matrix(batch.column(5))])
-            hit = np.flatnonzero(_near(np.r_[n, k], tokens, np.arange(m), np.arange(m, 2 * m), percent))
+            a, n, b, m = (batch.column(c).to_numpy() for c in (0, 1, 3, 4))
+            agree = (_places(batch.column(2)) == _places(batch.column(5))).sum(1)
+            hit = np.flatnonzero((agree >= _cutoff(percent)) & _possible(n, m, percent))
             yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)[hit]), pa.array(np.maximum(a, b)[hit])], names=["a", "b"])
 
     return run
@@ -306,9 +314,6 @@ def _confirm(percent: int):
     return run
 
 
-_CLUSTERS = "cluster long, rep long, label long"
-
-
 def _pivot_rank() -> Column:
     """Orders a node's documents; nodes draw from four orders, so those of one group share few pivots."""
     return F.xxhash64("rep", F.pmod("path", F.lit(4)))
@@ -322,88 +327,129 @@ class _Join:
         self.n_labels = 0
         self.sets: DataFrame | None = None
 
-    def confirm(self, pairs: DataFrame, name: str) -> None:
+    def confirm(self, pairs: DataFrame) -> None:
         """Add the pairs that reach the threshold on full sets, and label components anew."""
         left = self.sets.select(F.col("rep").alias("a"), F.col("full").alias("full_a"))
         right = self.sets.select(F.col("rep").alias("b"), F.col("full").alias("full_b"))
         both = pairs.join(left, "a").join(right, "b").select("a", "b", "full_a", "full_b")
-        self.add(both.mapInArrow(_confirm(self.percent), "a long, b long"), name)
-
-    def confirm_clusters(self, rows: DataFrame, name: str) -> None:
-        """Add the links between different labels within clusters, confirmed on full sets."""
-        lists = rows.join(self.sets, "rep").groupBy("cluster").agg(F.collect_list(F.struct("rep", "label", "full")).alias("docs")).select("docs")
-        self.add(lists.mapInArrow(_verify(self.percent), "a long, b long"), name)
-
-    def add(self, links: DataFrame, name: str) -> None:
-        found, n = self.scratch.counted(links, name)
-        if n:
-            old = self.labels
-            links = found if old is None else found.union(old.select(F.col("node").alias("a"), F.col("label").alias("b")))
-            self.labels, self.n_labels = components(links, self.scratch)
-            if old is not None:
-                self.scratch.drop(old)
-
-    def labelled(self, members: DataFrame) -> DataFrame:
+        self.add(both.mapInArrow(_confirm(self.percent), "a long, b long"))
+
+    def confirm_clusters(self, rows: DataFrame) -> None:
+        """Add the links between different labels within clusters, confirmed on full sets.
+
+        A cluster of much data is dealt into blocks, and each pair of blocks is a group of its own.
+        """
+        full = rows.join(self.sets, "rep").select("cluster", "rep", "label", "full")
+        total = rows.join(self.sets.select("rep", "bytes"), "rep").groupBy("cluster").agg(F.sum("bytes").alias("bytes"))
+        blocks = total.select("cluster", F.ceil(2 * F.col("bytes") / BLOCK_BYTES).cast("int").alias("of")).withColumn("of", F.when(F.col("of") <= 2, 1).otherwise(F.col("of")))
+        block = full.join(blocks, "cluster").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("of")).cast("int"))
+        block = block.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("of") - 1)))
+        lists = block.groupBy("cluster", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high")).agg(F.collect_list(F.struct("rep", "label", "full")).alias("docs"))
+        self.add(lists.select("docs").mapInArrow(_verify(self.percent), "a long, b long"))
+
+    def add(self, links: DataFrame) -> None:
+        """Join the components that links connect."""
+        ends = links
+        for c in ("a", "b"):
+            ends = self.labelled(ends, c, f"label_{c}")
+        more, n = components(ends.select(F.col("label_a").alias("a"), F.col("label_b").alias("b")), self.scratch)
+        if not n:
+            return
+        if self.labels is None:
+            self.labels, self.n_labels = more, n
+            return
+        old, seen = self.labels, Observation()
+        further = light(more.select(F.col("node").alias("label"), F.col("label").alias("further")), n)
+        moved = old.join(further, "label", "left").select("node", F.coalesce("further", "label").alias("label"))
+        alone = more.join(light(old.select("node"), self.n_labels), "node", "left_anti")
+        self.labels = self.scratch.keep(moved.union(alone.select("node", "label")).observe(seen, F.count(F.lit(1)).alias("n")), "labels")
+        self.n_labels = seen.get["n"]
+        self.scratch.drop(old)
+
+    def labelled(self, rows: DataFrame, rep: str = "rep", label: str = "label") -> DataFrame:
+        rows = rows.drop(label)
         if self.labels is None:
-            return members.withColumn("label", F.col("rep"))
-        found = self.labels.select(F.col("node").alias("rep"), F.col("label").alias("found"))
-        return members.join(light(found, self.n_labels), "rep", "left").withColumn("label", F.coalesce("found", "rep")).drop("found")
+            return rows.withColumn(label, F.col(rep))
+        found = self.labels.select(F.col("node").alias(rep), F.col("label").alias("_found"))
+        return rows.join(light(found, self.n_labels), rep, "left").withColumn(label, F.coalesce("_found", rep)).drop("_found")
 
     def nodes(self, members: DataFrame, *keys: str) -> DataFrame:
-        """One row for each node: its documents, at most ``limit`` of them by construction, if labels differ."""
-        lists = members.groupBy(*keys).agg(F.collect_list(F.struct("rep", "n", "tokens", "label")).alias("docs"), F.min("label").alias("low"), F.max("label").alias("high"))
+        """One row for each node: its documents, about ``limit`` of them by construction, if labels differ."""
+        lists = members.groupBy(*keys).agg(F.collect_list(F.struct("rep", "n", "short", "label")).alias("docs"), F.min("label").alias("low"), F.max("label").alias("high"))
         return lists.where("low <> high").select("docs")
 
+    def classes(self) -> tuple[DataFrame, DataFrame]:
+        """The sketch of every row, and one row for each different set, named by ``rep``.
+
+        Names are drawn when the classes are written, and stay as written.
+        """
+        text = [F.xxhash64("text").alias("t1"), F.xxhash64(F.lit(1), "text").alias("t2")]
+        sketch = self.scratch.keep(self.rows.select("id", *text, "text").mapInArrow(_sketch(self.k), "id long, t1 long, t2 long, n long, d1 long, d2 long, tokens binary"), "sketch")
+        first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "t1", "t2")).alias("first")
+        classes = sketch.where("n > 0").groupBy("d1", "d2", "n").agg(first, F.any_value("tokens").alias("tokens"))
+        return sketch, self.scratch.keep(classes.select("d1", "d2", "n", "first.id", "first.t1", "first.t2", "tokens", F.monotonically_increasing_id().alias("rep")), "classes")
+
+    def gather(self, reps: DataFrame, involved: DataFrame) -> None:
+        """Full sets of the documents that are compared, from the text of one row each."""
+        wanted, n = self.scratch.counted(reps.join(involved.distinct(), "rep").select("rep", F.col("id").alias("wanted"), "t1", "t2"), "wanted")
+        rows = self.rows.select("id", F.xxhash64("text").alias("t1"), F.xxhash64(F.lit(1), "text").alias("t2"), "text")
+        texts = rows.join(light(wanted, n), ["t1", "t2"]).where(F.col("id").eqNullSafe(F.col("wanted"))).select("rep", "text")
+        sets = texts.mapInArrow(_full_sets(self.k), "rep long, full binary").groupBy("rep").agg(F.any_value("full").alias("full"))
+        self.sets = self.scratch.keep(sets.withColumn("bytes", F.length("full")), "sets")
+
     def run(self) -> tuple[DataFrame, DataFrame]:
         keep, limit, percent = self.scratch.keep, self.limit, self.percent
-        sketch = keep(self.rows.mapInArrow(_sketch(self.k), "id long, n long, d1 long, d2 long, tokens binary"), "sketch")
-        reps = keep(sketch.where("n > 0").groupBy("d1", "d2", "n").agg(F.min("id").alias("rep"), F.any_value("tokens").alias("tokens")), "reps")
-        entries = reps.where("rep is not null").select("rep", "tokens").mapInArrow(_entries(self.trees), "path long, rep long")
+        sketch, reps = self.classes()
+        entries = reps.select("rep", "n", "tokens").mapInArrow(_entries(self.trees), _ENTRIES)
         for level in range(self.depth):
-            entries = keep(entries.distinct() if level else entries, "entries")
-            nodes, n_nodes = self.scratch.counted(entries.groupBy("path").agg(F.count("*").alias("size"), F.min(_pivot_rank()).alias("pivot")).where("size > 1"), "nodes")
-            members = keep(entries.join(light(nodes, n_nodes), "path").select("path", "rep", "size", (_pivot_rank() == F.col("pivot")).alias("is_pivot")), "members")
-            tokens = reps.select("rep", "n", "tokens")
-            small = members.where(f"size <= {limit}").select("path", "rep").join(tokens, "rep")
-            near = keep(self.nodes(self.labelled(small), "path").mapInArrow(_near_parts(percent), "cluster long, rep long, other long"), "near")
-            big, n_big = self.scratch.counted(members.where(f"size > {limit}").join(tokens, "rep"), "big")
-            pairs = near.where("other is not null").select(F.col("rep").alias("a"), F.col("other").alias("b"))
+            if level:
+                entries = keep(entries.distinct(), "entries")
+            sizes, seen = entries.groupBy("path").agg(F.count("*").alias("size"), F.min(_pivot_rank()).alias("pivot")).where("size > 1"), Observation()
+            nodes = keep(sizes.observe(seen, F.count_if(F.col("size") > limit).alias("big")), "nodes")
+            n_big = seen.get["big"]
+            large = light(nodes.where(f"size > {limit}"), n_big)
+            some = entries.join(large.select("path"), "path", "left_anti") if n_big else entries
+            small = some.join(nodes.where(f"size <= {limit}").select("path"), "path")
+            near = keep(self.nodes(self.labelled(small), "path").mapInArrow(_parts(percent, True), _PARTS), "near")
+            pairs = near.where("cluster is null").select(F.col("rep").alias("a"), F.col("other").alias("b"))
+            parts = near.where("cluster is not null").select("cluster", "rep")
+            involved = near.select("rep")
             if n_big:
-                pivots = big.where("is_pivot").select("path", F.col("rep").alias("p"), F.col("n").alias("pn"), F.col("tokens").alias("ptokens"))
-                star = big.join(pivots, "path").where("rep <> p").select("rep", "n", "tokens", "p", "pn", "ptokens").mapInArrow(_against_pivot(percent), "a long, b long")
-                pairs = pairs.union(star)
+                big = keep(entries.join(large, "path").select("path", "rep", "n", "short", "size", (_pivot_rank() == F.col("pivot")).alias("is_pivot")), "big")
+                pivots = big.where("is_pivot").select("path", F.col("rep").alias("p"), F.col("n").alias("pn"), F.col("short").alias("pshort"))
+                star = big.join(light(pivots, n_big), "path").where("rep <> p").select("rep", "n", "short", "p", "pn", "pshort").mapInArrow(_against_pivot(percent), "a long, b long")
+                pairs, involved = pairs.union(star), involved.union(big.select("rep"))
             pairs, n_pairs = self.scratch.counted(pairs.distinct(), "pairs")
-            if self.sets is None:
-                involved = pairs.select("a").union(pairs.select("b")).union(big.select("rep")).distinct().withColumnRenamed("a", "id")
-                texts = self.rows.join(involved, "id", "left_semi").dropDuplicates(["id", "text"])
-                self.sets = keep(texts.mapInArrow(_full_sets(self.k), "rep long, full binary"), "sets")
+            if self.sets is None and (n_pairs or n_big):
+                self.gather(reps, involved)
             if n_pairs:
-                self.confirm(pairs, "found")
-            rest = self.unequal(self.labelled(near.where("other is null").select("cluster", "rep").distinct()))
+                self.confirm(pairs)
+            rest = self.unequal(self.labelled(parts.distinct()))
             n_left = 0
             if n_big:
-                large = self.labelled(big.select("path", "rep", "n", "tokens", "size"))
-                by_label = large.groupBy("path", "size", "label").agg(F.count("*").alias("of"))
-                states = by_label.groupBy("path", "size").agg(F.max(F.struct("of", "label")).alias("most"))
-                states = states.where("most.of < size").select("path", F.col("most.label").alias("main"), (F.col("size") - F.col("most.of")).alias("apart"))
-                large = keep(large.join(states, "path"), "large")
-                few = self.nodes(self.spread(large.where(f"apart <= {4 * limit}")), "path", "part")
-                rest = rest.union(few.mapInArrow(_clusters(percent), _CLUSTERS).distinct())
-                left, n_left = self.scratch.counted(large.where(f"apart > {4 * limit}").select("path", "rep", "n", "tokens", "size"), "left")
+                whole = self.labelled(big)
+                by_label = whole.groupBy("path", "size", "label").agg(F.count("*").alias("of"))
+                states = by_label.groupBy("path", "size").agg(F.max(F.struct("of", "label")).alias("most")).where("most.of < size")
+                states = states.select("path", F.col("most.label").alias("main"), (F.col("size") - F.col("most.of")).alias("apart"))
+                whole = keep(whole.join(light(states, n_big), "path"), "whole")
+                few = self.nodes(self.spread(whole.where(f"apart <= {4 * limit}")), "path", "part").mapInArrow(_parts(percent, False), _PARTS)
+                rest = rest.union(few.select("cluster", "rep", "label").distinct())
+                left, n_left = self.scratch.counted(whole.where(f"apart > {4 * limit}").select("path", "rep", "n", "short", "size"), "left")
             rest, n_rest = self.scratch.counted(rest, "rest")
             if n_rest:
-                self.confirm_clusters(rest, "found")
-            self.scratch.drop(entries, nodes, members, near, big, pairs, rest)
+                self.confirm_clusters(rest)
+            self.scratch.drop(nodes, near, pairs, rest)
             if not n_left:
                 break
-            entries = left.select("path", "rep", "tokens").mapInArrow(_branch, "path long, rep long")
-        else:
-            self.blocks(left)
+            if level == self.depth - 1:
+                self.blocks(left)
+            else:
+                entries = left.join(reps.select("rep", "tokens"), "rep").select("path", "rep", "n", "tokens").mapInArrow(_branch, _ENTRIES)
         return sketch, reps
 
-    def spread(self, large: DataFrame) -> DataFrame:
+    def spread(self, whole: DataFrame) -> DataFrame:
         """Parts of about ``limit`` documents of each node, each with the node's documents apart from its main label."""
-        parts = large.withColumn("of", F.ceil(F.col("size") / self.limit).cast("int"))
+        parts = whole.withColumn("of", F.ceil(F.col("size") / self.limit).cast("int"))
         own = F.array(F.pmod(F.xxhash64("rep"), F.col("of")).cast("int"))
         every = F.sequence(F.lit(0), F.col("of") - 1)
         return parts.withColumn("part", F.explode(F.when(F.col("label") == F.col("main"), own).otherwise(every)))
@@ -418,18 +464,23 @@ class _Join:
         parts = members.withColumn("of", F.ceil(F.col("size") / self.limit).cast("int")).withColumn("part", F.pmod(F.xxhash64("rep"), F.col("of")).cast("int"))
         each = parts.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("of") - 1)))
         each = each.withColumn("low_part", F.least("part", "other")).withColumn("high_part", F.greatest("part", "other"))
-        found = self.nodes(self.labelled(each), "path", "low_part", "high_part").mapInArrow(_clusters(self.percent), _CLUSTERS)
-        self.confirm_clusters(self.scratch.keep(found.distinct(), "blocks"), "found")
+        found = self.nodes(self.labelled(each), "path", "low_part", "high_part").mapInArrow(_parts(self.percent, False), _PARTS)
+        self.confirm_clusters(self.scratch.keep(found.select("cluster", "rep", "label").distinct(), "blocks"))
 
 
-def components_of(docs: DataFrame, k: int = 5, percent: int = 80, trees: int = 4, limit: int = 128, depth: int = 12, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def components_of(docs: DataFrame, k: int = 5, percent: int = 80, trees: int = 4, limit: int = 4096, depth: int = 12, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row a document: ``id_col``, ``n_shingles``, ``component_id`` and ``kept``."""
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     join = _Join(rows, k, percent, trees, limit, depth)
     sketch, reps = join.run()
-    classes = join.labelled(reps.select("d1", "d2", "n", "rep")).select("d1", "d2", "n", "label")
-    out = sketch.select("id", "n", "d1", "d2").join(classes, ["d1", "d2", "n"], "left")
-    component = F.coalesce("label", "id")
+    named = reps.select("d1", "d2", "n", F.col("id").alias("least"))
+    if join.labels is not None:
+        linked = reps.select("rep", "id").join(light(join.labels.withColumnRenamed("node", "rep"), join.n_labels), "rep")
+        least = linked.groupBy("label").agg(F.min("id").alias("found"))
+        found = light(linked.join(least, "label").select("rep", "found"), join.n_labels)
+        named = reps.join(found, "rep", "left").select("d1", "d2", "n", F.coalesce("found", "id").alias("least"))
+    out = sketch.select("id", "n", "d1", "d2").join(named, ["d1", "d2", "n"], "left")
+    component = F.coalesce("least", "id")
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(component == F.col("id"), F.lit(False)).alias("kept"))
 
 
@@ -438,6 +489,10 @@ def drop_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     Rows that repeat an id and its text count once; a null id stays, as nothing names it.
     """
-    found = components_of(docs, id_col=id_col, text_col=text_col, **settings).groupBy(id_col).agg(F.min("component_id").alias("_component"))
-    joined = docs.join(found, id_col, "left").where(F.col("_component").isNull() | (F.col("_component") == F.col(id_col)))
-    return joined.dropDuplicates([id_col, text_col]).select(*docs.columns)
+    scratch = Scratch(docs.sparkSession, "kept")
+    found = components_of(docs, id_col=id_col, text_col=text_col, **settings).where(F.col(id_col).isNotNull())
+    marks = found.groupBy(F.col(id_col).alias("_dup_id")).agg((F.min("component_id") != F.col("_dup_id")).alias("_dup_lost"), (F.count("*") > 1).alias("_dup_again"))
+    marks, n = scratch.counted(marks.where("_dup_lost or _dup_again"), "marks")
+    rows = docs.join(light(marks, n), docs[id_col] == marks["_dup_id"], "left").where("not coalesce(_dup_lost, false)")
+    again = rows.where("_dup_again").dropDuplicates([id_col, text_col]).select(*docs.columns)
+    return rows.where("_dup_again is null or not _dup_again").select(*docs.columns).union(again)

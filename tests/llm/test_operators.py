@@ -181,7 +181,7 @@ def test_near_duplicates_keep_their_recall_in_deep_nodes():
         places = chance.permutation(64)[:agree]
         tokens_of[2 * i + 1, places] = tokens_of[2 * i, places]
     stored = pa.array([t.tobytes() for t in tokens_of], pa.binary())
-    entries = pa.Table.from_batches(neardup._entries(4)([pa.RecordBatch.from_arrays([pa.array(range(2 * pairs)), stored], names=["rep", "tokens"])]))
+    entries = pa.Table.from_batches(neardup._entries(4)([pa.RecordBatch.from_arrays([pa.array(range(2 * pairs)), pa.array([9] * 2 * pairs), stored], names=["rep", "n", "tokens"])]))
     for _ in range(6):
         rows = sorted(set(zip(entries["path"].to_pylist(), entries["rep"].to_pylist(), strict=True)))
         holders = {}
@@ -189,7 +189,7 @@ def test_near_duplicates_keep_their_recall_in_deep_nodes():
             holders.setdefault((path, rep // 2), []).append(rep)
         shared = [(path, rep) for (path, _), reps in holders.items() if len(reps) == 2 for rep in reps]
         path, rep = (pa.array(c, pa.int64()) for c in zip(*shared, strict=True))
-        entries = pa.Table.from_batches(neardup._branch([pa.RecordBatch.from_arrays([path, rep, stored.take(rep)], names=["path", "rep", "tokens"])]))
+        entries = pa.Table.from_batches(neardup._branch([pa.RecordBatch.from_arrays([path, rep, rep, stored.take(rep)], names=["path", "rep", "n", "tokens"])]))
     # Pairs still together; with 48 of 64 places about 1 in 8,000 is expected to be lost, with 1.25 children 1 in 34.
     assert len({rep // 2 for _, rep in shared}) >= pairs - 1
 
