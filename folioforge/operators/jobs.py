@@ -57,31 +57,50 @@ def assign(pages: DataFrame, workers: int, by: str) -> DataFrame:
     return plan.select(by, F.col("w.id").alias("worker"), "w.pages", "w.files", F.sort_array("w.sources").alias("sources"))
 
 
-#: Notes of a batch code and statuses of a batch are fixed values of the record format.
+#: Notes of a batch code, the ending of a skipped one and the century of two-digit years: fixed values of the record format.
+NO_MONTH, NO_LINE, SHORT_YEAR = "编号年月待核对", "工艺及线编码待核对", "两位年份按20xx解析"
+SKIPPED, CENTURY = "_skip", "20"
+
+
 def batch_code(code: Column) -> Column:
-    """The parts of a batch code: prefix of a letter and two digits, process, line, month, sequence and notes."""
-    clean = F.regexp_replace(code, "_skip$", "")
-    modern, legacy = r"^([A-Z]\d{2}[A-Z0-9]*?)(20\d{2})(0[1-9]|1[0-2])(\d{3})(?:-\d+)?$", r"^([A-Z]\d{2}P)(\d{2})(0[1-9]|1[0-2])(\d{3})(?:-\d+)?$"
-    is_modern, is_legacy = clean.rlike(modern), ~clean.rlike(modern) & clean.rlike(legacy)
-
-    def part(n: int) -> Column:
-        return F.when(is_modern, F.regexp_extract(clean, modern, n)).when(is_legacy, F.regexp_extract(clean, legacy, n))
-
-    inner = r"^([A-Z]\d{2})([A-Z]\d?)(\d{2})?$"
-    prefix = part(1)
-    known = F.coalesce(prefix.rlike(inner), F.lit(False))
-    found = is_modern | is_legacy
-    notes = F.array_compact(F.array(F.when(~found, "编号年月待核对"), F.when(found & ~known, "工艺及线编码待核对"), F.when(is_legacy, "两位年份按20xx解析")))
+    """The parts of a batch code, read from its end: three digits of sequence, two of the month, four or two of the year, and a prefix.
+
+    A prefix is a letter and two digits (the batch), then a letter with at most one digit
+    (the process) and perhaps two digits (the line). Only prefixes that end in P go with
+    years of two digits.
+    """
+    clean = F.when(code.endswith(SKIPPED), F.left(code, F.length(code) - len(SKIPPED))).otherwise(code)
+    body = F.regexp_replace(clean, r"-\d+\z", "")
+
+    def cut(year_digits: int) -> tuple[Column, Column, Column, Column]:
+        digits = year_digits + 5
+        tail = F.right(body, F.lit(digits))
+        head = F.left(body, F.greatest(F.length(body) - digits, F.lit(0)))
+        return head, F.left(tail, F.lit(year_digits)), F.substring(tail, year_digits + 1, 2), F.right(tail, F.lit(3))
+
+    def dated(parts: tuple[Column, Column, Column, Column]) -> Column:
+        return F.concat(*parts[1:]).rlike(r"\A\d+\z") & parts[2].try_cast("int").between(1, 12)
+
+    long, short = cut(4), cut(2)
+    is_long = dated(long) & long[1].startswith(CENTURY) & long[0].rlike(r"\A[A-Z]\d{2}[A-Z0-9]*\z")
+    is_short = ~is_long & dated(short) & short[0].rlike(r"\A[A-Z]\d{2}P\z")
+    head, year, month, sequence = (F.when(is_long, x).when(is_short, y) for x, y in zip(long, short, strict=True))
+    found = is_long | is_short
+    rest = F.substring(head, 4, 100)
+    known = F.coalesce(rest.rlike(r"\A[A-Z](\d|\d{2}|\d{3})?\z"), F.lit(False))
+    line = F.when(F.length(rest) > 2, F.right(rest, F.lit(2))).otherwise("")
+    notes = F.array_compact(F.array(F.when(~found, NO_MONTH), F.when(found & ~known, NO_LINE), F.when(is_short, SHORT_YEAR)))
     return F.struct(
-        F.when(known, F.regexp_extract(prefix, inner, 1)).otherwise(F.substring(clean, 1, 3)).alias("batch"),
-        F.when(known, F.regexp_extract(prefix, inner, 2)).otherwise("").alias("process"),
-        F.when(known, F.regexp_extract(prefix, inner, 3)).otherwise("").alias("line"),
-        F.concat(F.when(is_legacy, "20").otherwise(""), part(2), F.lit("-"), part(3)).alias("month"),
-        F.coalesce(part(4), F.lit("")).alias("sequence"),
+        F.left(F.coalesce(head, clean), F.lit(3)).alias("batch"),
+        F.when(known, F.left(rest, F.length(rest) - F.length(line))).otherwise("").alias("process"),
+        F.when(known, line).otherwise("").alias("line"),
+        F.concat(F.when(is_short, CENTURY).otherwise(""), year, F.lit("-"), month).alias("month"),
+        F.coalesce(sequence, F.lit("")).alias("sequence"),
         F.array_join(notes, "; ").alias("notes"),
     )
 
 
+#: Statuses of a batch are fixed values of the record format.
 def file_state(skipped: Column, status: Column, finished: Column, published: Column) -> Column:
     """The state of a batch's file from its job and its publication."""
     return F.when(skipped, "skipped").when(status.isNotNull(), F.when((status == "done") & ~(finished & published), "review").otherwise(status)).when(published, "review").otherwise("unstarted")

@@ -65,14 +65,17 @@ FROM (SELECT doc_id, string_split(text, chr(10)) AS parts FROM documents)
 
 
 def plain_words(spark: SparkSession, folder: str) -> DataFrame:
-    docs = table(spark, folder, "documents")
-    marked = F.concat(F.lit(r"\textbf{Lead} \emph{in} $x_1$ & "), F.substring("text", 1, 200))
-    return docs.where(~F.col("text").rlike(r"[\\{}$&#_^~]")).select("doc_id", F.length(T.tex_to_plain(marked)).alias("chars"))
+    """Every document's whole text, after some markup, as visible words."""
+    marked = F.concat(F.lit(r"\textbf{Lead} \emph{in} $x_1$ & "), "text")
+    plain = T.tex_to_plain(marked)
+    return table(spark, folder, "documents").select("doc_id", F.length(plain).alias("chars"), F.md5(plain).alias("plain_md5"))
 
 
-PLAIN = r"""
-SELECT doc_id, length(regexp_replace(regexp_replace('Lead in  x 1    ' || substr(text, 1, 200), '\s+', ' ', 'g'), '^ | $', '', 'g'))::INT AS chars
-FROM documents WHERE NOT regexp_matches(text, '[\\{}$&#_^~]')
+_WIDE = r"[\s\x{0B}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+"
+PLAIN = rf"""
+SELECT doc_id, length(p)::INT AS chars, md5(p) AS plain_md5 FROM (
+  SELECT doc_id, trim(regexp_replace(translate(regexp_replace(regexp_replace('Lead in $x_1$ & ' || text, '\\(?:textbf|textit|texttt|emph|mbox|hbox|underline)\s*\{{([^{{}}]*)\}}', '\1', 'g'),
+    '\\[@A-Za-z]+\*?', ' ', 'g'), '{{}}$&#_^~\', '         '), '{_WIDE}', ' ', 'g'), ' ') AS p FROM documents)
 """
 
 
@@ -155,7 +158,8 @@ _VALUES = ((1, "１２ ＫＧ", "12kg", "１２ ＫＧ", "12_kg"), (2, "10³ m
 
 def text_values(spark: SparkSession, folder: str) -> DataFrame:
     rows = _fixture(spark, [v[:2] for v in _VALUES], "id int, source string")
-    return rows.select("id", "source", *[M.text_of(k)("source").alias(k) for k in ("normal", "escaped", "slug")])
+    slug = T.slug(M.text_of("ascii")("source"), named=F.col("source"))
+    return rows.select("id", "source", *[M.text_of(k)("source").alias(k) for k in ("normal", "escaped")], slug.alias("slug"))
 
 
 def unmatched_closings(spark: SparkSession, folder: str) -> DataFrame:
