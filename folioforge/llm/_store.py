@@ -9,12 +9,13 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 _LIVE: list[tuple[SparkSession, str]] = []
-_LASTING: list[tuple[SparkSession, str]] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -34,6 +35,8 @@ def shared_dir(spark: SparkSession) -> str:
 
 #: Rows of two or three integers that may be broadcast: about 6 MB.
 LIGHT_ROWS = 200_000
+#: Rows of a few numbers in a file.
+FILE_ROWS = 50_000
 
 
 def light(df: DataFrame, rows: int) -> DataFrame:
@@ -51,30 +54,35 @@ class Scratch:
     """The tables of one operator call, in a folder of their own.
 
     They stay until ``drop``, ``release`` or the end of the process, because the
-    operator's lazy result may still read them; ``lasting`` ones to the end.
+    operator's lazy result may still read them.
     """
 
-    def __init__(self, spark: SparkSession, name: str, lasting: bool = False) -> None:
+    def __init__(self, spark: SparkSession, name: str) -> None:
         self.spark = spark
         self.root = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
         self._paths: dict[int, str] = {}
-        (_LASTING if lasting else _LIVE).append((spark, self.root))
+        _LIVE.append((spark, self.root))
 
     def path(self, table: str) -> str:
         return f"{self.root}/{table}-{uuid.uuid4().hex[:8]}"
 
-    def keep(self, df: DataFrame, table: str) -> DataFrame:
-        """Write ``df`` and return a frame that reads it back."""
+    def keep(self, df: DataFrame, table: str, most: int | None = None) -> DataFrame:
+        """Write ``df`` and return a frame that reads it back.
+
+        ``most`` rows of a few numbers, if known, make as few files as they need.
+        """
         path = self.path(table)
+        if most is not None:
+            df = df.coalesce(1 + most // FILE_ROWS)
         df.write.parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
         self._paths[id(out)] = path
         return out
 
-    def counted(self, df: DataFrame, table: str) -> tuple[DataFrame, int]:
+    def counted(self, df: DataFrame, table: str, most: int | None = None) -> tuple[DataFrame, int]:
         """Like ``keep``, with the number of rows, which the same job counts."""
         seen = Observation()
-        out = self.keep(df.observe(seen, F.count(F.lit(1)).alias("n")), table)
+        out = self.keep(df.observe(seen, F.count(F.lit(1)).alias("n")), table, most)
         return out, seen.get["n"]
 
     def drop(self, *frames: DataFrame) -> None:
@@ -84,19 +92,25 @@ class Scratch:
                 _delete(self.spark, path)
 
 
-def release() -> None:
-    """Delete the tables of every operator call so far; their results must be written or dropped."""
-    while _LIVE:
-        spark, root = _LIVE.pop()
-        try:
-            _delete(spark, root)
-        except Exception as gone:  # the session may be closed at exit
-            if spark.sparkContext._jsc is not None:
-                raise gone
+@contextmanager
+def recorded() -> Iterator[list[tuple[SparkSession, str]]]:
+    """The folders that operator calls inside the block make, for ``release``."""
+    made: list[tuple[SparkSession, str]] = []
+    before = len(_LIVE)
+    yield made
+    made.extend(_LIVE[before:])
+
+
+def release(made: list[tuple[SparkSession, str]]) -> None:
+    """Delete folders whose operators' results are written or not wanted any more."""
+    while made:
+        spark, root = made.pop()
+        _delete(spark, root)
+        _LIVE.remove((spark, root))
 
 
 def _at_exit() -> None:
-    for spark, root in _LIVE + _LASTING:
+    for spark, root in _LIVE:
         try:
             if spark.sparkContext._jsc is not None:
                 _delete(spark, root)

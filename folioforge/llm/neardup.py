@@ -327,12 +327,12 @@ class _Join:
         self.n_labels = 0
         self.sets: DataFrame | None = None
 
-    def confirm(self, pairs: DataFrame) -> None:
+    def confirm(self, pairs: DataFrame, n: int) -> None:
         """Add the pairs that reach the threshold on full sets, and label components anew."""
         left = self.sets.select(F.col("rep").alias("a"), F.col("full").alias("full_a"))
         right = self.sets.select(F.col("rep").alias("b"), F.col("full").alias("full_b"))
         both = pairs.join(left, "a").join(right, "b").select("a", "b", "full_a", "full_b")
-        self.add(both.mapInArrow(_confirm(self.percent), "a long, b long"))
+        self.add(both.mapInArrow(_confirm(self.percent), "a long, b long"), n)
 
     def confirm_clusters(self, rows: DataFrame) -> None:
         """Add the links between different labels within clusters, confirmed on full sets.
@@ -347,12 +347,12 @@ class _Join:
         lists = block.groupBy("cluster", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high")).agg(F.collect_list(F.struct("rep", "label", "full")).alias("docs"))
         self.add(lists.select("docs").mapInArrow(_verify(self.percent), "a long, b long"))
 
-    def add(self, links: DataFrame) -> None:
-        """Join the components that links connect."""
+    def add(self, links: DataFrame, most: int | None = None) -> None:
+        """Join the components that links, at most ``most`` of them if known, connect."""
         ends = links
         for c in ("a", "b"):
             ends = self.labelled(ends, c, f"label_{c}")
-        more, n = components(ends.select(F.col("label_a").alias("a"), F.col("label_b").alias("b")), self.scratch)
+        more, n = components(ends.select(F.col("label_a").alias("a"), F.col("label_b").alias("b")), self.scratch, most)
         if not n:
             return
         if self.labels is None:
@@ -362,7 +362,7 @@ class _Join:
         further = light(more.select(F.col("node").alias("label"), F.col("label").alias("further")), n)
         moved = old.join(further, "label", "left").select("node", F.coalesce("further", "label").alias("label"))
         alone = more.join(light(old.select("node"), self.n_labels), "node", "left_anti")
-        self.labels = self.scratch.keep(moved.union(alone.select("node", "label")).observe(seen, F.count(F.lit(1)).alias("n")), "labels")
+        self.labels = self.scratch.keep(moved.union(alone.select("node", "label")).observe(seen, F.count(F.lit(1)).alias("n")), "labels", self.n_labels + n)
         self.n_labels = seen.get["n"]
         self.scratch.drop(old)
 
@@ -423,7 +423,7 @@ class _Join:
             if self.sets is None and (n_pairs or n_big):
                 self.gather(reps, involved)
             if n_pairs:
-                self.confirm(pairs)
+                self.confirm(pairs, n_pairs)
             rest = self.unequal(self.labelled(parts.distinct()))
             n_left = 0
             if n_big:
