@@ -4,26 +4,28 @@ A rule of host and path fits its host and all subdomains where the url's path st
 with the rule's; the longest fitting rule decides. Pages that no rule fits are judged
 by their host: hosts with allowed pages are trusted seeds, hosts with blocked pages
 distrusted seeds, each in proportion to its pages. Personalised PageRank spreads
-trust along host edges and distrust against them, in rounds until no host's score
-changes by more than its ``close``-th part, so every host that links reach is scored,
-however far or small: about 90 rounds at damping 0.85, more where a host is first
-reached later. A host with more distrust than trust, by over a part in 1e9, is
-blocked; the scores are given to 10 significant digits. Host edges are the absolute links of the pages' html, counted per
-pair of hosts by a partial aggregate, so a host with a third of all pages is one row
-a task.
+trust along host edges and distrust against them; hosts without onward edges return
+their mass to the seeds, which only scales all scores alike, so the walks are summed
+without it and scaled to a total of 1 at the end. Walks grow by ``stride`` links a job
+until the last link changes no host's score by more than its ``close``-th part: about
+90 links at damping 0.85, more where a host is first reached later, so every host that
+links reach is scored, however far or small. A host with more distrust than trust, by
+over a part in 1e9, is blocked; the scores are given to 10 significant digits. Host
+edges are the absolute links of the pages' html, counted per pair of hosts by a partial
+aggregate, so a host with a third of all pages is one row a task.
 
 Only DataFrame operations run. Defined results: a null url, or one without ``://``,
 has an empty host and path, which no rule fits and the method allows; without html,
-or without links between hosts, seeds keep their own score; pages that repeat count
-each; an empty table gives an empty result; other columns are not read.
+or without links between hosts, seeds keep their own score; pages that repeat, share
+an id or have none count each; an empty table gives an empty result; other columns
+are not read.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from itertools import count
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from folioforge.llm._store import Scratch
@@ -66,47 +68,45 @@ def host_edges(pages: DataFrame, url_col: str, html_col: str) -> DataFrame:
     return links.select("src", host_of(F.when(F.col("to").startswith("//"), F.concat(F.lit("http:"), "to")).otherwise(F.col("to"))).alias("dst")).where("src <> '' and dst <> '' and src <> dst").groupBy("src", "dst").agg(F.count("*").alias("n"))
 
 
-def propagate(seeds: DataFrame, edges: DataFrame, scratch: Scratch, damping: float, rounds: int | None, close: float) -> DataFrame:
-    """Personalised PageRank of ``host`` from ``seed`` masses, until no score changes by more than its ``close``-th part.
+def propagate(seeds: DataFrame, edges: DataFrame, scratch: Scratch, damping: float, stride: int, close: float) -> tuple[DataFrame, list[float]]:
+    """Sums of damped walks from the seeds: ``kind``, ``host`` and ``score``, and the total of each kind.
 
-    ``rounds``, if given, is a limit.
-
-    A host without outward edges returns its mass to the seeds.
+    ``seeds`` has ``kind`` (0 for trust, 1 for distrust), ``host`` and ``mass``.
     """
-    outward = edges.groupBy("src").agg(F.sum("n").alias("of"))
-    shares = scratch.keep(edges.join(outward, "src").select("src", "dst", (F.col("n") / F.col("of")).alias("share")), "shares")
-    total = seeds.agg(F.sum("seed")).first()[0]
-    seeds = scratch.keep(seeds.select("host", (F.col("seed") / F.lit(float(total or 1))).alias("seed")), "seeds")
-    rank = seeds.select("host", F.col("seed").alias("rank"))
-    for _ in count() if rounds is None else range(rounds):
-        flow = shares.join(rank, F.col("src") == F.col("host")).groupBy(F.col("dst").alias("host")).agg(F.sum(F.col("rank") * F.col("share")).alias("flow"))
-        sent = flow.agg(F.sum("flow")).first()[0] or 0.0
-        mass = rank.agg(F.sum("rank")).first()[0] or 0.0
-        back = (1 - damping) + damping * max(0.0, mass - sent)
-        both = seeds.join(flow, "host", "full").select("host", (F.coalesce("seed", F.lit(0.0)) * back + F.coalesce("flow", F.lit(0.0)) * damping).alias("rank"))
-        new = scratch.keep(both, "rank")
-        change = F.abs(F.col("rank") - F.coalesce("old", F.lit(0.0))) / F.col("rank")
-        moved = new.where("rank > 0").join(rank.withColumnRenamed("rank", "old"), "host", "left").agg(F.max(change)).first()[0] or 0.0
-        scratch.drop(rank)
-        rank = new
-        if moved < close:
-            break
-    return rank
-
-
-def judge(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES, damping: float = 0.85, rounds: int | None = None, close: float = 1e-6, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
+    both = edges.select(F.lit(0).alias("kind"), "src", "dst", "n").union(edges.select(F.lit(1).alias("kind"), F.col("dst").alias("src"), F.col("src").alias("dst"), "n"))
+    onward = both.groupBy("kind", "src").agg(F.sum("n").alias("of"))
+    shares = scratch.keep(both.join(onward, ["kind", "src"]).select("kind", F.col("src").alias("host"), "dst", (damping * F.col("n") / F.col("of")).alias("share")), "shares")
+    scores = scratch.keep(seeds.select("kind", "host", F.col("mass").alias("score"), F.col("mass").alias("last")), "scores")
+    while True:
+        step = scores.select("kind", "host", F.col("last").alias("mass"))
+        walks = scores.select("kind", "host", "score", F.lit(0.0).alias("last"))
+        for k in range(stride):
+            step = step.where("mass > 0").join(shares, ["kind", "host"]).groupBy("kind", F.col("dst").alias("host")).agg(F.sum(F.col("mass") * F.col("share")).alias("mass"))
+            walks = walks.union(step.select("kind", "host", "mass", F.col("mass") if k == stride - 1 else F.lit(0.0)))
+        seen = Observation()
+        new = walks.groupBy("kind", "host").agg(F.sum("score").alias("score"), F.sum("last").alias("last"))
+        new = new.observe(seen, F.max(F.try_divide("last", "score")).alias("moved"), *[F.sum(F.when(F.col("kind") == k, F.col("score"))).alias(f"total{k}") for k in (0, 1)])
+        new = scratch.keep(new, "scores")
+        scratch.drop(scores)
+        scores, found = new, seen.get
+        if (found["moved"] or 0.0) < close:
+            return scores.select("kind", "host", "score"), [found[f"total{k}"] or 1.0 for k in (0, 1)]
+
+
+def judge(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES, damping: float = 0.85, stride: int = 6, close: float = 1e-6, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """One row a page: ``id_col``, ``host``, ``path``, ``rule``, ``verdict``, and its host's ``trust`` and ``distrust``."""
     scratch = Scratch(pages.sparkSession, "urls")
     rows = pages.select(id_col, host_of(F.col(url_col)).alias("host"), path_of(F.col(url_col)).alias("path"))
     rule, verdict = rule_of(F.col("host"), F.col("path"), rules)
     rows = rows.withColumn("rule", rule).withColumn("said", verdict)
-    hosts = scratch.keep(rows.where("said is not null").groupBy("host").agg(F.count_if(F.col("said") == "allow").alias("allowed"), F.count_if(F.col("said") == "block").alias("blocked")), "hosts")
+    seen = Observation()
+    seeds = rows.where("said is not null").groupBy(F.when(F.col("said") == "allow", 0).otherwise(1).alias("kind"), "host").agg(F.count("*").alias("mass"))
+    seeds = scratch.keep(seeds.observe(seen, *[F.sum(F.when(F.col("kind") == k, F.col("mass"))).alias(f"total{k}") for k in (0, 1)]), "seeds")
+    all_of = F.when(F.col("kind") == 0, F.lit(float(seen.get["total0"] or 1))).otherwise(F.lit(float(seen.get["total1"] or 1)))
     edges = scratch.keep(host_edges(pages, url_col, html_col), "edges")
-    trust = propagate(hosts.where("allowed > 0").select("host", F.col("allowed").alias("seed")), edges, scratch, damping, rounds, close)
-    back = edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "n")
-    distrust = propagate(hosts.where("blocked > 0").select("host", F.col("blocked").alias("seed")), back, scratch, damping, rounds, close)
-    scores = trust.withColumnRenamed("rank", "trust").join(distrust.withColumnRenamed("rank", "distrust"), "host", "full")
-    out = rows.join(scores, "host", "left")
+    scores, total = propagate(seeds.select("kind", "host", (F.col("mass") / all_of).alias("mass")), edges, scratch, damping, stride, close)
+    by_host = scores.groupBy("host").agg(*[F.coalesce(F.sum(F.when(F.col("kind") == k, F.col("score") / total[k])), F.lit(0.0)).alias(name) for k, name in ((0, "trust"), (1, "distrust"))])
+    out = rows.join(by_host, "host", "left")
     both = [F.coalesce(c, F.lit(0.0)) for c in ("trust", "distrust")]
     by_method = F.when(both[1] > both[0] * (1 + 1e-9), F.lit("block")).otherwise(F.lit("allow"))
     shown = [F.format_string("%.9e", c).cast("double").alias(name) for c, name in zip(both, ("trust", "distrust"), strict=True)]
