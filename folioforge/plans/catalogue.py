@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
-from folioforge.plans import accounting_queries, job_queries, page_queries, record_queries, text_queries
+from folioforge.plans import accounting_queries, call_queries, job_queries, page_queries, record_queries, registry_queries, state_queries, text_queries
 
-QUERIES = {**accounting_queries.QUERIES, **job_queries.QUERIES, **page_queries.QUERIES, **record_queries.QUERIES, **text_queries.QUERIES}
+_MODULES = (accounting_queries, call_queries, job_queries, page_queries, record_queries, registry_queries, state_queries, text_queries)
+QUERIES = {name: query for module in _MODULES for name, query in module.QUERIES.items()}
