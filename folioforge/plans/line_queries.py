@@ -11,7 +11,7 @@ from folioforge.plans import adapters as R
 
 DOCS = "SELECT doc_id, text FROM {documents}"
 _LINES = "(SELECT doc_id, generate_subscripts(parts, 1)::INT AS line_no, unnest(parts) AS line FROM (SELECT doc_id, string_split(text, chr(10)) AS parts FROM documents))"
-_SHORT = F.length("line") < 120
+_SHORT = "length(line) < 120"
 _WIN = "(PARTITION BY doc_id ORDER BY line_no)"
 
 
@@ -20,7 +20,7 @@ def _lines(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def headings(spark: SparkSession, folder: str) -> DataFrame:
-    rows = L.headed(_lines(spark, folder), "doc_id", _SHORT)
+    rows = L.headed(_lines(spark, folder), "doc_id", F.expr(_SHORT))
     return rows.groupBy("doc_id").agg(F.count("*").alias("lines"), F.count("heading").alias("headed"), F.countDistinct("heading").alias("headings"), F.sum(F.length("heading")).alias("chars"))
 
 
@@ -31,7 +31,7 @@ SELECT doc_id, count(*)::BIGINT AS lines, count(h)::BIGINT AS headed, count(DIST
 
 
 def markers_above(spark: SparkSession, folder: str) -> DataFrame:
-    rows = L.marked_above(_lines(spark, folder), "doc_id", _SHORT, F.length("line") > 400, 3)
+    rows = L.marked_above(_lines(spark, folder), "doc_id", F.expr(_SHORT), F.length("line") > 400, 3)
     return rows.select("doc_id", "line_no", "marker_line").where("marker_line is not null")
 
 
@@ -56,7 +56,7 @@ SELECT doc_id, count(c)::BIGINT AS captioned, sum(c)::BIGINT AS places FROM (
 def page_tracker(spark: SparkSession, folder: str) -> DataFrame:
     """Short lines are breaks; every ninth line of even documents is a marker that names its page."""
     marker = F.when((F.col("doc_id") % 2 == 0) & (F.col("line_no") % 9 == 0), F.col("line_no") * 10)
-    rows = L.paged(_lines(spark, folder), "doc_id", marker, _SHORT)
+    rows = L.paged(_lines(spark, folder), "doc_id", marker, F.expr(_SHORT))
     return rows.groupBy("doc_id", "page").agg(F.count("*").alias("lines"), F.min("line_no").alias("first_line"))
 
 
