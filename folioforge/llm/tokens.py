@@ -23,6 +23,7 @@ from pathlib import Path
 import numpy as np
 import pyarrow as pa
 import pyspark
+from pyspark import SparkFiles
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -101,6 +102,10 @@ class WordEncoder:
     def _learn(self, rest: list[str]) -> None:
         normalize = self.tokenizer.normalizer.normalize_str
         normal = [w if w.isascii() or w.islower() and unicodedata.is_normalized("NFC", w) else normalize(w) for w in rest]
+        # Normalising twice can differ from once (a composition may follow lower-casing): such a word goes to the tokenizer as it is.
+        if unstable := [w for w, n in zip(rest, normal, strict=True) if not n.isascii() and normalize(n) != n]:
+            self._alone(unstable)
+            rest, normal = zip(*x) if (x := [(w, n) for w, n in zip(rest, normal, strict=True) if w not in self.known]) else ((), ())
         cut = [[w] if w.isalpha() else self.pieces(w) for w in normal]
         fresh = list(set().union(*cut).difference(self.known)) if cut else []
         if fresh:
@@ -200,15 +205,17 @@ def exact_for(path: str) -> bool:
 _encoders: dict[str, WordEncoder | TextEncoder] = {}
 
 
-def _encoder(path: str) -> WordEncoder | TextEncoder:
-    if path not in _encoders:
-        _encoders[path] = WordEncoder(path) if exact_for(path) else TextEncoder(path)
-    return _encoders[path]
+def _encoder(name: str) -> WordEncoder | TextEncoder:
+    """The encoder of a tokenizer's file that Spark has sent to the executors."""
+    if name not in _encoders:
+        path = SparkFiles.get(name)
+        _encoders[name] = WordEncoder(path) if exact_for(path) else TextEncoder(path)
+    return _encoders[name]
 
 
-def _writer(path: str, end_id: int):
+def _writer(name: str, end_id: int):
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(path)
+        encoder = _encoder(name)
         shard = pyspark.TaskContext.get().partitionId()
         total = block = 0
         names: list = []
@@ -248,7 +255,8 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2, id_co
     """Encode every text and write the file at ``path``."""
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     ordered = rows.repartitionByRange("id", F.xxhash64("text")).sortWithinPartitions("id", "text")
-    ordered.mapInArrow(_writer(tokenizer, end_id), FILE_SCHEMA).write.parquet(path)
+    docs.sparkSession.sparkContext.addFile(tokenizer)
+    ordered.mapInArrow(_writer(Path(tokenizer).name, end_id), FILE_SCHEMA).write.parquet(path)
 
 
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
