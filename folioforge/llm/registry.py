@@ -8,7 +8,6 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-import corpus_pipeline
 from folioforge.llm import chunks, decontam, lines, mixing, neardup, quality, tokens, toxicity, urls, vectors
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -61,6 +60,8 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline  # it imports the operators in turn
+
     return corpus_pipeline.run(spark, sf_dir)
 
 
