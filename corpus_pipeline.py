@@ -9,44 +9,65 @@ written.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from folioforge.llm import decontam, mixing, neardup, quality, tokens
-from folioforge.llm._store import Scratch, release
+from folioforge.llm._store import Scratch, recorded, release
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_made: list = []
+
+
+def _stage(work: Callable[[], DataFrame]) -> DataFrame:
+    """What ``work`` returns; what the stage before wrote for itself goes first."""
+    release(_made)
+    with recorded() as made:
+        out = work()
+    _made.extend(made)
+    return out
+
+
 def select_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose rejected grade is less likely than a wanted one."""
-    return quality.select(docs, _table(spark, sf_dir, "labels"))
+    """Documents whose rejected grade is less likely than a wanted one.
+
+    Null and empty texts are judged by the model's constant alone; rows that share an id are judged
+    each; without labels all stay.
+    """
+    return _stage(lambda: quality.select(docs, _table(spark, sf_dir, "labels")))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group linked at a similarity of 0.8 on five-word shingles."""
-    release()
-    return neardup.drop_duplicates(docs)
+    """One document of each group linked at a similarity of 0.8 on five-word shingles.
+
+    Texts without words and rows without an id stay; rows that repeat an id and its text count once.
+    """
+    return _stage(lambda: neardup.drop_duplicates(docs))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no passage of the benchmark."""
-    release()
-    return decontam.drop_contaminated(docs, _table(spark, sf_dir, "benchmark"))
+    """Documents that hold no passage of the benchmark; null and empty texts hold none, and ids don't matter."""
+    return _stage(lambda: decontam.drop_contaminated(docs, _table(spark, sf_dir, "benchmark")))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sources at their target weights, by whole repeats and a cut."""
-    release()
-    return mixing.apply(docs)
+    """Sources at their target weights, by whole repeats and a cut.
+
+    A null source is one of its own; documents without words stay once; the cut document ends after
+    the word that fills its source's target.
+    """
+    return _stage(lambda: mixing.apply(docs))
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The token file, one row a document."""
-    release()
-    return tokens.encode(docs, public_tokenizers.path("word_bpe_49k.json"))
+    """The token file, one row a document; null and empty texts have the end id alone, repeats are all written."""
+    return _stage(lambda: tokens.encode(docs, public_tokenizers.path("word_bpe_49k.json")))
 
 
 STAGES = [
@@ -65,6 +86,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     for k, (_, stage) in enumerate(STAGES):
         out = stage(spark, docs, sf_dir)
-        own = Scratch(spark, f"stage{k}", lasting=True)
-        docs = own.keep(out, "documents")
+        docs = Scratch(spark, f"stage{k}").keep(out, "documents")
+    release(_made)
     return docs
