@@ -6,8 +6,12 @@ greatest within ``reach`` bytes on either side: that depends on nothing further
 away, so an insertion moves the cuts around it and no others. Chunks are at least
 ``reach`` bytes apart and split at ``longest`` bytes where no maximum comes. Equal
 128-bit digests are equal chunks; the least ``doc_id`` that holds one keeps it, and
-runs of other documents' copies of ``min_words`` words or more are repeats. Digests
-meet in partial aggregates, so a chunk in a third of all documents costs one row a task.
+runs of other documents' copies of ``min_words`` words or more are repeats if one
+document keeps at least half of their words (else they are a mosaic of unrelated
+chunks, and stay). A passage loses less than a chunk at either end, so with about 7
+words a chunk those of over 50 words keep 36. Digests meet in partial aggregates, so a
+chunk in a third of all documents costs one row a task; what is shared is written, so
+that Spark can split what meets a frequent chunk.
 
 Defined results: null and empty texts have no chunks; repeats inside one document,
 or in rows that share its id, are not repeats across documents; rows without an id
@@ -24,6 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from folioforge.llm._store import Scratch
 from folioforge.llm._text import SPACE, buffer_of, hash_ranges, slices
 
 WINDOW = 32
@@ -99,20 +104,21 @@ def _chunk(reach: int, longest: int):
     return run
 
 
-def repeats(docs: DataFrame, reach: int = 20, longest: int = 2048, min_words: int = 12, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Passages to drop: ``doc_id``, ``keeper_id`` (a document that keeps a copy), byte ``start`` and ``end``, ``n_words``."""
+def repeats(docs: DataFrame, reach: int = 20, longest: int = 2048, min_words: int = 32, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Passages to drop: ``doc_id``, ``keeper_id`` (the document that keeps most of it), byte ``start`` and ``end``, ``n_words``."""
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     chunks = rows.mapInArrow(_chunk(reach, longest), "id long, k int, start long, end long, n_words int, a long, b long")
     shared = chunks.groupBy("a", "b").agg(F.min("id").alias("keeper"), F.max("id").alias("other")).where("keeper <> other").select("a", "b", "keeper")
-    copies = chunks.join(shared, ["a", "b"]).where("id <> keeper").dropDuplicates(["id", "k", "start", "a", "b"])
+    shared = Scratch(docs.sparkSession, "chunks").keep(shared, "shared")
+    copies = chunks.join(shared, ["a", "b"]).where("id <> keeper")
+    copies = copies.groupBy("id", "k", "start", "end").agg(F.min("keeper").alias("keeper"), F.max("n_words").alias("n_words"))
     order = Window.partitionBy("id").orderBy("k")
     runs = copies.withColumn("island", F.col("k") - F.dense_rank().over(order))
-    return (
-        runs.groupBy("id", "island")
-        .agg(F.min("keeper").alias("keeper_id"), F.min("start").alias("start"), F.max("end").alias("end"), F.sum("n_words").alias("n_words"))
-        .where(F.col("n_words") >= min_words)
-        .select(F.col("id").alias("doc_id"), "keeper_id", "start", "end", "n_words")
-    )
+    by_keeper = runs.groupBy("id", "island", "keeper").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.sum("n_words").alias("n_words"))
+    most = F.max(F.struct(F.col("n_words"), -F.col("keeper")))
+    whole = by_keeper.groupBy("id", "island").agg(most.alias("most"), F.min("start").alias("start"), F.max("end").alias("end"), F.sum("n_words").alias("n_words"))
+    found = whole.where((F.col("n_words") >= min_words) & (2 * F.col("most.n_words") >= F.col("n_words")))
+    return found.select(F.col("id").alias("doc_id"), (-F.col("most.col2")).alias("keeper_id"), "start", "end", "n_words")
 
 
 def _without(text: str, spans: list) -> str:
