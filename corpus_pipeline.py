@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from folioforge.llm import decontam, mixing, neardup, quality, tokens
 from folioforge.llm._store import Scratch, recorded, release
+from folioforge.session import ship
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,8 +26,9 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 _made: list = []
 
 
-def _stage(work: Callable[[], DataFrame]) -> DataFrame:
+def _stage(spark: SparkSession, work: Callable[[], DataFrame]) -> DataFrame:
     """What ``work`` returns; what the stage before wrote for itself goes first."""
+    ship(spark)
     release(_made)
     with recorded() as made:
         out = work()
@@ -40,7 +42,7 @@ def select_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     Null and empty texts are judged by the model's constant alone; rows that share an id are judged
     each; without labels all stay.
     """
-    return _stage(lambda: quality.select(docs, _table(spark, sf_dir, "labels")))
+    return _stage(spark, lambda: quality.select(docs, _table(spark, sf_dir, "labels")))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,12 +50,12 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
     Texts without words and rows without an id stay; rows that repeat an id and its text count once.
     """
-    return _stage(lambda: neardup.drop_duplicates(docs))
+    return _stage(spark, lambda: neardup.drop_duplicates(docs))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no passage of the benchmark; null and empty texts hold none, and ids don't matter."""
-    return _stage(lambda: decontam.drop_contaminated(docs, _table(spark, sf_dir, "benchmark")))
+    return _stage(spark, lambda: decontam.drop_contaminated(docs, _table(spark, sf_dir, "benchmark")))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -62,12 +64,12 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     A null source is one of its own; documents without words stay once; the cut document ends after
     the word that fills its source's target.
     """
-    return _stage(lambda: mixing.apply(docs))
+    return _stage(spark, lambda: mixing.apply(docs))
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The token file, one row a document; null and empty texts have the end id alone, repeats are all written."""
-    return _stage(lambda: tokens.encode(docs, public_tokenizers.path("word_bpe_49k.json")))
+    return _stage(spark, lambda: tokens.encode(docs, public_tokenizers.path("word_bpe_49k.json")))
 
 
 STAGES = [

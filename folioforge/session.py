@@ -47,11 +47,15 @@ def shared_dir(spark: SparkSession) -> str:
     return base
 
 
+#: Bytes of a batch that Python workers get at once, where the session doesn't say; Spark's own default is four times that.
+ARROW_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 _shipped: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
-    """Let Python workers import this package, wherever they start, by sending it once a session."""
+    """Let Python workers import this package, wherever they start, by sending it once a session, and bound what they get at once."""
+    if spark.conf.get(ARROW_BYTES, None) is None:
+        spark.conf.set(ARROW_BYTES, "16m")
     context = spark.sparkContext
     if context.applicationId in _shipped:
         return
