@@ -78,8 +78,7 @@ RETRY = f"SELECT id, ([{', '.join(map(str, _DELAYS))}])[attempts * 2 + 1]::INT A
 
 def dispatch_units(spark: SparkSession, folder: str) -> DataFrame:
     """Sources all of whose jobs are completed: their queue may hand on."""
-    jobs = _jobs(spark, folder).groupBy("source").agg(F.collect_list("status").alias("states"))
-    return jobs.select("source", F.size("states").alias("jobs"), ((F.size("states") > 0) & F.forall("states", lambda s: s == "completed")).alias("complete"))
+    return _jobs(spark, folder).groupBy("source").agg(F.count("*").cast("int").alias("jobs"), F.every(F.col("status") == "completed").alias("complete"))
 
 
 DISPATCH = f"SELECT source, count(*)::INT AS jobs, bool_and(status = 'completed') AS complete FROM {_JOBS} GROUP BY source"

@@ -10,11 +10,8 @@ from folioforge.operators import review as V
 from folioforge.session import table
 
 
-def batches(spark: SparkSession, folder: str) -> DataFrame:
-    """Each nation as a batch: market segments, customers, orders and their lines as process, subprocess, step and form.
-
-    Lines with flag A, N and R are personnel, materials and equipment.
-    """
+def _objects(spark: SparkSession, folder: str) -> DataFrame:
+    """One row an order: its lines with flag A, N and R as personnel, materials and equipment."""
     line = table(spark, folder, "lineitem").select(
         "l_orderkey",
         F.col("l_returnflag").alias("flag"),
@@ -23,14 +20,25 @@ def batches(spark: SparkSession, folder: str) -> DataFrame:
             F.array(*[F.struct(F.lit(k).alias("key"), v.alias("value")) for k, v in (("status", F.col("l_linestatus")), ("quantity", F.floor("l_quantity").cast("string")))]).alias("attributes"),
         ).alias("o"),
     )
-    forms = line.groupBy("l_orderkey").agg(*[F.array_sort(F.collect_list(F.when(F.col("flag") == f, F.col("o")))).alias(c) for f, c in zip("ANR", H.CATEGORIES, strict=False)])
-    forms = forms.withColumn("environment", F.lit(None).cast(forms.schema["personnel"].dataType))
-    rows = table(spark, folder, "orders").join(forms, F.col("o_orderkey") == F.col("l_orderkey")).join(table(spark, folder, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+    rows = line.groupBy("l_orderkey").agg(*[F.array_sort(F.collect_list(F.when(F.col("flag") == f, F.col("o")))).alias(c) for f, c in zip("ANR", H.CATEGORIES, strict=False)])
+    rows = rows.withColumn("environment", F.lit(None).cast(rows.schema["personnel"].dataType))
+    return rows.join(table(spark, folder, "orders"), F.col("o_orderkey") == F.col("l_orderkey")).join(table(spark, folder, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+
+
+def form_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders as forms of their customers' steps, by market segment and nation, as flat rows: nothing gathers a batch."""
+    text = lambda c: F.col(c).cast("string")
+    return _objects(spark, folder).select(text("c_nationkey").alias("batch"), F.col("c_mktsegment").alias("process"), F.lit("main").alias("subprocess"), text("c_custkey").alias("step"), text("o_orderkey").alias("form"), *[H.distinct_objects(F.col(c)).alias(c) for c in H.CATEGORIES])
+
+
+def nested_batches(spark: SparkSession, folder: str) -> DataFrame:
+    """Each customer as one nested record, as a batch's file is: the orders are forms of one step."""
+    rows = _objects(spark, folder)
     form = F.struct(F.col("o_orderkey").cast("string").alias("name"), *H.CATEGORIES)
-    steps = rows.groupBy("c_nationkey", "c_mktsegment", "c_custkey").agg(F.array_sort(F.collect_list(form), lambda a, b: F.when(a["name"] < b["name"], -1).when(a["name"] > b["name"], 1).otherwise(0)).alias("form"))
-    subs = steps.groupBy("c_nationkey", "c_mktsegment").agg(F.collect_list(F.struct(F.col("c_custkey").cast("string").alias("name"), "form")).alias("step"))
-    process = F.struct(F.col("c_mktsegment").alias("name"), F.array(F.struct(F.lit("main").alias("name"), "step")).alias("subprocess"))
-    return subs.groupBy(F.col("c_nationkey").cast("string").alias("batch")).agg(F.collect_list(process).alias("process"))
+    forms = rows.groupBy("c_custkey", "c_mktsegment").agg(F.collect_list(form).alias("form"))
+    step = F.array(F.struct(F.lit("only").alias("name"), "form"))
+    process = F.array(F.struct(F.col("c_mktsegment").alias("name"), F.array(F.struct(F.lit("main").alias("name"), step.alias("step"))).alias("subprocess")))
+    return forms.select(F.col("c_custkey").cast("string").alias("batch"), process.alias("process"))
 
 
 _FORMS = """
@@ -41,7 +49,7 @@ FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey
 
 
 def forms_flat(spark: SparkSession, folder: str) -> DataFrame:
-    return H.category_counts(H.forms(batches(spark, folder)))
+    return H.category_counts(form_rows(spark, folder))
 
 
 FORMS_FLAT = f"""
@@ -50,8 +58,16 @@ FROM ({_FORMS}) GROUP BY ALL
 """
 
 
+def forms_nested(spark: SparkSession, folder: str) -> DataFrame:
+    rows = H.category_counts(H.forms(nested_batches(spark, folder)))
+    return rows.select("batch", "process", "step", "form", *H.CATEGORIES)
+
+
+FORMS_NESTED = f"SELECT step AS batch, process, 'only' AS step, form, {', '.join(H.CATEGORIES)} FROM ({FORMS_FLAT})"
+
+
 def hierarchy_long(spark: SparkSession, folder: str) -> DataFrame:
-    rows = H.long(H.forms(batches(spark, folder)))
+    rows = H.long(form_rows(spark, folder))
     return rows.groupBy("batch", "category", "key").agg(F.count("*").alias("n"), F.countDistinct("value").alias("values"))
 
 
@@ -63,7 +79,7 @@ SELECT batch, CASE flag WHEN 'A' THEN 'personnel' WHEN 'N' THEN 'materials' ELSE
 
 
 def category_wide(spark: SparkSession, folder: str) -> DataFrame:
-    rows = H.wide(H.forms(batches(spark, folder)), "materials", ["status", "quantity", "absent"])
+    rows = H.wide(form_rows(spark, folder), "materials", ["status", "quantity", "absent"])
     return rows.select("batch", "step", "form", "name", "status", "quantity", "absent")
 
 
@@ -156,6 +172,7 @@ REPLY = "SELECT event_id, event_id % 5 > 0 AND value IS NOT NULL AND value / 100
 
 QUERIES = {
     "forms_flat": (forms_flat, FORMS_FLAT),
+    "forms_nested": (forms_nested, FORMS_NESTED),
     "hierarchy_long": (hierarchy_long, HIERARCHY_LONG),
     "category_wide": (category_wide, CATEGORY_WIDE),
     "merge_runs": (merge_runs, MERGE_RUNS),
