@@ -1,8 +1,9 @@
 """Operator 6: near-duplicate vectors by E8 lattice hashing.
 
-Each of ``tables`` random projections maps a vector's direction to two points of
+Each of ``tables`` random projections maps a vector's direction to ``blocks`` points of
 eight dimensions, decoded to the nearest points of the E8 lattice: together its home
-cell. A vector also probes the ``probes`` cells reached by the lattice's shortest
+cell. With the defaults a pair of 64 dimensions at a cosine of 0.95 meets with a chance
+of 0.994 (at 0.96: 0.9998), and unrelated vectors about 1.3 times in 100,000. A vector also probes the ``probes`` cells reached by the lattice's shortest
 steps that come nearest. Vectors that meet in a cell are compared by cosine in
 double precision. Equal vectors are one class first, by a 128-bit digest.
 
@@ -69,34 +70,35 @@ def nearest(x: np.ndarray) -> np.ndarray:
 
 
 @lru_cache(maxsize=8)
-def _projection(dim: int, tables: int, scale: float) -> np.ndarray:
-    return np.random.Generator(np.random.PCG64([dim, tables, 8])).normal(size=(tables, dim, 16)) * scale
+def _projection(dim: int, tables: int, scale: float, blocks: int) -> np.ndarray:
+    return np.random.Generator(np.random.PCG64([dim, tables, 8])).normal(size=(tables, dim, 8 * blocks)) * scale
 
 
 def _name(points: np.ndarray, table: int) -> np.ndarray:
-    """A 64-bit name of rows of sixteen lattice coordinates."""
+    """A 64-bit name of rows of lattice coordinates."""
     out = np.full(len(points), mix(np.array([table + 1], np.uint64))[0])
     for c in range(points.shape[1]):
         out = mix(out + np.round(points[:, c] * 2).astype(np.int64).view(np.uint64))
     return out
 
 
-def cells(unit: np.ndarray, tables: int, probes: int, scale: float) -> tuple[np.ndarray, np.ndarray]:
+def cells(unit: np.ndarray, tables: int, probes: int, scale: float, blocks: int) -> tuple[np.ndarray, np.ndarray]:
     """Home cells (rows, tables) and probed cells (rows, tables, probes)."""
     home = np.zeros((len(unit), tables), np.uint64)
     near = np.zeros((len(unit), tables, probes), np.uint64)
-    for t, matrix in enumerate(_projection(unit.shape[1], tables, scale)):
+    parts = [slice(8 * b, 8 * b + 8) for b in range(blocks)]
+    for t, matrix in enumerate(_projection(unit.shape[1], tables, scale, blocks)):
         x = unit @ matrix
-        points = np.concatenate([nearest(x[:, :8]), nearest(x[:, 8:])], 1)
+        points = np.concatenate([nearest(x[:, p]) for p in parts], 1)
         home[:, t] = _name(points, t)
         rest = x - points
-        gain = np.concatenate([rest[:, :8] @ STEPS.T - (STEPS**2).sum(1) / 2, rest[:, 8:] @ STEPS.T - (STEPS**2).sum(1) / 2], 1)
-        for p, step in enumerate(np.argpartition(-gain, probes, axis=1)[:, :probes].T):
+        gain = np.concatenate([rest[:, p] @ STEPS.T - (STEPS**2).sum(1) / 2 for p in parts], 1)
+        for k, step in enumerate(np.argpartition(-gain, probes, axis=1)[:, :probes].T):
             moved = points.copy()
-            for half in range(2):
-                own = np.flatnonzero(step // len(STEPS) == half)
-                moved[own, 8 * half : 8 * half + 8] += STEPS[step[own] % len(STEPS)]
-            near[:, t, p] = _name(moved, t)
+            for b, p in enumerate(parts):
+                own = np.flatnonzero(step // len(STEPS) == b)
+                moved[own, p] += STEPS[step[own] % len(STEPS)]
+            near[:, t, k] = _name(moved, t)
     return home, near
 
 
@@ -113,14 +115,14 @@ def _by_length(column: pa.Array) -> Iterator[np.ndarray]:
         yield np.flatnonzero(sizes == n)
 
 
-def _entries(tables: int, probes: int, scale: float):
+def _entries(tables: int, probes: int, scale: float, blocks: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start in range(0, batch.num_rows, 1024):
                 piece = batch.slice(start, 1024)
                 for which in _by_length(piece.column(1)):
                     unit = _column(piece.column(1).take(pa.array(which)))
-                    home, near = cells(unit, tables, probes, scale)
+                    home, near = cells(unit, tables, probes, scale, blocks)
                     names = np.concatenate([home[:, :, None], near], 2).reshape(len(which), -1)
                     rep = piece.column(0).take(pa.array(which)).to_numpy()
                     at_home = np.tile(np.arange(probes + 1) == 0, len(which) * tables)
@@ -194,8 +196,8 @@ def _angles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 class _Join:
-    def __init__(self, vectors: DataFrame, threshold: float, tables: int, probes: int, scale: float, limit: int) -> None:
-        self.threshold, self.tables, self.probes, self.scale, self.limit = threshold, tables, probes, scale, limit
+    def __init__(self, vectors: DataFrame, threshold: float, tables: int, probes: int, scale: float, blocks: int, limit: int) -> None:
+        self.threshold, self.lattice, self.limit = threshold, (tables, probes, scale, blocks), limit
         self.scratch = Scratch(vectors.sparkSession, "vectors")
         kind = vectors.schema["vector"].dataType.simpleString()
         vector = F.col("vector").cast(kind if kind == "array<float>" else "array<double>")
@@ -220,7 +222,7 @@ class _Join:
     def connect(self) -> None:
         """Labels of the components that links within cells connect."""
         keep, limit, threshold = self.scratch.keep, self.limit, self.threshold
-        entries = keep(self.classes.select("rep", "vector").mapInArrow(_entries(self.tables, self.probes, self.scale), "cell long, rep long, home boolean"), "entries")
+        entries = keep(self.classes.select("rep", "vector").mapInArrow(_entries(*self.lattice), "cell long, rep long, home boolean"), "entries")
         shared = entries.groupBy("cell").agg(F.count("*").alias("size"), F.min(F.when(F.col("home"), F.col("rep"))).alias("pole"))
         shared, n_cells = self.scratch.counted(shared.where("size > 1 and pole is not null"), "cells")
         members = keep(entries.join(light(shared, n_cells), "cell"), "members")
@@ -284,9 +286,9 @@ class _Join:
         return counts.union(sure).union(lists.mapInArrow(_counts(threshold), "rep long, n long"))
 
 
-def links_of(vectors: DataFrame, threshold: float = 0.95, tables: int = 12, probes: int = 8, scale: float = 0.55, limit: int = 512, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
+def links_of(vectors: DataFrame, threshold: float = 0.95, tables: int = 12, probes: int = 8, scale: float = 0.5, blocks: int = 3, limit: int = 512, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """One row a vector: ``id_col``, ``n_links``, ``component_id`` and ``kept``."""
-    join = _Join(vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("vector")), threshold, tables, probes, scale, limit)
+    join = _Join(vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("vector")), threshold, tables, probes, scale, blocks, limit)
     join.connect()
     counts = join.count()
     classes = join.labelled(join.classes.select("h1", "h2", "id", "many", "rep"))
