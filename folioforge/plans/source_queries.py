@@ -2,22 +2,16 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioforge.plans import adapters as R
-from folioforge.session import shared_dir
+from folioforge.session import new_folder
 from folioforge.sources import files as B
 from folioforge.sources import jsonl as J
 from folioforge.streaming import calls as W
 
 
-def _own(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-
-
 def file_inventory(spark: SparkSession, folder: str) -> DataFrame:
     """The Parquet files of the folder of tables."""
     return B.inventory(spark, folder, ".PARQUET").select("path", "length")
@@ -43,7 +37,7 @@ def _completions(spark: SparkSession, folder: str) -> DataFrame:
 
 def ledger_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     """Completions appended to a ledger in two writes, read back strictly."""
-    path, rows = _own(spark, "ledger"), _completions(spark, folder)
+    path, rows = new_folder(spark, "ledger"), _completions(spark, folder)
     J.write(rows.where("id % 2 = 0"), path)
     J.write(rows.where("id % 2 <> 0"), path)
     return J.read_strict(spark, path, _LEDGER)
@@ -54,7 +48,7 @@ LEDGER = f"SELECT id, source, day, source_pages, elapsed_seconds FROM {R.duck(R.
 
 def ledger_malformed(spark: SparkSession, folder: str) -> DataFrame:
     """A ledger of which some lines are cut off or no objects: what can be read by day, and how many lines can't."""
-    path, rows = _own(spark, "malformed"), _completions(spark, folder)
+    path, rows = new_folder(spark, "malformed"), _completions(spark, folder)
     line = F.to_json(F.struct(*rows.columns))
     broken = F.when(F.col("id") % 10 == 3, F.left(line, F.length(line) - 4)).when(F.col("id") % 10 == 7, F.concat(F.lit("["), line, F.lit("]"))).otherwise(line)
     rows.select(broken.alias("value")).write.text(path)
@@ -70,7 +64,7 @@ WITH c AS ({LEDGER}) SELECT day, count(*)::BIGINT AS n FROM c WHERE id % 10 NOT
 
 def sheet_verify(spark: SparkSession, folder: str) -> DataFrame:
     """A sheet written and reloaded: rows that only one side has, none if the writer kept all."""
-    rows, path = _completions(spark, folder), _own(spark, "sheet")
+    rows, path = _completions(spark, folder), new_folder(spark, "sheet")
     rows.write.parquet(path)
     again = spark.read.parquet(path)
     lost, extra = rows.exceptAll(again), again.exceptAll(rows)
@@ -82,7 +76,7 @@ SHEET = "SELECT count(*)::BIGINT AS rows, 'all' AS side FROM orders UNION ALL SE
 
 def stream_calls(spark: SparkSession, folder: str) -> DataFrame:
     """Totals of calls by a stream over all that is there, read from its snapshots."""
-    path = _own(spark, "stream-calls")
+    path = new_folder(spark, "stream-calls")
     W.write_snapshots(W.call_totals(W.event_stream(spark, folder)), path)
     return W.read_snapshot(spark, path, ["user_id"])
 
@@ -93,7 +87,7 @@ SELECT user_id, count(*)::BIGINT AS calls, count(*) FILTER (WHERE event_type = '
 
 
 def stream_latest(spark: SparkSession, folder: str) -> DataFrame:
-    path = _own(spark, "stream-latest")
+    path = new_folder(spark, "stream-latest")
     W.write_snapshots(W.latest_calls(W.event_stream(spark, folder)), path)
     return W.read_snapshot(spark, path, ["user_id", "event_type"])
 

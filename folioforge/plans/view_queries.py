@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,7 +10,7 @@ from folioforge.operators import hierarchy as H
 from folioforge.operators import pages as G
 from folioforge.operators import views as W
 from folioforge.plans import adapters as R
-from folioforge.session import shared_dir
+from folioforge.session import new_folder
 
 _JOBS = R.duck(R.PIPELINE_JOB)
 
@@ -182,7 +180,7 @@ SELECT source, arg_max(id, (attempts, id)) FILTER (WHERE status = 'completed') A
 
 def event_log(spark: SparkSession, folder: str) -> DataFrame:
     """Events appended to a log by two writers, counted from it."""
-    path = f"{shared_dir(spark)}/event-log-{uuid.uuid4().hex}"
+    path = new_folder(spark, "event-log")
     rows = R.frame(spark, folder, R.CALL_EVENT).select("call_id", "doc_id", "stage", "event")
     for event in ("start", "finish"):
         rows.where(F.col("event") == event).write.mode("append").parquet(path)

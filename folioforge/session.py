@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
@@ -47,6 +49,31 @@ def shared_dir(spark: SparkSession) -> str:
     return base
 
 
+_folders: list[tuple[SparkSession, str]] = []
+
+
+def new_folder(spark: SparkSession, name: str) -> str:
+    """A path of its own in the shared folder; what is written there goes when the process ends."""
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    _folders.append((spark, path))
+    return path
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def _at_exit() -> None:
+    for spark, path in _folders:
+        try:
+            if spark.sparkContext._jsc is not None:
+                delete(spark, path)
+        except Exception:  # the gateway may be gone; the folder's owner cleans up
+            return
+
+
+atexit.register(_at_exit)
 #: Bytes of a batch that Python workers get at once, where the session doesn't say; Spark's own default is four times that.
 ARROW_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 _shipped: set[str] = set()
