@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from folioforge.operators import hierarchy as H
 from folioforge.operators import review as V
+from folioforge.plans import adapters as R
 from folioforge.session import table
 
 
@@ -170,7 +171,21 @@ def reply_valid(spark: SparkSession, folder: str) -> DataFrame:
 
 REPLY = "SELECT event_id, event_id % 5 > 0 AND value IS NOT NULL AND value / 100 BETWEEN 0 AND 1 AND event_id % 7 > 0 AS valid FROM events"
 
+#: Lines of orders as fields that name a part of a date, or none.
+DATE_FIELDS = """
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_linestatus AS prefix, CASE WHEN l_partkey % 10 = 0 THEN NULL WHEN l_returnflag = 'A' THEN 'year' WHEN l_returnflag = 'N' THEN 'month' ELSE 'day' END AS unit,
+       CASE l_returnflag WHEN 'A' THEN CAST(1990 + l_partkey % 40 AS STRING) WHEN 'N' THEN CAST(1 + l_partkey % 12 AS STRING) ELSE CAST(1 + l_suppkey % 33 AS STRING) END AS value FROM {lineitem}
+"""
+
+
+def date_islands(spark: SparkSession, folder: str) -> DataFrame:
+    """Dates whose parts stand next to each other and name no day."""
+    fields = R.frame(spark, folder, DATE_FIELDS)
+    return V.invalid_dates(V.date_groups(fields, "l_orderkey", ["l_linenumber", "l_partkey", "l_suppkey"]), "l_orderkey")
+
+
 QUERIES = {
+    "date_islands": (date_islands, None),
     "forms_flat": (forms_flat, FORMS_FLAT),
     "forms_nested": (forms_nested, FORMS_NESTED),
     "hierarchy_long": (hierarchy_long, HIERARCHY_LONG),
