@@ -4,7 +4,8 @@ A document's key is the MD5 of its id, so any prefix of the keys' order is a
 random sample of its source. Keys are range-partitioned into ``buckets`` equal
 ranges: bucket sums (partial aggregates) give each bucket its offset in its
 source, and a running sum inside a bucket does the rest, so no source, however
-large, is sorted in one task. A source whose target is below its size is cut at
+large, is sorted in one task (more ``buckets`` suit more documents; the few rows of
+sources and of their buckets meet in windows without a partition or by source). A source whose target is below its size is cut at
 the word that fills it; one above is repeated whole, then cut.
 
 Only DataFrame operations run. Defined results: a null text has size 0; a null
@@ -51,17 +52,18 @@ def plan(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), share: float = 1
     rows = (
         docs.withColumn("_mix_size", F.coalesce(F.regexp_count(text_col, F.lit(WORD)), F.lit(0)).cast("long"))
         .withColumn("_mix_key", F.md5(name))
+        .withColumn("_mix_tie", F.xxhash64(text_col))
         .withColumn("_mix_source", F.coalesce(source.cast("string"), F.lit("")))
         .withColumn("_mix_none", source.isNull())
         .withColumn("_mix_bucket", F.floor(F.conv(F.substring("_mix_key", 1, 4), 16, 10).cast("long") * buckets / 65536).cast("int"))
     )
     part = [*_SOURCE, "_mix_bucket"]
     sums = rows.groupBy(*part).agg(F.sum("_mix_size").alias("_mix_sum"))
-    sizes = rows.groupBy(*_SOURCE).agg(F.sum("_mix_size").alias("_mix_total"))
+    sizes = sums.groupBy(*_SOURCE).agg(F.sum("_mix_sum").alias("_mix_total"))
     order = Window.partitionBy(*_SOURCE).orderBy("_mix_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sums.withColumn("_mix_offset", F.coalesce(F.sum("_mix_sum").over(order), F.lit(0))).join(targets(sizes, weights, share, cap), _SOURCE).drop("_mix_sum")
     rows = rows.join(offsets, part)
-    inside = Window.partitionBy(*part).orderBy("_mix_key", "_mix_size", F.xxhash64(text_col)).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    inside = Window.partitionBy(*part).orderBy("_mix_key", "_mix_size", "_mix_tie").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     before = F.col("_mix_offset") + F.sum("_mix_size").over(inside) - F.col("_mix_size")
     total = F.col("_mix_total")
     whole = F.when(total > 0, F.floor(F.col("_mix_target") / total)).otherwise(0).cast("long")
@@ -71,12 +73,12 @@ def plan(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), share: float = 1
 
 
 def first_words(text: Column, n: Column) -> Column:
-    """The first ``n`` words of a text, one space apart."""
-    return F.array_join(F.slice(F.regexp_extract_all(text, F.lit(WORD), F.lit(0)), F.lit(1), n.cast("int")), " ")
+    """A text up to the end of its ``n``-th word."""
+    return F.array_join(F.slice(F.regexp_extract_all(text, F.lit(rf"[\x20\x09-\x0D]*{WORD}"), F.lit(0)), F.lit(1), n.cast("int")), "")
 
 
 def apply(docs: DataFrame, text_col: str = "text", length_col: str | None = "n_chars", **settings) -> DataFrame:
-    """The mixed corpus with the columns of ``docs``: whole repeats of each document, and the cut one's first words.
+    """The mixed corpus with the columns of ``docs``: whole repeats of each document, and the cut one up to the word that fills the target.
 
     Documents without words take no budget and stay once.
     """

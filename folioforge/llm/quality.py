@@ -7,7 +7,8 @@ t1 < t2 < ..., P(grade > k) = sigmoid(score - tk). The expected grade is the sum
 these, and a document is selected if its tail probability P(grade >= wanted) is at
 least one half.
 
-Fitting uses at most ``max_rows`` labelled documents outside fold 0 (``_labels``);
+Fitting uses at most ``max_rows`` labelled documents of at most ``max_chars`` characters
+outside fold 0 (``_labels``);
 scoring reads every whole text. Defined results: null and empty texts have only the
 constant; without any labels, or with one grade only, everything has that grade
 (1.0 without labels) and is selected; rows that share an id are scored each; an
@@ -25,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from folioforge.llm._labels import fold, sample
-from folioforge.llm._text import buffer_of, slices, words
+from folioforge.llm._text import buffer_of, lean, slices, words
 
 WORD_DIMS = SHAPE_DIMS = 1024
 DENSE = 8
@@ -131,8 +132,8 @@ def _embed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([piece.column(piece.schema.get_field_index("_id")), piece.column(piece.schema.get_field_index("label")), pa.array([r.tobytes() for r in x], pa.binary())], names=["id", "label", "x"])
 
 
-def train(docs: DataFrame, labels: DataFrame, max_rows: int = 6000, target: str = "quality", id_col: str = "doc_id", text_col: str = "text") -> Model:
-    rows = sample(docs, labels, target, max_rows, id_col, text_col).mapInArrow(_embed, f"id {docs.schema[id_col].dataType.simpleString()}, label int, x binary").toPandas().sort_values("id")
+def train(docs: DataFrame, labels: DataFrame, max_rows: int = 6000, max_chars: int = 1 << 16, target: str = "quality", id_col: str = "doc_id", text_col: str = "text") -> Model:
+    rows = sample(docs, labels, target, max_rows, max_chars, id_col, text_col).mapInArrow(lean(_embed), f"id {docs.schema[id_col].dataType.simpleString()}, label int, x binary").toPandas().sort_values("id")
     x = np.frombuffer(b"".join(rows.x), np.float16).reshape(-1, DIMS)
     return fit(x, rows.label.to_numpy())
 
@@ -158,7 +159,7 @@ def score(docs: DataFrame, model: Model, wanted: int = 1, keep: list[str] | None
     """``keep`` columns of ``docs`` (all by default) with ``_quality_grade`` and ``_quality_p``."""
     keep = docs.columns if keep is None else keep
     fields = ", ".join([*(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep), "_quality_grade double, _quality_p double"])
-    return docs.select(*keep, F.col(text_col).alias("_quality_text")).mapInArrow(_score(model, wanted), fields)
+    return docs.select(*keep, F.col(text_col).alias("_quality_text")).mapInArrow(lean(_score(model, wanted)), fields)
 
 
 def grade(docs: DataFrame, labels: DataFrame, wanted: int = 1, id_col: str = "doc_id", text_col: str = "text", **settings) -> DataFrame:

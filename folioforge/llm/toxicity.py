@@ -11,8 +11,9 @@ least ten times rarer in ordinary ones. Shares of windows over thresholds of 1,
 calibrated by logistic regression on documents that trained no dictionary (one fold
 of four), with the prior of all labels outside fold 0.
 
-Fitting uses at most ``max_toxic`` and ``max_ordinary`` labelled documents outside
-fold 0 (``_labels``); every whole text is scored. Defined results: null and empty
+Fitting uses at most ``max_toxic`` and ``max_ordinary`` labelled documents of at most
+``max_chars`` characters outside fold 0 (``_labels``), and the windows that ``fit`` bounds;
+every whole text is scored. Defined results: null and empty
 texts have no windows and get the score of no evidence; without both labels every
 score is the prior (0.0 without labels); rows that share an id are scored each; an
 empty table gives an empty result; other columns are not read.
@@ -109,8 +110,14 @@ def _distinct_words(documents: list[list[bytes]]) -> list[set[bytes]]:
     return [set(b" ".join(d).split()) for d in documents]
 
 
-def fit(rows: list[tuple[str, int, int]], prior: float, width: int = 4, size: int = 768, shared: int = 4096) -> Model:
-    """``rows``: text, label and fold; fold 4 calibrates, the others train the dictionaries."""
+def fit(rows: list[tuple[str, int, int]], prior: float, width: int = 4, size: int = 768, shared: int = 4096, windows_trained: int = 40_000, windows_searched: int = 200_000, windows_wrong: int = 20_000, least_share: float = 0.01, rarer: float = 10.0) -> Model:
+    """``rows``: text, label and fold; fold 4 calibrates, the others train the dictionaries.
+
+    The toxic part learns the words in at least ``least_share`` of toxic documents (and 3)
+    that are ``rarer`` times rarer in ordinary ones. Each dictionary is trained on at most
+    ``windows_trained`` windows; at most ``windows_searched`` ordinary ones are searched for
+    wrongly shortened ones, of which ``windows_wrong`` train the shared part's rest.
+    """
     chance = random.Random(5)
     first = {t: y for t, y, f in rows if f != 4}
     by_label = {y: [windows(t, width) for t, z in first.items() if z == y] for y in (0, 1)}
@@ -119,7 +126,7 @@ def fit(rows: list[tuple[str, int, int]], prior: float, width: int = 4, size: in
         return Model(prior=prior, width=width)
     seen = {y: Counter(w for d in _distinct_words(by_label[y]) for w in d) for y in (0, 1)}
     n = {y: len(by_label[y]) for y in (0, 1)}
-    marked = {w for w, c in seen[1].items() if c >= max(3, 0.01 * n[1]) and seen[0][w] / n[0] < 0.1 * c / n[1]}
+    marked = {w for w, c in seen[1].items() if c >= max(3, least_share * n[1]) and rarer * seen[0][w] / n[0] < c / n[1]}
     kept = []
     for d in by_label[1]:
         words = [w for w in b" ".join(d).split() if w in marked]
@@ -127,11 +134,11 @@ def fit(rows: list[tuple[str, int, int]], prior: float, width: int = 4, size: in
     plain = [w for d in by_label[0] for w in d]
     for part in (kept, plain):
         chance.shuffle(part)
-    base, own = train_content(plain[:40_000], shared, 16, 6), train_content(kept[:40_000], size, 12, 6)
-    wrong = plain[:200_000]
+    base, own = train_content(plain[:windows_trained], shared, 16, 6), train_content(kept[:windows_trained], size, 12, 6)
+    wrong = plain[:windows_searched]
     differ = _differences(wrong, compressor(own + base), compressor(base))
     wrong = [w for w, x in zip(wrong, differ, strict=True) if abs(x) >= 2]
-    base = train_content(wrong[:20_000], shared // 2, 16, 6) + base
+    base = train_content(wrong[:windows_wrong], shared // 2, 16, 6) + base
     model = Model(own + base, base, prior=prior, width=width)
     toxic, ordinary = compressor(model.toxic), compressor(model.ordinary)
     x = np.array([_features(_differences(windows(t, width), toxic, ordinary)) for t, _ in calibrate])
@@ -144,17 +151,17 @@ def fit(rows: list[tuple[str, int, int]], prior: float, width: int = 4, size: in
     return model
 
 
-def train(docs: DataFrame, labels: DataFrame, max_toxic: int = 1500, max_ordinary: int = 3000, target: str = "toxic", id_col: str = "doc_id", text_col: str = "text") -> Model:
-    rows = sample(docs, labels, target, {1: max_toxic, 0: max_ordinary}, id_col, text_col).select("_id", "text", "label", "fold").toPandas().sort_values("_id")
+def train(docs: DataFrame, labels: DataFrame, max_toxic: int = 1500, max_ordinary: int = 3000, max_chars: int = 1 << 16, target: str = "toxic", id_col: str = "doc_id", text_col: str = "text", **bounds) -> Model:
+    rows = sample(docs, labels, target, {1: max_toxic, 0: max_ordinary}, max_chars, id_col, text_col).select("_id", "text", "label", "fold").toPandas().sort_values("_id")
     known = labels.where(F.col(target).isNotNull() & (fold(id_col) != 0)).agg(F.avg(F.col(target).cast("double"))).first()[0]
-    return fit(list(zip(rows.text, rows.label, rows.fold, strict=True)), float(known or 0.0))
+    return fit(list(zip(rows.text, rows.label, rows.fold, strict=True)), float(known or 0.0), **bounds)
 
 
 def _score(model: Model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         score = model.scorer()
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([score(t.as_py()) for t in batch.column(1)], pa.float64())], names=["id", "score"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(list(map(score, batch.column(1).to_pylist())), pa.float64())], names=["id", "score"])
 
     return run
 
