@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 
 from folioforge.llm._graph import components
 from folioforge.llm._store import Scratch, light
-from folioforge.llm._text import distinct, mix, shingles, slices, words
+from folioforge.llm._text import distinct, lean, mix, shingles, slices, words
 
 PLACES = 64
 #: Bytes of full sets that one group gathers to compare them, if more than two of them.
@@ -205,24 +205,39 @@ def _parts(percent: int, forest: bool):
     without a name follow: the ends of the pairs that connect them.
     """
 
+    least = _cutoff(percent)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in range(batch.num_rows):
-                docs = batch.column(0).slice(row, 1).flatten()
-                rep, n, label = (docs.field(x).to_numpy() for x in ("rep", "n", "label"))
-                order = np.argsort(rep)
-                rep, n, label = rep[order], n[order], label[order]
-                part, i, j = _connect(n, _places(docs.field("short"))[order], label, percent)
-                if not len(i):
-                    continue
-                some = np.flatnonzero(np.isin(part, part[i]))
-                total = np.zeros(len(rep), np.uint64)
-                np.add.at(total, part[some], mix(rep[some].view(np.uint64)))
-                names, members, labels = total[part[some]].view(np.int64), rep[some], label[some]
-                blank = pa.nulls(len(names), pa.int64())
-                if forest:
-                    yield pa.RecordBatch.from_arrays([pa.nulls(len(i), pa.int64()), pa.array(rep[i]), pa.array(label[i]), pa.array(rep[j])], names=["cluster", "rep", "label", "other"])
-                yield pa.RecordBatch.from_arrays([pa.array(names), pa.array(members), pa.array(labels), blank], names=["cluster", "rep", "label", "other"])
+            lists = batch.column(0)
+            docs = lists.flatten()
+            rep, n, label = (docs.field(x).to_numpy() for x in ("rep", "n", "label"))
+            places = _places(docs.field("short")) if len(docs) else np.zeros((0, PLACES), np.uint8)
+            offsets = lists.offsets.to_numpy() - lists.offsets[0].as_py()
+            sizes = np.diff(offsets)
+            # Nodes of two documents at once, the others one by one.
+            i = offsets[:-1][sizes == 2]
+            i, j = np.where(rep[i] < rep[i + 1], i, i + 1), np.where(rep[i] < rep[i + 1], i + 1, i)
+            near = ((places[i] == places[j]).sum(1) >= least) & _possible(n[i], n[j], percent) & (label[i] != label[j])
+            i, j = i[near], j[near]
+            total = mix(rep[i].view(np.uint64)) + mix(rep[j].view(np.uint64))
+            edges, members = [np.stack([i, j])], [(np.r_[total, total], np.r_[i, j])]
+            for node in np.flatnonzero(sizes > 2).tolist():
+                own = offsets[node] + np.argsort(rep[offsets[node] : offsets[node + 1]])
+                part, i, j = _connect(n[own], places[own], label[own], percent)
+                if len(i):
+                    some = np.flatnonzero(np.isin(part, part[i]))
+                    total = np.zeros(len(own), np.uint64)
+                    np.add.at(total, part[some], mix(rep[own[some]].view(np.uint64)))
+                    edges.append(np.stack([own[i], own[j]]))
+                    members.append((total[part[some]], own[some]))
+            names, at = (np.concatenate(x) for x in zip(*members, strict=True))
+            i, j = np.concatenate(edges, 1) if forest else np.zeros((2, 0), np.int64)
+            first = np.r_[np.ones(len(i), bool), np.zeros(len(at), bool)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.r_[np.zeros(len(i), np.int64), names.view(np.int64)], mask=first), pa.array(np.r_[rep[i], rep[at]]), pa.array(np.r_[label[i], label[at]]), pa.array(np.r_[rep[j], np.zeros(len(at), np.int64)], mask=~first)],
+                names=["cluster", "rep", "label", "other"],
+            )
 
     return run
 
@@ -332,7 +347,7 @@ class _Join:
         left = self.sets.select(F.col("rep").alias("a"), F.col("full").alias("full_a"))
         right = self.sets.select(F.col("rep").alias("b"), F.col("full").alias("full_b"))
         both = pairs.join(left, "a").join(right, "b").select("a", "b", "full_a", "full_b")
-        self.add(both.mapInArrow(_confirm(self.percent), "a long, b long"), n)
+        self.add(both.mapInArrow(lean(_confirm(self.percent)), "a long, b long"), n)
 
     def confirm_clusters(self, rows: DataFrame) -> None:
         """Add the links between different labels within clusters, confirmed on full sets.
@@ -345,7 +360,7 @@ class _Join:
         block = full.join(blocks, "cluster").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("of")).cast("int"))
         block = block.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("of") - 1)))
         lists = block.groupBy("cluster", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high")).agg(F.collect_list(F.struct("rep", "label", "full")).alias("docs"))
-        self.add(lists.select("docs").mapInArrow(_verify(self.percent), "a long, b long"))
+        self.add(lists.select("docs").mapInArrow(lean(_verify(self.percent)), "a long, b long"))
 
     def add(self, links: DataFrame, most: int | None = None) -> None:
         """Join the components that links, at most ``most`` of them if known, connect."""
@@ -384,7 +399,7 @@ class _Join:
         Names are drawn when the classes are written, and stay as written.
         """
         text = [F.xxhash64("text").alias("t1"), F.xxhash64(F.lit(1), "text").alias("t2")]
-        sketch = self.scratch.keep(self.rows.select("id", *text, "text").mapInArrow(_sketch(self.k), "id long, t1 long, t2 long, n long, d1 long, d2 long, tokens binary"), "sketch")
+        sketch = self.scratch.keep(self.rows.select("id", *text, "text").mapInArrow(lean(_sketch(self.k)), "id long, t1 long, t2 long, n long, d1 long, d2 long, tokens binary"), "sketch")
         first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "t1", "t2")).alias("first")
         classes = sketch.where("n > 0").groupBy("d1", "d2", "n").agg(first, F.any_value("tokens").alias("tokens"))
         return sketch, self.scratch.keep(classes.select("d1", "d2", "n", "first.id", "first.t1", "first.t2", "tokens", F.monotonically_increasing_id().alias("rep")), "classes")
@@ -394,13 +409,13 @@ class _Join:
         wanted, n = self.scratch.counted(reps.join(involved.distinct(), "rep").select("rep", F.col("id").alias("wanted"), "t1", "t2"), "wanted")
         rows = self.rows.select("id", F.xxhash64("text").alias("t1"), F.xxhash64(F.lit(1), "text").alias("t2"), "text")
         texts = rows.join(light(wanted, n), ["t1", "t2"]).where(F.col("id").eqNullSafe(F.col("wanted"))).select("rep", "text")
-        sets = texts.mapInArrow(_full_sets(self.k), "rep long, full binary").groupBy("rep").agg(F.any_value("full").alias("full"))
+        sets = texts.mapInArrow(lean(_full_sets(self.k)), "rep long, full binary").groupBy("rep").agg(F.any_value("full").alias("full"))
         self.sets = self.scratch.keep(sets.withColumn("bytes", F.length("full")), "sets")
 
     def run(self) -> tuple[DataFrame, DataFrame]:
         keep, limit, percent = self.scratch.keep, self.limit, self.percent
         sketch, reps = self.classes()
-        entries = reps.select("rep", "n", "tokens").mapInArrow(_entries(self.trees), _ENTRIES)
+        entries = reps.select("rep", "n", "tokens").mapInArrow(lean(_entries(self.trees)), _ENTRIES)
         for level in range(self.depth):
             if level:
                 entries = keep(entries.distinct(), "entries")
@@ -410,7 +425,7 @@ class _Join:
             large = light(nodes.where(f"size > {limit}"), n_big)
             some = entries.join(large.select("path"), "path", "left_anti") if n_big else entries
             small = some.join(nodes.where(f"size <= {limit}").select("path"), "path")
-            near = keep(self.nodes(self.labelled(small), "path").mapInArrow(_parts(percent, True), _PARTS), "near")
+            near = keep(self.nodes(self.labelled(small), "path").mapInArrow(lean(_parts(percent, True)), _PARTS), "near")
             pairs = near.where("cluster is null").select(F.col("rep").alias("a"), F.col("other").alias("b"))
             parts = near.where("cluster is not null").select("cluster", "rep")
             involved = near.select("rep")
@@ -455,9 +470,10 @@ class _Join:
         return parts.withColumn("part", F.explode(F.when(F.col("label") == F.col("main"), own).otherwise(every)))
 
     def unequal(self, rows: DataFrame) -> DataFrame:
-        """The rows of clusters whose labels differ."""
-        open_ones = rows.groupBy("cluster").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("cluster")
-        return rows.join(open_ones, "cluster", "left_semi").select("cluster", "rep", "label")
+        """The rows of clusters whose labels differ. Their names are written, so that a large cluster's rows need not meet in one task."""
+        rows = self.scratch.keep(rows, "parts")
+        open_ones, n = self.scratch.counted(rows.groupBy("cluster").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("cluster"), "open")
+        return rows.join(light(open_ones, n), "cluster", "left_semi").select("cluster", "rep", "label")
 
     def blocks(self, members: DataFrame) -> None:
         """Compare what branching did not part: every pair of parts of a node is a group of its own."""
