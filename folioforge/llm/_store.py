@@ -14,7 +14,7 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from folioforge.session import shared_dir
+from folioforge.session import delete, shared_dir
 
 _LIVE: list[tuple[SparkSession, str]] = []
 
@@ -30,12 +30,6 @@ def light(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if rows <= LIGHT_ROWS else df
 
 
-def _delete(spark: SparkSession, path: str) -> None:
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
-
-
 class Scratch:
     """The tables of one operator call, in a folder of their own.
 
@@ -75,7 +69,7 @@ class Scratch:
         """Delete tables that nothing reads any more."""
         for df in frames:
             if path := self._paths.pop(id(df), None):
-                _delete(self.spark, path)
+                delete(self.spark, path)
 
 
 @contextmanager
@@ -91,7 +85,7 @@ def release(made: list[tuple[SparkSession, str]]) -> None:
     """Delete folders whose operators' results are written or not wanted any more."""
     while made:
         spark, root = made.pop()
-        _delete(spark, root)
+        delete(spark, root)
         _LIVE.remove((spark, root))
 
 
@@ -99,7 +93,7 @@ def _at_exit() -> None:
     for spark, root in _LIVE:
         try:
             if spark.sparkContext._jsc is not None:
-                _delete(spark, root)
+                delete(spark, root)
         except Exception:  # the gateway may be gone; the folder's owner cleans up
             return
 

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from folioforge.llm._store import Scratch
-from folioforge.llm._text import SPACE, buffer_of, hash_ranges, slices
+from folioforge.llm._text import SPACE, buffer_of, hash_ranges, lean, slices
 
 WINDOW = 32
 _rng = np.random.Generator(np.random.PCG64(77))
@@ -107,7 +107,7 @@ def _chunk(reach: int, longest: int):
 def repeats(docs: DataFrame, reach: int = 20, longest: int = 2048, min_words: int = 32, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Passages to drop: ``doc_id``, ``keeper_id`` (the document that keeps most of it), byte ``start`` and ``end``, ``n_words``."""
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    chunks = rows.mapInArrow(_chunk(reach, longest), "id long, k int, start long, end long, n_words int, a long, b long")
+    chunks = rows.mapInArrow(lean(_chunk(reach, longest)), "id long, k int, start long, end long, n_words int, a long, b long")
     shared = chunks.groupBy("a", "b").agg(F.min("id").alias("keeper"), F.max("id").alias("other")).where("keeper <> other").select("a", "b", "keeper")
     shared = Scratch(docs.sparkSession, "chunks").keep(shared, "shared")
     copies = chunks.join(shared, ["a", "b"]).where("id <> keeper")

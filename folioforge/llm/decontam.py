@@ -35,7 +35,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from folioforge.llm._text import mix, shingles, slices, words
+from folioforge.llm._text import lean, mix, shingles, slices, words
 
 BLOCKS, BITS = 8, 8
 #: Shingles whose votes are summed at once: 64 MB.
@@ -251,7 +251,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, k: int = 5, percent: int = 80
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     out = None
     for items in _passes(benchmark, pass_bytes, item_col, item_text):
-        found = rows.mapInArrow(_search(items, k, percent, radius), "doc_id long, item_id long, similarity double, first_word long, n_words long")
+        found = rows.mapInArrow(lean(_search(items, k, percent, radius)), "doc_id long, item_id long, similarity double, first_word long, n_words long")
         out = out.union(found) if out is not None else found
     return out if out is not None else docs.sparkSession.createDataFrame([], "doc_id long, item_id long, similarity double, first_word long, n_words long")
 
@@ -259,5 +259,5 @@ def matches(docs: DataFrame, benchmark: DataFrame, k: int = 5, percent: int = 80
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, k: int = 5, percent: int = 80, radius: int = 20, pass_bytes: int = 1 << 24, text_col: str = "text", item_col: str = "item_id", item_text: str = "text") -> DataFrame:
     """The documents in which no item is found, with all columns; rows are judged by their text alone, whatever their id."""
     for items in _passes(benchmark, pass_bytes, item_col, item_text):
-        docs = docs.mapInArrow(_clean(items, k, percent, radius, text_col), docs.schema)
+        docs = docs.mapInArrow(lean(_clean(items, k, percent, radius, text_col)), docs.schema)
     return docs

@@ -29,13 +29,13 @@ from pyspark.sql import functions as F
 
 from folioforge.llm import simple8b
 from folioforge.llm._store import Scratch
-from folioforge.llm._text import LOWER, buffer_of, slices, words
+from folioforge.llm._text import LOWER, buffer_of, lean, slices, words
 
 FILE_SCHEMA = "shard int, block int, shard_start long, doc_ids array<bigint>, lengths array<int>, n_ids long, payload binary"
 _FILE_ARROW = pa.schema([("shard", pa.int32()), ("block", pa.int32()), ("shard_start", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("lengths", pa.list_(pa.int32())), ("n_ids", pa.int64()), ("payload", pa.binary())])
-#: Ids after which a block closes, and words that a worker remembers.
+#: Ids after which a block closes, and words that a task remembers.
 BLOCK_IDS = 1 << 16
-REMEMBERED = 1_000_000
+REMEMBERED = 400_000
 
 
 #: First bytes of the marks U+0300-U+036F, which compose with A-Z and a-z differently.
@@ -69,9 +69,10 @@ class WordEncoder:
         suffix = kind["model"]["end_of_word_suffix"]
         self.last = np.zeros(max(self.tokenizer.get_vocab().values()) + 1, bool)
         self.last[[i for t, i in self.tokenizer.get_vocab().items() if t.endswith(suffix)]] = True
-        self._forget()
+        self.classes = dict.fromkeys(map(chr, range(128)), True)
+        self.forget()
 
-    def _forget(self) -> None:
+    def forget(self) -> None:
         self.known: dict[str, int] = {}
         self.hashed: dict[int, int] = {}
         self.ids = np.zeros(1 << 16, np.int32)
@@ -101,9 +102,11 @@ class WordEncoder:
 
     def _learn(self, rest: list[str]) -> None:
         normalize = self.tokenizer.normalizer.normalize_str
+        settled = lambda w: w.isascii() or w.lower() == w and unicodedata.is_normalized("NFC", w)
         normal = [w if w.isascii() or w.islower() and unicodedata.is_normalized("NFC", w) else normalize(w) for w in rest]
-        # Normalising twice can differ from once (a composition may follow lower-casing): such a word goes to the tokenizer as it is.
-        if unstable := [w for w, n in zip(rest, normal, strict=True) if not n.isascii() and normalize(n) != n]:
+        # Normalising twice can differ from once (a composition may follow lower-casing), and so can the classes of characters
+        # between the pattern here and the tokenizer's: such a word goes to the tokenizer as it is.
+        if unstable := [w for w, n in zip(rest, normal, strict=True) if not n.isascii() and (not settled(n) and normalize(n) != n or not all(map(self._same_class, n)))]:
             self._alone(unstable)
             rest, normal = zip(*x) if (x := [(w, n) for w, n in zip(rest, normal, strict=True) if w not in self.known]) else ((), ())
         cut = [[w] if w.isalpha() else self.pieces(w) for w in normal]
@@ -121,6 +124,17 @@ class WordEncoder:
             total = np.r_[0, np.cumsum(sizes)][np.r_[0, np.cumsum([len(c) for _, c in made])]]
             self._add([w for w, _ in made], flat, np.diff(total))
 
+    def _same_class(self, c: str) -> bool:
+        """Whether the pattern takes a character for a letter, number, space or other as the tokenizer does."""
+        if c not in self.classes:
+            cut = self.tokenizer.pre_tokenizer.pre_tokenize_str
+            spans = [[span for _, span in cut(before + c)] for before in ("a", ".", "")]
+            theirs = "letter" if spans[0] == [(0, 2)] else "other" if spans[1] == [(0, 2)] else "number" if spans[2] else "space"
+            own = [self.pieces(before + c) for before in ("a", ".", "")]
+            ours = "letter" if own[0] == ["a" + c] else "other" if own[1] == ["." + c] else "number" if own[2] else "space"
+            self.classes[c] = theirs == ours
+        return self.classes[c]
+
     def _learn_letters(self, data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> bool:
         """Encode words of A-Z and a-z, each one piece, as one text; their places follow those known so far."""
         sizes = end - begin + 1
@@ -137,7 +151,7 @@ class WordEncoder:
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts, and each text's count."""
         if self.n_words > REMEMBERED:
-            self._forget()
+            self.forget()
         data, _ = buffer_of(column)
         whole = data.tobytes()
         if any(m in whole for m in _MARKS) or self.special(whole):
@@ -186,6 +200,9 @@ class TextEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
 
+    def forget(self) -> None:
+        """Nothing is remembered."""
+
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         texts = [t or "" for t in column.to_pylist()]
         ids = [np.array(e.ids, np.int32) for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
@@ -232,7 +249,7 @@ def _writer(name: str, end_id: int):
             return pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(row, _FILE_ARROW, strict=True)], schema=_FILE_ARROW)
 
         for batch in batches:
-            for piece in slices(batch, "text", 1 << 20):
+            for piece in slices(batch, "text", 1 << 21):
                 flat, counts = encoder.encode(piece.column(1))
                 ends = np.cumsum(counts + 1) - 1
                 out = np.empty(len(flat) + len(counts), np.int64)
@@ -247,6 +264,7 @@ def _writer(name: str, end_id: int):
                     yield close()
         if names:
             yield close()
+        encoder.forget()
 
     return write
 
@@ -256,7 +274,7 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2, id_co
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     ordered = rows.repartitionByRange("id", F.xxhash64("text")).sortWithinPartitions("id", "text")
     docs.sparkSession.sparkContext.addFile(tokenizer)
-    ordered.mapInArrow(_writer(Path(tokenizer).name, end_id), FILE_SCHEMA).write.parquet(path)
+    ordered.mapInArrow(lean(_writer(Path(tokenizer).name, end_id)), FILE_SCHEMA).write.parquet(path)
 
 
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -290,7 +308,7 @@ def digest(spark, path: str) -> DataFrame:
     """Per document of the file: its first id's index over the whole file, its ids and their checksum."""
     blocks = spark.read.schema(FILE_SCHEMA).parquet(path)
     shards = blocks.groupBy("shard").agg(F.sum("n_ids").alias("n")).select("shard", (F.sum("n").over(Window.orderBy("shard")) - F.col("n")).alias("base"))
-    rows = blocks.mapInArrow(_read, "shard int, doc_id long, within long, n_tokens long, ids_crc32 long")
+    rows = blocks.mapInArrow(lean(_read), "shard int, doc_id long, within long, n_tokens long, ids_crc32 long")
     return rows.join(shards, "shard").select("doc_id", (F.col("base") + F.col("within")).alias("start"), "n_tokens", "ids_crc32")
 
 
