@@ -69,7 +69,8 @@ class WordEncoder:
         suffix = kind["model"]["end_of_word_suffix"]
         self.last = np.zeros(max(self.tokenizer.get_vocab().values()) + 1, bool)
         self.last[[i for t, i in self.tokenizer.get_vocab().items() if t.endswith(suffix)]] = True
-        self.classes = dict.fromkeys(map(chr, range(128)), True)
+        self.classes: dict[str, bool] = {}
+        self.trusted = set(map(chr, range(128)))
         self.forget()
 
     def forget(self) -> None:
@@ -106,7 +107,7 @@ class WordEncoder:
         normal = [w if w.isascii() or w.islower() and unicodedata.is_normalized("NFC", w) else normalize(w) for w in rest]
         # Normalising twice can differ from once (a composition may follow lower-casing), and so can the classes of characters
         # between the pattern here and the tokenizer's: such a word goes to the tokenizer as it is.
-        if unstable := [w for w, n in zip(rest, normal, strict=True) if not n.isascii() and (not settled(n) and normalize(n) != n or not all(map(self._same_class, n)))]:
+        if unstable := [w for w, n in zip(rest, normal, strict=True) if not n.isascii() and (not settled(n) and normalize(n) != n or not (self.trusted.issuperset(n) or all(map(self._same_class, n))))]:
             self._alone(unstable)
             rest, normal = zip(*x) if (x := [(w, n) for w, n in zip(rest, normal, strict=True) if w not in self.known]) else ((), ())
         cut = [[w] if w.isalpha() else self.pieces(w) for w in normal]
@@ -133,6 +134,8 @@ class WordEncoder:
             own = [self.pieces(before + c) for before in ("a", ".", "")]
             ours = "letter" if own[0] == ["a" + c] else "other" if own[1] == ["." + c] else "number" if own[2] else "space"
             self.classes[c] = theirs == ours
+            if theirs == ours:
+                self.trusted.add(c)
         return self.classes[c]
 
     def _learn_letters(self, data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> bool:
