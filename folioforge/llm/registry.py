@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioforge.llm import chunks, decontam, lines, mixing, neardup, quality, tokens, toxicity, urls, vectors
+from folioforge.llm import audit, chunks, decontam, lines, mixing, neardup, quality, spelling, token_counts, tokens, toxicity, urls, vectors
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -59,13 +59,26 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(_table(spark, sf_dir, "pages"))
 
 
+def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = token_counts.count_tokens(_table(spark, sf_dir, "documents").select("doc_id", "text"), public_tokenizers.path("piece_bpe_32k.model"))
+    return rows.select("doc_id", F.col("_token_bytes").alias("n_bytes"), F.col("_token_count").alias("n_tokens"), F.col("_token_over").alias("over_limit"))
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.audit_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(_table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline  # it imports the operators in turn
 
     return corpus_pipeline.run(spark, sf_dir)
 
 
-QUERIES = (op1_token_ids, op2_quality, op3_decontamination, op4_near_duplicates, op5_toxicity, op6_near_vectors, op7_mixing, op8_repeated_passages, op9_repeated_lines, op10_url_filters, pipeline)
+QUERIES = (op1_token_ids, op2_quality, op3_decontamination, op4_near_duplicates, op5_toxicity, op6_near_vectors, op7_mixing, op8_repeated_passages, op9_repeated_lines, op10_url_filters, op11_token_counts, op12_filter_audit, op13_spelling_variants, pipeline)
 
 
 def queries() -> dict[str, Query]:
@@ -106,5 +119,42 @@ FROM m GROUP BY doc_id
 """
 
 
+OP12 = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
+  FROM documents),
+c AS (SELECT text, min(doc_id) AS least FROM d GROUP BY text),
+g AS (SELECT doc_id, coalesce(bool_or(quality = 1), false) AS good, coalesce(bool_or(toxic = 1), false) AS toxic FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id),
+f AS (
+  SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+         {'A': len(words) < 200, 'B': 100 * len(list_distinct(words)) < 50 * len(words),
+          'C': 100 * (length(d.text) - length(regexp_replace(d.text, '[A-Z]', '', 'g'))) > 3 * length(d.text),
+          'D': regexp_matches(d.text, '[#$%&*|]'), 'E': coalesce(d.doc_id > c.least, false)} AS fails
+  FROM d JOIN c ON d.text = c.text LEFT JOIN g ON d.doc_id = g.doc_id),
+k AS (SELECT part, fails, good, toxic, count(*) AS n FROM f GROUP BY ALL),
+o AS (
+  SELECT '' AS made UNION ALL
+  SELECT made || x FROM o, (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x) WHERE NOT contains(made, x)),
+p AS (SELECT made AS filter_order, CAST(unnest(range(1, 6)) AS INTEGER) AS step FROM o WHERE length(made) = 5),
+s AS (SELECT filter_order, step, filter_order[step] AS x, filter_order[:step - 1] AS earlier FROM p),
+t AS (
+  SELECT part, filter_order, step, x, n, good, toxic,
+         CASE x WHEN 'A' THEN fails.A WHEN 'B' THEN fails.B WHEN 'C' THEN fails.C WHEN 'D' THEN fails.D ELSE fails.E END AS fail,
+         (contains(earlier, 'A') AND fails.A) OR (contains(earlier, 'B') AND fails.B) OR (contains(earlier, 'C') AND fails.C)
+           OR (contains(earlier, 'D') AND fails.D) OR (contains(earlier, 'E') AND fails.E) AS gone,
+         fails.A::INT + fails.B::INT + fails.C::INT + fails.D::INT + fails.E::INT AS failures
+  FROM k, s),
+r AS (
+  SELECT part, filter_order, step, x,
+         coalesce(sum(n) FILTER (WHERE NOT gone AND NOT fail), 0)::BIGINT AS kept, coalesce(sum(n) FILTER (WHERE fail AND NOT gone), 0)::BIGINT AS removed,
+         coalesce(sum(n) FILTER (WHERE fail AND gone), 0)::BIGINT AS redundant, coalesce(sum(n) FILTER (WHERE fail AND failures = 1), 0)::BIGINT AS unique_fails,
+         coalesce(sum(n) FILTER (WHERE fail AND NOT gone AND good), 0)::BIGINT AS good_lost, coalesce(sum(n) FILTER (WHERE fail AND NOT gone AND toxic), 0)::BIGINT AS toxic_lost
+  FROM t GROUP BY part, filter_order, step, x)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost, (sum(removed) OVER (PARTITION BY part, x))::BIGINT AS shapley
+FROM r
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op7_mixing": OP7, "op9_repeated_lines": OP9}
+    return {"op7_mixing": OP7, "op9_repeated_lines": OP9, "op12_filter_audit": OP12}
