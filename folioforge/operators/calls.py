@@ -83,13 +83,6 @@ def alert_kind(found: Column) -> Column:
     return out
 
 
-def new_alerts(alerts: DataFrame, key: str, fingerprint: str, order: list[str], at: str, retry: float) -> DataFrame:
-    """Alerts to send: those whose fingerprint differs from the one before, or that come ``retry`` seconds after it."""
-    by = Window.partitionBy(key).orderBy(*order)
-    gap = _seconds(at) - F.lag(_seconds(at)).over(by)
-    return alerts.withColumn("send", F.lag(fingerprint).over(by).isNull() | (F.lag(fingerprint).over(by) != F.col(fingerprint)) | (gap >= retry))
-
-
 def restarts(probes: DataFrame, key: str, order: list[str], down: Column, budget: int) -> DataFrame:
     """One row for each time a target goes down: its number, and whether a restart is within the budget."""
     by = Window.partitionBy(key).orderBy(*order)

@@ -67,15 +67,6 @@ def run_in_order(jobs: DataFrame, queue: str, position: str) -> DataFrame:
     return jobs.withColumn("state", F.when(stopped, "pending").when(F.col("failed"), "failed").otherwise("done"))
 
 
-def cache_decision(requests: DataFrame, key: str, order: list[str], at: str, ok: str, lease: float, failed_ttl: float) -> DataFrame:
-    """Adds ``decision`` from the request before it of the same key: a good result is a hit during its lease, a failed one is repeated for a while."""
-    by = Window.partitionBy(key).orderBy(*order)
-    seconds = F.col(at).cast("timestamp").cast("double")
-    age = seconds - F.lag(seconds).over(by)
-    was_ok = F.lag(ok).over(by)
-    return requests.withColumn("decision", F.when(was_ok & (age < lease), "hit").when(~was_ok & (age < failed_ttl), "failed").otherwise("compute"))
-
-
 def chosen_pages(pages: DataFrame, candidates: DataFrame, keys: list[str]) -> DataFrame:
     """Each page's valid candidate, or the page as it was; ``source`` tells which."""
     valid = candidates.where("valid").select(*keys, F.col("text").alias("_candidate"))

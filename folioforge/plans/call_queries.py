@@ -138,21 +138,6 @@ SELECT doc_id, count(*) FILTER (WHERE gap >= 12000)::BIGINT AS stale, max(lines)
 """
 
 
-def alert_kinds(spark: SparkSession, folder: str) -> DataFrame:
-    """Alerts that each document's findings imply, and how many would be sent."""
-    found = F.array_compact(F.array(F.when(F.col("attempt") == 3, "retries_exhausted"), F.when(F.col("status") == "error", "oom"), F.when(F.col("input_tokens").isNull(), "non_api")))
-    rows = _events(spark, folder).withColumn("kind", C.alert_kind(found)).where("kind is not null")
-    sent = C.new_alerts(rows, "doc_id", "kind", ["seq"], "called_at", 6000)
-    return sent.groupBy("doc_id", "kind").agg(F.count("*").alias("alerts"), F.count_if("send").alias("sent"))
-
-
-ALERTS = f"""
-WITH k AS (SELECT *, CASE WHEN status = 'error' THEN 'oom' WHEN input_tokens IS NULL THEN 'non_api' WHEN attempt = 3 THEN 'retries_exhausted' END AS kind FROM {_EVENTS}),
-s AS (SELECT *, lag(kind) OVER w AS before, epoch_us(called_at) / 1e6 - lag(epoch_us(called_at)) OVER w / 1e6 AS gap FROM k WHERE kind IS NOT NULL WINDOW w AS (PARTITION BY doc_id ORDER BY seq))
-SELECT doc_id, kind, count(*)::BIGINT AS alerts, count(*) FILTER (WHERE before IS NULL OR before <> kind OR gap >= 6000)::BIGINT AS sent FROM s GROUP BY ALL
-"""
-
-
 def restart_decisions(spark: SparkSession, folder: str) -> DataFrame:
     return C.restarts(_events(spark, folder), "doc_id", ["seq"], F.col("status") == "error", 4).select("doc_id", "seq", "attempt_no", "decision")
 
@@ -198,7 +183,6 @@ QUERIES = {
     "sync_summary": (sync_summary, SYNC),
     "log_diagnostics": (log_diagnostics, DIAGNOSTICS),
     "probe_deltas": (probe_deltas, DELTAS),
-    "alert_kinds": (alert_kinds, ALERTS),
     "restart_decisions": (restart_decisions, RESTARTS),
     "started_bounds": (started_bounds, BOUNDS),
     "width_last": (width_last, WIDTHS),

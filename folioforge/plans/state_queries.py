@@ -66,15 +66,6 @@ def page_budget(spark: SparkSession, folder: str) -> DataFrame:
 BUDGET = f"SELECT user_id, fingerprint, least(count(*), 3)::BIGINT AS granted, greatest(count(*) - 3, 0)::BIGINT AS refused FROM {R.duck(REQUEST)} GROUP BY ALL"
 
 
-def naming_cache(spark: SparkSession, folder: str) -> DataFrame:
-    rows = R.frame(spark, folder, REQUEST).withColumn("ok", ~F.col("failed"))
-    return S.cache_decision(rows, "user_id", ["asked", "seq"], "asked", "ok", 7200, 1800).groupBy("user_id", "decision").agg(F.count("*").alias("requests"))
-
-
-CACHE = f"""
-SELECT user_id, CASE WHEN NOT f AND age < 7200 THEN 'hit' WHEN f AND age < 1800 THEN 'failed' ELSE 'compute' END AS decision, count(*)::BIGINT AS requests FROM (
-  SELECT user_id, lag(failed) OVER w AS f, epoch_us(asked) / 1e6 - lag(epoch_us(asked)) OVER w / 1e6 AS age FROM {R.duck(REQUEST)} WINDOW w AS (PARTITION BY user_id ORDER BY asked, seq)) GROUP BY ALL
-"""
 #: One row a queue of a unit, in order.
 QUEUE = """
 SELECT c_nationkey AS unit, c_custkey AS position, c_name AS queue, c_acctbal > 1000 AS complete,
@@ -144,7 +135,6 @@ QUERIES = {
     "completed_metadata": (completed_metadata, METADATA),
     "web_submissions": (web_submissions, SUBMISSIONS),
     "page_budget": (page_budget, BUDGET),
-    "naming_cache": (naming_cache, CACHE),
     "first_open_queues": (first_open_queues, FIRST_OPEN),
     "sequential_queue": (sequential_queue, SEQUENTIAL),
     "upgraded_pages": (upgraded_pages, UPGRADED),

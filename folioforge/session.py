@@ -59,6 +59,13 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return path
 
 
+def kept(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared folder and read back: the plan is cut, and no executor's loss harms it."""
+    path = new_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def delete(spark: SparkSession, path: str) -> None:
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
