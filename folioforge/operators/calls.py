@@ -57,10 +57,13 @@ def last_attempt(events: DataFrame, key: str, order: list[str], started: Column)
 
 
 def first_of_each(rows: DataFrame, keys: list[str], order: list[str], value: str, most: int) -> DataFrame:
-    """Count and the first ``most`` values of each key, in order."""
+    """Count and the first ``most`` values of each key, in order; each task drops its later rows before they are shuffled."""
     place = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-    kept = F.array_sort(F.collect_list(F.when(F.col("_place") <= most, F.struct("_place", value))))
-    return rows.withColumn("_place", place).groupBy(*keys).agg(F.count("*").alias("n"), F.transform(kept, lambda x: x[value]).alias("first"))
+    first = rows.select(*keys, *order, value).withColumn("_place", place).where(F.col("_place") <= most)
+    first = first.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("_place", value))).alias("_first"))
+    counts = rows.groupBy(*keys).agg(F.count("*").alias("n"))
+    same = [counts[k].eqNullSafe(first[k]) for k in keys]
+    return counts.join(first, same).select(*[counts[k] for k in keys], "n", F.transform("_first", lambda x: x[value]).alias("first"))
 
 
 def deltas(history: DataFrame, key: str, order: list[str], counters: list[str], at: str, stale_after: float) -> DataFrame:

@@ -17,17 +17,22 @@ def after_events(jobs: DataFrame, events: DataFrame) -> DataFrame:
     ``complete`` and ``fail`` set a job to completed or retry, whatever it was;
     ``invalidate`` turns a completed job to retry. So the last complete or fail counts, and
     any invalidate after it. Adds ``after`` and the end of the last failure's ``error``.
+    Places are unique within a job; only these are aggregated, the error of the place that
+    won is fetched by them.
     """
-    main, undo = F.col("event").isin("complete", "fail"), F.col("event") == "invalidate"
-    last = events.groupBy("id").agg(
-        F.max(F.when(main, F.struct("place", "event"))).alias("main"),
-        F.max(F.when(undo, F.col("place"))).alias("undone"),
-        F.max(F.when(F.col("event") == "fail", F.struct("place", F.right("error", F.lit(ERROR_CHARS)).alias("error")))).alias("failed"),
-    )
-    rows = jobs.join(last, "id", "left")
-    state = F.when(F.col("main.event") == "complete", "completed").when(F.col("main.event") == "fail", "retry").otherwise(F.col("status"))
-    undone = (state == "completed") & F.col("undone").isNotNull() & (F.col("main").isNull() | (F.col("undone") > F.col("main.place")))
-    return rows.select(*jobs.columns, F.when(undone, "retry").otherwise(state).alias("after"), F.col("failed.error").alias("error"))
+    last = lambda event: F.max(F.when(F.col("event") == event, F.col("place"))).alias(event)
+    places = events.groupBy("id").agg(last("complete"), last("fail"), last("invalidate"))
+    none = F.lit(-(2**63))
+    done, failed, undone = (F.coalesce(c, none) for c in ("complete", "fail", "invalidate"))
+    rows = jobs.join(places, "id", "left").join(_errors(events), ["id", "fail"], "left")
+    state = F.when(done > failed, "completed").when(failed > done, "retry").otherwise(F.col("status"))
+    undo = (state == "completed") & F.col("invalidate").isNotNull() & (undone > F.greatest(done, failed))
+    return rows.select(*[jobs[c] for c in jobs.columns], F.when(undo, "retry").otherwise(state).alias("after"), "error")
+
+
+def _errors(events: DataFrame) -> DataFrame:
+    """The end of each failure's error, by ``id`` and ``fail``, its place."""
+    return events.where("event = 'fail'").select("id", F.col("place").alias("fail"), F.right("error", F.lit(ERROR_CHARS)).alias("error"))
 
 
 def recovered(jobs: DataFrame) -> DataFrame:

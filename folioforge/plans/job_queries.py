@@ -53,19 +53,6 @@ def web_claim_next(spark: SparkSession, folder: str) -> DataFrame:
 
 
 WEB_CLAIM = f"SELECT id, position FROM ({_CLAIMABLE.format(5)}) ORDER BY position, id LIMIT 10"
-_STATUSES, _COMMANDS = ("draft", "queued", "running", "paused", "pausing", "failed", "succeeded", "cancelled"), ("submit", "pause", "resume", "retry", "cancel", "finish", "fail", "stop")
-_PAIRS = "VALUES " + ", ".join(f"('{s}', '{c}')" for s in _STATUSES for c in _COMMANDS)
-
-
-def command_transitions(spark: SparkSession, folder: str) -> DataFrame:
-    pairs = spark.sql(f"SELECT * FROM {_PAIRS} AS t(status, command)")
-    return pairs.withColumn("after", J.after_command(F.col("status"), F.col("command")))
-
-
-COMMANDS = f"""
-SELECT t.status, t.command, x.after FROM ({_PAIRS}) AS t(status, command)
-LEFT JOIN (VALUES {', '.join(str(t) for t in J.TRANSITIONS)}) AS x(status, command, after) ON x.status = t.status AND x.command = t.command
-"""
 _DELAYS = (180, 360, 720, 1440, 2880, 5760)
 
 
@@ -98,26 +85,6 @@ def partition_cover(spark: SparkSession, folder: str) -> DataFrame:
 
 
 COVER = "SELECT printf('%08d.pdf', p_partkey) AS source, 1::BIGINT AS times FROM part"
-_CODES = ("A01PA202401001", "B12X12202312045-2", "C03P2401007", "D04ZZZ202412001", "E05202413001", "F06PB203001999_skip", "G07P9912123-1", "H08P1202002001", "nonsense", "")
-
-
-def batch_code_parse(spark: SparkSession, folder: str) -> DataFrame:
-    codes = spark.sql("SELECT * FROM VALUES " + ", ".join(f"('{c}')" for c in _CODES) + " AS t(code)")
-    return codes.select("code", J.batch_code(F.col("code")).alias("p")).select("code", "p.*")
-
-
-BATCH_CODES = """
-SELECT * FROM (VALUES ('A01PA202401001', 'A01', '', '', '2024-01', '001', '工艺及线编码待核对'),
-  ('B12X12202312045-2', 'B12', 'X', '12', '2023-12', '045', ''),
-  ('C03P2401007', 'C03', 'P', '', '2024-01', '007', '两位年份按20xx解析'),
-  ('D04ZZZ202412001', 'D04', '', '', '2024-12', '001', '工艺及线编码待核对'),
-  ('E05202413001', 'E05', '', '', NULL, '', '编号年月待核对'),
-  ('F06PB203001999_skip', 'F06', '', '', '2030-01', '999', '工艺及线编码待核对'),
-  ('G07P9912123-1', 'G07', 'P', '', '2099-12', '123', '两位年份按20xx解析'),
-  ('H08P1202002001', 'H08', 'P1', '', '2020-02', '001', ''),
-  ('nonsense', 'non', '', '', NULL, '', '编号年月待核对'),
-  ('', '', '', '', NULL, '', '编号年月待核对')) AS t(code, batch, process, line, month, sequence, notes)
-"""
 #: Customers as batches of orders as files, with a job for most.
 FILES = """
 SELECT concat('B', CAST(c_custkey AS STRING)) AS code, CAST(o_orderkey % 4 AS STRING) AS unit, c_custkey % 29 = 0 AS skipped,
@@ -148,11 +115,9 @@ QUERIES = {
     "events_page": (events_page, EVENTS_PAGE),
     "claim_next": (claim_next, CLAIM_NEXT),
     "web_claim_next": (web_claim_next, WEB_CLAIM),
-    "command_transitions": (command_transitions, COMMANDS),
     "retry_schedule": (retry_schedule, RETRY),
     "dispatch_units": (dispatch_units, DISPATCH),
     "lpt_plan": (lpt_plan, None),
     "partition_cover": (partition_cover, COVER),
-    "batch_code_parse": (batch_code_parse, BATCH_CODES),
     "batch_status": (batch_status, BATCH_STATUS),
 }

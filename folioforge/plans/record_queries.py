@@ -98,20 +98,6 @@ WITH r AS (SELECT c_nationkey AS sheet, c_mktsegment, row_number() OVER w AS row
 g AS (SELECT *, sum(CASE WHEN row > 1 AND before = c_mktsegment THEN 0 ELSE 1 END) OVER (PARTITION BY sheet ORDER BY row) AS run FROM r)
 SELECT sheet, run::BIGINT AS run, c_mktsegment, min(row)::INT AS first_row, max(row)::INT AS last_row FROM g GROUP BY sheet, run, c_mktsegment
 """
-_TIMES = (
-    ("2024年1月5日", "2024-01-05", "date"), ("2024.1.5", "2024-01-05", "date"), ("2024-02-30", "2024-02-30", "text"), ("2024/12/31 9:05", "2024-12-31-09:05", "datetime"),
-    ("2024-01-05T10:20:30", "2024-01-05-10:20:30", "datetime"), ("9时05分", "09:05", "time"), ("9时05分07秒", "09:05:07", "time"), ("25:00", "25:00", "text"),
-    ("  8：30 ", "08:30", "time"), ("12:60", "12:60", "text"), ("2024年1月", "2024年1月", "text"), ("", "", "text"), ("2024-1-5-7:08", "2024-01-05-07:08", "datetime"),
-)
-_TIME_ROWS = "VALUES " + ", ".join(f"('{v}', '{o}', '{k}')" for v, o, k in _TIMES)
-
-
-def temporal_normalize(spark: SparkSession, folder: str) -> DataFrame:
-    rows = spark.sql(f"SELECT source FROM {_TIME_ROWS} AS t(source, x, y)")
-    return rows.select("source", H.normalize_temporal(F.col("source")).alias("t")).select("source", "t.value", "t.kind")
-
-
-TEMPORAL = f"SELECT * FROM ({_TIME_ROWS}) AS t(source, value, kind)"
 
 
 def _boxes(spark: SparkSession, folder: str) -> DataFrame:
@@ -147,20 +133,6 @@ LOCAL_BOXES = f"""
 SELECT vec_id, x0 >= 0 AND x0 < x1 AND x1 <= 560 AND y0 >= 0 AND y0 < y1 AND y1 <= 560
   AND (least(560, x1 + 40) - greatest(0, x0 - 40)) * (least(560, y1 + 40) - greatest(0, y0 - 40)) < 560.0::DOUBLE * 560 * 0.90::DOUBLE AS local FROM {_BOX_SQL}
 """
-_CRITICAL = (
-    ("生产日期", "2024年1月5日", False), ("生产日期", "2024-13-01", True), ("Date", "20240105", False), ("date", "5 Jan", True), ("生产日期 年", "2024", False), ("生产日期 年", "24", True),
-    ("生产日期:月", "13", True), ("Start date day", "31", False), ("Start date day", "0", True), ("批号", "A-12/3.4", False), ("Batch No", "A 12", True), ("数量", "1,200 kg", False),
-    ("Amount", "about 5", True), ("Quantity", "-3.5%", False), ("Name", "anything", False),
-)
-_CRITICAL_ROWS = "VALUES " + ", ".join(f"('{a}', '{v}', {str(x).lower()})" for a, v, x in _CRITICAL)
-
-
-def critical_fields(spark: SparkSession, folder: str) -> DataFrame:
-    rows = spark.sql(f"SELECT label, value FROM {_CRITICAL_ROWS} AS t(label, value, x)")
-    return rows.withColumn("invalid", V.critical_invalid(F.col("label"), F.col("value")))
-
-
-CRITICAL = f"SELECT * FROM ({_CRITICAL_ROWS}) AS t(label, value, invalid)"
 
 
 def reply_valid(spark: SparkSession, folder: str) -> DataFrame:
@@ -191,9 +163,7 @@ QUERIES = {
     "hierarchy_long": (hierarchy_long, HIERARCHY_LONG),
     "category_wide": (category_wide, CATEGORY_WIDE),
     "merge_runs": (merge_runs, MERGE_RUNS),
-    "temporal_normalize": (temporal_normalize, TEMPORAL),
     "review_select": (review_select, REVIEW),
     "local_boxes": (local_boxes, LOCAL_BOXES),
-    "critical_fields": (critical_fields, CRITICAL),
     "reply_valid": (reply_valid, REPLY),
 }

@@ -17,8 +17,11 @@ REGISTRY = """
 SELECT p_partkey AS field_id, p_partkey % 41 AS page, CASE WHEN p_partkey % 2 = 0 THEN concat('label ', p_name) ELSE '' END AS label, lower(p_type) AS value, concat('meaning ', p_brand) AS semantic, p_retailprice AS price
 FROM {part} WHERE p_partkey % 7 <> 0
 """
-#: Lines as pieces of evidence of parts.
-SEGMENTS = "SELECT l_partkey AS field_id, MIN(l_partkey % 40 + CASE WHEN l_linenumber = 7 THEN 1 ELSE 0 END) AS page, l_suppkey FROM {lineitem} WHERE l_quantity < 3 GROUP BY l_partkey, l_suppkey"
+#: Lines as pieces of evidence: those of one supplier in forty belong to the part itself, the others to fields of their own.
+SEGMENTS = """
+SELECT CASE WHEN l_suppkey % 40 = l_partkey % 40 THEN l_partkey ELSE 1000000000 + l_partkey * 4 + l_suppkey % 4 END AS field_id, MIN(l_partkey % 40 + CASE WHEN l_linenumber = 7 THEN 1 ELSE 0 END) AS page, l_suppkey
+FROM {lineitem} GROUP BY 1, l_partkey, l_suppkey
+"""
 
 
 def _frames(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:

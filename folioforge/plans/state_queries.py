@@ -11,7 +11,7 @@ from folioforge.plans import adapters as R
 #: One row an appended event of a job: lines of an order, in their order.
 JOB_EVENT = """
 SELECT l_orderkey AS id, (l_linenumber * 1000000 + l_partkey) * 1000000 + CAST(floor(l_extendedprice * 10) AS BIGINT) % 1000000 AS place, CASE l_returnflag WHEN 'A' THEN 'complete' WHEN 'N' THEN 'fail' ELSE 'invalidate' END AS event,
-       CASE WHEN l_returnflag = 'N' THEN repeat(concat('line ', CAST(l_partkey AS STRING), ';'), 1200) END AS error
+       CASE WHEN l_returnflag = 'N' THEN repeat(concat('line ', CAST(l_partkey AS STRING), ';'), 900) END AS error
 FROM {lineitem}
 """
 
@@ -95,14 +95,14 @@ SELECT unit, position, CASE WHEN coalesce(position > stop, false) THEN 'pending'
 
 def upgraded_pages(spark: SparkSession, folder: str) -> DataFrame:
     """Turns of conversations as pages: a third have a candidate, of which those of even turns are valid."""
-    pages = R.frame(spark, folder, "SELECT conv_id, turn, text FROM {conversations}").dropDuplicates(["conv_id", "turn"])
+    pages = R.frame(spark, folder, "SELECT conv_id, turn, MIN(text) AS text FROM {conversations} GROUP BY conv_id, turn")
     candidates = pages.where("(conv_id + turn) % 3 = 0").select("conv_id", "turn", F.reverse("text").alias("text"), (F.col("turn") % 2 == 0).alias("valid"))
     out = S.chosen_pages(pages, candidates, ["conv_id", "turn"])
     return out.groupBy("conv_id", "source").agg(F.count("*").alias("pages"), F.sum(F.length("text")).alias("chars"), F.min(F.md5("text")).alias("least_md5"))
 
 
 UPGRADED = """
-WITH p AS (SELECT conv_id, turn, any_value(text) AS text FROM conversations GROUP BY ALL),
+WITH p AS (SELECT conv_id, turn, min(text) AS text FROM conversations GROUP BY ALL),
 c AS (SELECT *, CASE WHEN (conv_id + turn) % 3 = 0 AND turn % 2 = 0 AND text IS NOT NULL THEN 'candidate' ELSE 'original' END AS source FROM p),
 t AS (SELECT *, CASE source WHEN 'candidate' THEN reverse(text) ELSE text END AS out FROM c)
 SELECT conv_id, source, count(*)::BIGINT AS pages, sum(length(out))::BIGINT AS chars, min(md5(out)) AS least_md5 FROM t GROUP BY ALL

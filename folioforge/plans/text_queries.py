@@ -1,4 +1,4 @@
-"""Queries over texts and markup, each with its DuckDB text or, for fixtures, the rows expected."""
+"""Queries over texts, each with its DuckDB text."""
 
 from __future__ import annotations
 
@@ -6,25 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioforge.functions import text as T
-from folioforge.operators import markup as M
 from folioforge.session import table
 
 
-def _values(rows, names: str) -> str:
-    def one(v) -> str:
-        if v is None:
-            return "NULL"
-        if isinstance(v, bool | int):
-            return str(v).lower()
-        return "'" + v.replace("'", "''") + "'"
-
-    return f"SELECT * FROM (VALUES {', '.join('(' + ', '.join(map(one, r)) + ')' for r in rows)}) AS t({names})"
-
-
-def _fixture(spark: SparkSession, rows, schema: str) -> DataFrame:
-    return spark.createDataFrame(rows, schema)
-
-
 def redacted(spark: SparkSession, folder: str) -> DataFrame:
     """Pages that show a secret, before and after it is hidden."""
     pages = table(spark, folder, "pages").select("page_id", F.concat(F.lit("Authorization: Bearer abc.def "), "url", F.lit(" sk-12345678zz")).alias("log"))
@@ -74,8 +58,7 @@ def plain_words(spark: SparkSession, folder: str) -> DataFrame:
 _WIDE = r"[\s\x{0B}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+"
 PLAIN = rf"""
 SELECT doc_id, length(p)::INT AS chars, md5(p) AS plain_md5 FROM (
-  SELECT doc_id, trim(regexp_replace(translate(regexp_replace(regexp_replace('Lead in $x_1$ & ' || text, '\\(?:textbf|textit|texttt|emph|mbox|hbox|underline)\s*\{{([^{{}}]*)\}}', '\1', 'g'),
-    '\\[@A-Za-z]+\*?', ' ', 'g'), '{{}}$&#_^~\', '         '), '{_WIDE}', ' ', 'g'), ' ') AS p FROM documents)
+  SELECT doc_id, trim(regexp_replace(translate(regexp_replace('Lead in x 1 ' || text, '{T.MACRO}', ' ', 'g'), '{T.MARKS}', repeat(' ', {len(T.MARKS)})), '{_WIDE}', ' ', 'g'), ' ') AS p FROM documents)
 """
 
 
@@ -85,88 +68,12 @@ def plain_texts(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "documents").select("doc_id", F.length(plain).alias("chars"), F.md5(plain).alias("plain_md5"))
 
 
-_RULES = (
-    (1, "a\\nB c\\nd", "a\nB c\\nd"), (2, r"A37\\2605", r"A37\textbackslash{}2605"), (3, r"\handwritten{10^3}", r"\handwritten{10\textsuperscript{3}}"),
-    (4, r"  \%  #VALUE_ID: X", "  % #VALUE_ID: X"), (5, r"x\中\\文", r"x\textbackslash{}中\textbackslash{}文"), (6, "a\n  \\newline  \nb", "a\n\\par\nb"), (7, "plain", "plain"),
-)
-
-
-def rules_regex(spark: SparkSession, folder: str) -> DataFrame:
-    rows = _fixture(spark, [(i, s) for i, s, _ in _RULES], "id int, source string")
-    return rows.select("id", T.normalize(F.col("source"))[0].alias("result"))
-
-
 def rules_texts(spark: SparkSession, folder: str) -> DataFrame:
     """The built rules over every whole document: its digest after them, and the finds of each rule."""
     result, finds = T.normalize(F.col("text"))
     return table(spark, folder, "documents").select("doc_id", F.md5(result).alias("result_md5"), *[finds[name].alias(name) for name, _, _ in T.REGEX_RULES])
 
 
-_BROKEN = ((1, r"a {b} c"), (2, "a } b\n{ c"), (3, r"\begin{a}\end{b}"), (4, r"\begin{document} x"), (5, r"x \end{document}"), (6, "% {\n\\{ \\verb|{| ok"), (7, "{{\n{"))
-_ISSUES = (
-    (2, "error", "UNMATCHED_CLOSE_BRACE", 1), (2, "error", "UNCLOSED_BRACE", 2), (3, "error", "ENVIRONMENT_MISMATCH", 1), (3, "error", "UNCLOSED_ENVIRONMENT", 1), (4, "warning", "DOCUMENT_FRAGMENT_BEGIN", 1),
-    (5, "warning", "DOCUMENT_FRAGMENT_END", 1), (7, "error", "UNCLOSED_BRACE", 1), (7, "error", "UNCLOSED_BRACE", 1), (7, "error", "UNCLOSED_BRACE", 2),
-)
-
-
-def markup_issues(spark: SparkSession, folder: str) -> DataFrame:
-    return M.rows_of(_fixture(spark, _BROKEN, "id int, text string"), "issues", "id")
-
-
-def brace_balance(spark: SparkSession, folder: str) -> DataFrame:
-    """Issues of every raw page's braces, counted by page."""
-    found = M.rows_of(table(spark, folder, "pages"), "issues", "page_id", "html")
-    return found.groupBy("page_id", "code").agg(F.count("*").alias("n"))
-
-
-_TABLES = (
-    (1, "\\begin{tabular}{|l|*{2}{c}|}\na & b & c \\\\ \\hline\n\\multicolumn{2}{l}{x} & y \\\\\n\\end{tabular}"),
-    (2, "\\begin{tabularx}{\\linewidth}{lX}\np & {q & r} \\\\[2pt]\ns \\\\\n\\end{tabularx}"),
-    (3, "\\begin{tabular}{l}\na & b\n\\end{tabular}"),
-)
-_CELLS = (
-    (1, 1, "tabular", 3, 1, 1, "a", 1), (1, 1, "tabular", 3, 1, 2, "b", 1), (1, 1, "tabular", 3, 1, 3, "c", 1), (1, 1, "tabular", 3, 2, 1, r"\multicolumn{2}{l}{x}", 2), (1, 1, "tabular", 3, 2, 2, "y", 1),
-    (2, 1, "tabularx", 2, 1, 1, "p", 1), (2, 1, "tabularx", 2, 1, 2, "{q & r}", 1), (2, 1, "tabularx", 2, 2, 1, "s", 1), (3, 1, "tabular", 1, 1, 1, "a", 1), (3, 1, "tabular", 1, 1, 2, "b", 1),
-)
-
-
-def table_cells(spark: SparkSession, folder: str) -> DataFrame:
-    return M.rows_of(_fixture(spark, _TABLES, "id int, text string"), "cells", "id")
-
-
-def table_alignment(spark: SparkSession, folder: str) -> DataFrame:
-    return M.rows_of(_fixture(spark, _TABLES, "id int, text string"), "row_issues", "id")
-
-
-_ALIGN = ((2, "warning", "ROW_TOO_SHORT", 1), (3, "error", "ROW_TOO_WIDE", 1))
-_FORM = (
-    "% #VALUE_ID: F-P0001-V0001\n% #FIELD_VALUE: Batch no\n\\fieldvalue{A\\textbf{12} {x}}\n% #VALUE_ID: F-P0001-V0002\n% #TODO #HANDWRITTEN: check\n\\fieldvalue{two\nlines}\n"
-    "% PAGE_COMPLETED: 1/2\n% #VALUE_ID: F-P0002-V0001\n% #FIELD_VALUE: ok?\n\\fieldvalue{\\checkboxfield{checked} yes}\n% #VALUE_ID: F-P0002-V0002\n\\fieldvalue{\\checkboxfield{unclear}}\n% PAGE_COMPLETED: 2/2"
-)
-_FIELDS = (
-    (1, "F-P0001-V0001", "Batch no", "A 12 x", 1, 2, 1, False, "", "text", None), (1, "F-P0001-V0002", "", "two lines", 1, 2, 4, True, "check", "text", None),
-    (1, "F-P0002-V0001", "ok?", "yes", 2, 2, 9, False, "", "checkbox", True), (1, "F-P0002-V0002", "", "", 2, 2, 12, False, "", "checkbox", None),
-)
-
-
-def extract_fields(spark: SparkSession, folder: str) -> DataFrame:
-    return M.rows_of(_fixture(spark, [(1, _FORM), (2, None), (3, "")], "id int, text string"), "fields", "id")
-
-
-_VALUES = ((1, "１２ ＫＧ", "12kg", "１２ ＫＧ", "12_kg"), (2, "10³ m₂", "10^3m_2", "10³ m₂", "103_m2"), (3, "5% & $a_b$ #1", "5%&$a_b$#1", r"5\% \& $a_b$ \#1", "5_a_b_1"), (4, "Straße −1", "strasse-1", "Straße −1", "strae_1"), (5, "", "", "", "field"))
-
-
-def text_values(spark: SparkSession, folder: str) -> DataFrame:
-    rows = _fixture(spark, [v[:2] for v in _VALUES], "id int, source string")
-    slug = T.slug(M.text_of("ascii")("source"), named=F.col("source"))
-    return rows.select("id", "source", *[M.text_of(k)("source").alias(k) for k in ("normal", "escaped")], slug.alias("slug"))
-
-
-def unmatched_closings(spark: SparkSession, folder: str) -> DataFrame:
-    rows = _fixture(spark, [(1, "a} {b}} c"), (2, "{a}"), (3, r"\} }")], "id int, source string")
-    return rows.select("id", M.text_of("closed")("source").alias("result"))
-
-
 QUERIES = {
     "redact": (redacted, REDACTED),
     "library_search": (library_search, LIBRARY),
@@ -174,13 +81,5 @@ QUERIES = {
     "log_tail": (log_tail, LOG_TAIL),
     "plain_words": (plain_words, PLAIN),
     "plain_texts": (plain_texts, None),
-    "rules_regex": (rules_regex, _values([(i, r) for i, _, r in _RULES], "id, result")),
     "rules_texts": (rules_texts, None),
-    "markup_issues": (markup_issues, _values(_ISSUES, "id, severity, code, line")),
-    "brace_balance": (brace_balance, None),
-    "table_cells": (table_cells, _values(_CELLS, "id, table_no, env, columns, row_no, cell_no, text, span")),
-    "table_alignment": (table_alignment, _values(_ALIGN, "id, severity, code, line")),
-    "extract_fields": (extract_fields, _values(_FIELDS, "id, field_id, label, value, page, total, line, handwritten, todo, kind, checked")),
-    "text_values": (text_values, _values(_VALUES, "id, source, normal, escaped, slug")),
-    "unmatched_closings": (unmatched_closings, _values([(1, "a {b} c"), (2, "{a}"), (3, "\\} ")], "id, result")),
 }

@@ -70,14 +70,14 @@ FROM (SELECT ({list(_KEYS)})[l_partkey % {len(_KEYS)} + 1] AS key FROM lineitem)
 
 
 def redact_texts(spark: SparkSession, folder: str) -> DataFrame:
-    """Every document's whole text with what looks like a key or an authorization hidden."""
-    hidden = T.redact(T.redact_sensitive(F.col("text")))
-    return R.frame(spark, folder, "SELECT doc_id, text FROM {documents}").select("doc_id", F.md5(hidden).alias("hidden_md5"), (hidden != F.col("text")).alias("changed"))
+    """Whole documents with secrets written around them, which are hidden again."""
+    docs = R.frame(spark, folder, "SELECT doc_id, text FROM {documents}")
+    log = F.concat(F.lit("authorization =  BEARER t"), "doc_id", F.lit(",sk-short x.olp_12345678"), "doc_id", F.lit(" "), "text", F.lit(" a bearer 'no' bearer "), "doc_id", F.lit("'s"))
+    return docs.select("doc_id", F.md5(T.redact(T.redact_sensitive(log))).alias("hidden_md5"))
 
 
-REDACT_TEXTS = r"""
-SELECT doc_id, md5(h) AS hidden_md5, h <> text AS changed FROM (SELECT doc_id, text,
-  regexp_replace(regexp_replace(regexp_replace(text, '(?i)(authorization\s*[=:]\s*(?:bearer\s+)?)[^,;\s]+', '\1[REDACTED]', 'g'), '\b(?:sk-|olp_)[A-Za-z0-9._-]{8,}', '[REDACTED]', 'g'), '(?i)(bearer\s+)[^"''\s]+', '\1[REDACTED]', 'g') AS h FROM documents)
+REDACT_TEXTS = f"""
+SELECT doc_id, md5('authorization =  BEARER {T.HIDDEN} x.{T.HIDDEN} ' || text || ' a bearer ''no'' bearer {T.HIDDEN}''s') AS hidden_md5 FROM documents
 """
 
 
