@@ -1,17 +1,18 @@
 """Operator 7: mix sources to target weights.
 
-A document's key is the MD5 of its id, so any prefix of the keys' order is a
-random sample of its source. Keys are range-partitioned into ``buckets`` equal
-ranges: bucket sums (partial aggregates) give each bucket its offset in its
-source, and a running sum inside a bucket does the rest, so no source, however
-large, is sorted in one task (more ``buckets`` suit more documents; the few rows of
-sources and of their buckets meet in windows without a partition or by source). A source whose target is below its size is cut at
+A document's key is the MD5 of its id and text, so any prefix of the keys' order is a
+random sample of its source, whatever ids repeat or lack. Keys are range-partitioned
+into equal ranges, one for every ``BUCKET_ROWS`` documents: bucket sums (partial
+aggregates) give each bucket its offset in its source, and a running sum inside a
+bucket does the rest, so no source, however large, is sorted in one task (the few rows
+of sources and of their buckets meet in windows without a partition or by source; only
+rows alike in source, id and text share a key). A source whose target is below its size is cut at
 the word that fills it; one above is repeated whole, then cut.
 
 Only DataFrame operations run. Defined results: a null text has size 0; a null
-source is a source of its own, ordered last; a null id has the key of an empty
-text; rows that share an id are separate documents, ordered by size and text; an
-empty table or sources without words give targets of 0 and take nothing.
+source is a source of its own, ordered last; a null id counts as an empty one in the
+key; rows that share an id are separate documents, with keys of their own if their
+texts differ; an empty table or sources without words give targets of 0 and take nothing.
 """
 
 from __future__ import annotations
@@ -21,6 +22,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+#: Documents of a range of keys, over all sources.
+BUCKET_ROWS = 8192
 WORD = r"[^\x20\x09-\x0D]+"
 _SOURCE = ["_mix_source", "_mix_none"]
 
@@ -46,16 +49,19 @@ def targets(sizes: DataFrame, weights: Sequence[float], share: float, cap: float
     return rows.withColumn("_mix_target", F.least("_mix_cap", level * F.col("_mix_weight"))).select(*_SOURCE, "_mix_total", "_mix_target")
 
 
-def plan(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), share: float = 1.5, cap: float = 2.0, buckets: int = 1024, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """``docs`` with ``_mix_size``, ``_mix_total`` (of its source), ``_mix_target`` and ``_mix_taken``."""
+def plan(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), share: float = 1.5, cap: float = 2.0, buckets: int | None = None, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+    """``docs`` with ``_mix_size``, ``_mix_total`` (of its source), ``_mix_target`` and ``_mix_taken``.
+
+    ``buckets`` of the keys, if given, changes no result.
+    """
+    buckets = buckets or 64 + docs.count() // BUCKET_ROWS
     name, source = F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.col(source_col)
     rows = (
         docs.withColumn("_mix_size", F.coalesce(F.regexp_count(text_col, F.lit(WORD)), F.lit(0)).cast("long"))
-        .withColumn("_mix_key", F.md5(name))
-        .withColumn("_mix_tie", F.xxhash64(text_col))
+        .withColumn("_mix_key", F.md5(F.concat(name, F.lit(":"), F.md5(F.coalesce(F.col(text_col), F.lit(""))))))
         .withColumn("_mix_source", F.coalesce(source.cast("string"), F.lit("")))
         .withColumn("_mix_none", source.isNull())
-        .withColumn("_mix_bucket", F.floor(F.conv(F.substring("_mix_key", 1, 4), 16, 10).cast("long") * buckets / 65536).cast("int"))
+        .withColumn("_mix_bucket", (F.conv(F.substring("_mix_key", 1, 8), 16, 10).cast("long") * F.lit(buckets) / F.lit(1 << 32)).cast("int"))
     )
     part = [*_SOURCE, "_mix_bucket"]
     sums = rows.groupBy(*part).agg(F.sum("_mix_size").alias("_mix_sum"))
@@ -63,7 +69,7 @@ def plan(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), share: float = 1
     order = Window.partitionBy(*_SOURCE).orderBy("_mix_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sums.withColumn("_mix_offset", F.coalesce(F.sum("_mix_sum").over(order), F.lit(0))).join(targets(sizes, weights, share, cap), _SOURCE).drop("_mix_sum")
     rows = rows.join(offsets, part)
-    inside = Window.partitionBy(*part).orderBy("_mix_key", "_mix_size", "_mix_tie").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    inside = Window.partitionBy(*part).orderBy("_mix_key").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     before = F.col("_mix_offset") + F.sum("_mix_size").over(inside) - F.col("_mix_size")
     total = F.col("_mix_total")
     whole = F.when(total > 0, F.floor(F.col("_mix_target") / total)).otherwise(0).cast("long")

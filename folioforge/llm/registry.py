@@ -90,7 +90,7 @@ _BLANK = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 OP7 = r"""
 WITH d AS (
   SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size,
-         md5(coalesce(CAST(doc_id AS VARCHAR), '')) AS k
+         md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || md5(coalesce(text, ''))) AS k
   FROM documents),
 s AS (SELECT source, sum(size)::BIGINT AS total FROM d GROUP BY source),
 w AS (SELECT *, CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 WHEN 0 THEN 5.0::DOUBLE WHEN 1 THEN 2.0::DOUBLE ELSE 1.0::DOUBLE END AS weight FROM s),
@@ -99,7 +99,7 @@ c AS (SELECT *, (budget - coalesce(sum(cap) OVER (ORDER BY at_cap, source NULLS
          / sum(weight) OVER (ORDER BY at_cap, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM l),
 t AS (SELECT source, total, least(cap, weight * (SELECT min_by(level, at_cap) FROM c WHERE level <= at_cap)) AS target FROM c),
 p AS (SELECT d.doc_id, d.size, t.total, t.target,
-             CAST(sum(d.size) OVER (PARTITION BY d.source ORDER BY d.k, d.size ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - d.size AS BIGINT) AS before,
+             CAST(sum(d.size) OVER (PARTITION BY d.source ORDER BY d.k ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - d.size AS BIGINT) AS before,
              CASE WHEN t.total > 0 THEN CAST(floor(t.target / t.total) AS BIGINT) ELSE 0 END AS whole
       FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
 SELECT doc_id, size, total AS source_size, target,
