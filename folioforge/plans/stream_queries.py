@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from folioforge.plans import adapters as R
 from folioforge.session import new_folder, ship, table
-from folioforge.sources import logs
+from folioforge.sources import logs, published
 from folioforge.streaming import matches, restarts, run
 
 _LINE = "event_id long, user_id long, event_type string, value double"
@@ -109,7 +109,24 @@ FROM s LEFT JOIN e ON e.call_id = s.call_id AND e.finished_at >= s.started_at AN
 WHERE e.call_id IS NOT NULL OR s.started_at + INTERVAL 2 HOURS < mark
 """
 
+
+
+def published_days(spark: SparkSession, folder: str) -> DataFrame:
+    """Daily rows published a year at a time, one year twice; what readers see of them."""
+    ship(spark)
+    place = new_folder(spark, "published")
+    days = R.frame(spark, folder, DAYS)
+    years = sorted(r.y for r in days.select("y").distinct().collect())  # as many as the calendar has
+    for year in [*years, *years[:1]]:
+        published.publish(days.where(F.col("y") == year), place, f"{year}")
+    return published.published(spark, place, days.schema).select("day", "documents", "pages")
+
+
+DAYS = "SELECT day, CAST(year(day) AS INT) AS y, COUNT(*) AS documents, SUM(source_pages) AS pages FROM (" + R.COMPLETION + ") GROUP BY day, year(day)"
+DAYS_SQL = f"SELECT day, count(*)::BIGINT AS documents, sum(source_pages)::BIGINT AS pages FROM {R.duck(R.COMPLETION)} GROUP BY day"
+
 QUERIES = {
+    "published_days": (published_days, DAYS_SQL),
     "log_stream": (log_stream, LOGS),
     "restart_stream": (restart_stream, RESTARTS),
     "start_matches": (start_matches, MATCHES),
