@@ -22,8 +22,11 @@ both sides of the shuffle. A large node compares everything with one random pivo
 and stops once all its documents are connected; if at most ``4 * limit`` documents are
 not connected with most others, these are compared with the whole node and it stops
 too. So a group of thousands of near copies costs a multiple of its size, not its
-square. Nodes still large and unconnected after ``depth`` levels are compared
-exhaustively in blocks.
+square. Documents that are alike but not linked (of one template, say) part slowly by
+branching, which doubles their entries at every level; so an unconnected node of up to
+``WHOLE * limit`` documents is compared exhaustively in blocks at once, at a bounded
+cost for each of its documents. A larger one branches on, and is compared so as soon
+as it is as small, or after ``depth`` levels.
 
 Defined results: null or empty texts, and texts without words, have an empty set
 and are linked with nothing; rows that share an id are copies of one node; a null
@@ -46,6 +49,8 @@ from folioforge.llm._store import Scratch, light
 from folioforge.llm._text import distinct, lean, mix, shingles, slices, words
 
 PLACES = 64
+#: A large node whose documents aren't connected is compared whole, in blocks, if it has at most so many times ``limit`` of them.
+WHOLE = 16
 #: Bytes of full sets that one group gathers to compare them, if more than two of them.
 BLOCK_BYTES = 1 << 25
 _SEEDS = mix(np.arange(1, PLACES + 1, dtype=np.uint64))
@@ -456,10 +461,15 @@ class _Join:
             self.scratch.drop(nodes, near, pairs, rest)
             if not n_left:
                 break
-            if level == self.depth - 1:
-                self.blocks(left)
-            else:
-                entries = left.join(reps.select("rep", "tokens"), "rep").select("path", "rep", "n", "tokens").mapInArrow(_branch, _ENTRIES)
+            last = level == self.depth - 1
+            settled = F.lit(last) | (F.col("size") <= WHOLE * limit)
+            n_settled = left.where(settled).count()
+            if n_settled:
+                self.blocks(left.where(settled))
+            if n_settled == n_left:
+                break
+            left = left.where(~settled)
+            entries = left.join(reps.select("rep", "tokens"), "rep").select("path", "rep", "n", "tokens").mapInArrow(_branch, _ENTRIES)
         return sketch, reps
 
     def spread(self, whole: DataFrame) -> DataFrame:

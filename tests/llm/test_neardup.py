@@ -58,8 +58,9 @@ def docs_of(spark, rows):
     return spark.createDataFrame([(i, t, 5, "x", 1, 2) for i, t in rows], "doc_id long, text string, rep int, label string, t1 int, n int")
 
 
-@pytest.mark.parametrize(("limit", "depth"), [(4, 2), (8, 3), (16, 4), (4096, 12)])
-def test_all_paths_equal_brute_force(spark, limit, depth):
+@pytest.mark.parametrize(("limit", "depth", "whole"), [(4, 2, 16), (8, 3, 0), (16, 4, 16), (4096, 12, 16)])
+def test_all_paths_equal_brute_force(spark, monkeypatch, limit, depth, whole):
+    monkeypatch.setattr(neardup, "WHOLE", whole)
     rows = boilerplate(limit, 260)
     chance = random.Random(1)
     chance.shuffle(rows)
@@ -97,3 +98,21 @@ def test_near_pairs_connect_likeliest_first():
     part, i, j = neardup._connect(np.full(600, 50), places, np.arange(600), 80)
     assert len(set(part[:300])) == 1 and len(set(part[300:])) == 300 and len(i) == 299
     assert all(part[a] == part[b] for a, b in zip(i, j, strict=True))
+
+
+def test_many_texts_of_one_template(spark):
+    """Alike at about 0.7 and not linked, but for a few that are: nodes beyond the limit are compared whole at once."""
+    chance = random.Random(17)
+    word = lambda: "".join(chance.choices("abcdefgh", k=4))
+    base, rows = [word() for _ in range(60)], []
+    for i in range(700):
+        text = list(base)
+        for at in chance.sample(range(60), 5):
+            text[at] = word()
+        rows.append((i, " ".join(text)))
+    for i in range(0, 700, 50):
+        text = rows[i][1].split()
+        text[chance.randrange(60)] = word()
+        rows.append((1000 + i, " ".join(text)))
+    out = neardup.components_of(docs_of(spark, rows), k=2, limit=64).collect()
+    assert sorted((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in out) == sorted(brute(rows, 2))
