@@ -11,6 +11,7 @@ is spread over all tasks like any other.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
@@ -31,14 +32,14 @@ def first_from(rows: DataFrame, queries: DataFrame, part: Sequence[str], order:
 
 def reached(starts: DataFrame, jumps: DataFrame) -> DataFrame:
     """The ``node``s that follow from ``starts`` by ``jumps`` (``node``, ``next``), starts included; chains don't meet."""
-    found = kept(starts.select("node"), "reached")
+    found = [kept(starts.select("node"), "reached")]
     jumps = kept(jumps.where("next is not null").select("node", "next"), "jumps")
     while True:
-        seen = Observation()
-        new = kept(found.join(jumps, "node").select(F.col("next").alias("node")).observe(seen, F.count(F.lit(1)).alias("n")), "reached")
+        seen, all_found = Observation(), reduce(DataFrame.union, found)
+        new = kept(all_found.join(jumps, "node").select(F.col("next").alias("node")).observe(seen, F.count(F.lit(1)).alias("n")), "reached")
         if not seen.get["n"]:
-            return found
-        found = kept(found.union(new), "reached")
+            return all_found
+        found.append(new)
         onward = jumps.select(F.col("node").alias("next"), F.col("next").alias("further"))
         jumps = kept(jumps.join(onward, "next").select("node", F.col("further").alias("next")), "jumps")
 
@@ -100,3 +101,45 @@ def versioned(objects: DataFrame, changes: DataFrame, transitions: Sequence[tupl
     starts = first_from(rows, begin, part, ["place"]).select(F.col("found").alias("node")).where("node is not null")
     found = reached(starts, jumps).join(moves, "node").select("key", "place", F.lit(True).alias("accepted"), (F.col("expected") + 1).alias("version"), F.col("after").alias("status"))
     return changes.join(found, ["key", "place"], "left").withColumn("accepted", F.coalesce("accepted", F.lit(False)))
+
+
+def _running(rows: DataFrame, names: Sequence[str], value: str, out: str) -> DataFrame:
+    """Adds the sum of ``value`` through each row of its key, by blocks, so that no key is summed in one task."""
+    sums = rows.groupBy(*names, "block").agg(F.sum(value).alias("_sum"))
+    before = Window.partitionBy(*names).orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.select(*names, "block", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_before"))
+    inside = Window.partitionBy(*names, "block").orderBy("place").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return rows.join(sums, [*names, "block"]).withColumn(out, F.col("_before") + F.sum(value).over(inside)).drop("_before")
+
+
+def packed(items: DataFrame, keys: Sequence[str], place: str, size: str, budget: int) -> DataFrame:
+    """``items`` with ``request``, from 1: a key's items go in order into requests of at most ``budget``.
+
+    An item joins the request of the one before it if it fits, else it begins the next
+    one, and no request is filled up later; one larger than the budget has a request of
+    its own. Sizes are whole numbers; null and negative ones
+    count as 0. ``place`` is unique within a key. Rows with a null key or place get no
+    request; an empty table stays empty.
+    """
+    names = [f"_k{i}" for i in range(len(keys))]
+    rows = items.dropna(subset=[*keys, place]).select(*[F.col(c).alias(n) for c, n in zip(keys, names, strict=True)], F.col(place).alias("place"), F.greatest(F.coalesce(F.col(size), F.lit(0)), F.lit(0)).cast("long").alias("size"))
+    rows = kept(rows.repartitionByRange(*names, "place").withColumn("block", F.spark_partition_id()), "items")
+    width = budget + 1
+    rows = _running(rows, names, "size", "end").withColumn("node", F.struct(*names, "place"))
+    rows = kept(rows.withColumn("span", F.floor(F.col("end") / width)), "items")
+    part, order = [*names, "span"], ["end", "place", "after"]
+    # The next request begins with the first item that ends beyond this one's budget, or follows an item that is too large itself.
+    full = F.col("end") - F.col("size") + width
+    alone = full <= F.col("end")
+    ask = rows.select(*names, F.when(alone, F.col("end")).otherwise(full).alias("end"), F.when(alone, F.col("place")).alias("place"), F.when(alone, 1).otherwise(0).alias("after"), F.col("node").alias("of"))
+    ask = ask.withColumn("span", F.floor(F.col("end") / width))
+    near = first_from(rows.withColumn("after", F.lit(0)), ask, part, order)
+    spans = rows.groupBy(*part).agg(F.min(F.struct("end", "place")).alias("f")).select(*part, F.struct(*names, F.col("f.place").alias("place")).alias("node"))
+    asked = ask.select(*names, (F.col("span") + 1).alias("span")).distinct().withColumn("of", F.struct(*part))
+    later = first_from(spans, asked, names, ["span"]).select(*[F.col(f"of.{n}").alias(n) for n in names], (F.col("of.span") - 1).alias("span"), F.col("found").alias("beyond"))
+    jumps = ask.select(*part, "of").join(near, "of").join(later, part).select(F.col("of").alias("node"), F.coalesce("found", "beyond").alias("next"))
+    starts = rows.groupBy(*names).agg(F.min(F.struct("end", "place")).alias("f")).select(F.struct(*names, F.col("f.place").alias("place")).alias("node"))
+    begun = rows.join(reached(starts, jumps).withColumn("begins", F.lit(1)), "node", "left").withColumn("begins", F.coalesce("begins", F.lit(0)))
+    numbered = _running(begun.select(*names, "place", "block", "begins"), names, "begins", "request").select(*names, F.col("place").alias("_place"), "request")
+    on = [F.col(f"r.{c}") == F.col(f"d.{n}") for c, n in zip(keys, names, strict=True)] + [F.col(f"r.{place}") == F.col("d._place")]
+    return items.alias("r").join(numbered.alias("d"), on, "left").select("r.*", "d.request")

@@ -104,7 +104,29 @@ _TABLE = "VALUES " + ", ".join(str(t) for t in TRANSITIONS)
 COMMANDS = _FOLD.format(changes=R.duck(COMMAND), table=_TABLE, objects=R.duck(WEB_JOB), after="t.after", allowed="JOIN t ON t.before = a.status AND t.action = c.action")
 PATCHES = _FOLD.format(changes=R.duck(PATCH), table=_TABLE, objects=R.duck(WEB_JOB), after="a.status", allowed="")
 
+#: Orders as fields of a few pages, in order, with the size of what is sent for each.
+FIELD = "SELECT o_orderpriority AS page, o_orderkey AS place, CAST(floor(o_totalprice) AS BIGINT) % 5000 AS size FROM {orders}"
+_BUDGET = 12_000
+
+
+def packed_requests(spark: SparkSession, folder: str) -> DataFrame:
+    """Which request each field goes into, in order, under a budget."""
+    return A.packed(R.frame(spark, folder, FIELD), ["page"], "place", "size", _BUDGET)
+
+
+PACKED = f"""
+WITH RECURSIVE f AS (SELECT *, sum(size) OVER (PARTITION BY page ORDER BY place) AS ending FROM {R.duck(FIELD)}),
+a AS (
+  SELECT page, min(place) AS place, CAST(0 AS HUGEINT) AS begun, CAST(1 AS BIGINT) AS request FROM f GROUP BY page
+  UNION ALL
+  SELECT page, place, begun, request FROM (
+    SELECT f.page, f.place, f.ending - f.size AS begun, a.request + 1 AS request, row_number() OVER (PARTITION BY f.page ORDER BY f.place) AS k
+    FROM a JOIN f ON f.page = a.page AND f.place > a.place AND f.ending > a.begun + {_BUDGET}) WHERE k = 1)
+SELECT f.page, f.place, f.size, max(a.request) AS request FROM f JOIN a ON a.page = f.page AND a.place <= f.place GROUP BY ALL
+"""
+
 QUERIES = {
+    "packed_requests": (packed_requests, PACKED),
     "naming_cache": (naming_cache, CACHE),
     "alert_kinds": (alert_kinds, ALERTS),
     "command_versions": (command_versions, COMMANDS),

@@ -4,7 +4,7 @@ import random
 
 import pytest
 
-from folioforge.operators.chains import attempts, versioned
+from folioforge.operators.chains import attempts, packed, versioned
 
 ROWS = "k string, j long, at long, id long, ok boolean, node int, span int"
 
@@ -71,3 +71,31 @@ def test_versions_of_nothing(spark):
     none = spark.createDataFrame([], "key string, place long, expected long, action string")
     assert versioned(spark.createDataFrame([], "key string, version long, status string"), none, MOVES).collect() == []
     assert versioned(spark.createDataFrame([("a", 0, "new")], "key string, version long, status string"), none).collect() == []
+
+
+def fold_packed(items, budget):
+    state, out = {}, {}
+    for k, place, size in sorted((i for i in items if None not in i[:2]), key=lambda i: i[1]):
+        size = max(size or 0, 0)
+        number, held = state.get(k, (0, None))
+        if held is None or held + size > budget:
+            number, held = number + 1, 0
+        state[k] = number, held + size
+        out[k, place] = number
+    return out
+
+
+@pytest.mark.parametrize("seed, budget, most", [(1, 10, 7), (2, 10, 40), (3, 1, 2), (4, 1000, 30), (5, 0, 1)])
+def test_packed(spark, seed, budget, most):
+    chance = random.Random(seed)
+    items = [(chance.choice(["hot", "hot", "b", ""]), place, chance.choice([None, 0, -3, *range(most + 1)])) for place in range(-100, 400)]
+    items += [(None, 1000, 5), ("b", None, 5)]
+    out = packed(spark.createDataFrame(items, "k string, node long, size int"), ["k"], "node", "size", budget)
+    assert out.columns == ["k", "node", "size", "request"]
+    expected = fold_packed(items, budget)
+    got = out.collect()
+    assert len(got) == len(items) and {(r.k, r.node): r.request for r in got if r.request} == expected
+
+
+def test_packed_of_nothing(spark):
+    assert packed(spark.createDataFrame([], "k string, place long, size int"), ["k"], "place", "size", 5).collect() == []
