@@ -95,11 +95,16 @@ def group_pages(pages: Column, size: int) -> Column:
 def page_of_lines(text: Column, start: int = 1) -> Column:
     """The page of every line: that of the next marker at or after it, else the last marker's page and one; ``start`` without markers."""
     lines = F.split(text, "\n", -1)
-    marks = F.transform(lines, lambda x: F.when(x.rlike(_MARK), F.regexp_extract(x, _MARK, 1).cast("int")))
-    last = F.try_element_at(completed(text), F.lit(-1))
-    begin = F.struct(F.coalesce(last + 1, F.lit(start)).alias("page"), F.array().cast("array<int>").alias("out"))
-    back = F.aggregate(F.reverse(marks), begin, lambda at, m: F.struct(F.coalesce(m, at["page"]).alias("page"), F.array_append(at["out"], F.coalesce(m, at["page"])).alias("out")), lambda at: at["out"])
-    return F.reverse(back)
+    last = F.coalesce(F.try_element_at(completed(text), F.lit(-1)) + 1, F.lit(start))
+    found = F.transform(lines, lambda x, at: F.when(x.rlike(_MARK), F.struct(at.alias("at"), F.regexp_extract(x, _MARK, 1).cast("int").alias("page"))))
+
+    def through(marks: Column) -> Column:
+        """Each mark's page once for every line since the mark before, then the page of the lines behind the last one."""
+        until = F.transform(marks, lambda m, k: F.array_repeat(m["page"], m["at"] - F.coalesce(F.get(marks, k - 1)["at"], F.lit(-1))))
+        behind = F.size(lines) - 1 - F.coalesce(F.try_element_at(marks, F.lit(-1))["at"], F.lit(-1))
+        return F.concat(F.flatten(until), F.array_repeat(last, behind))
+
+    return let(F.filter(found, lambda m: m.isNotNull()), through)
 
 
 def acceptance(found: Column, expected: Column) -> Column:

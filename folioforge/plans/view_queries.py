@@ -9,6 +9,7 @@ from folioforge.functions import text as T
 from folioforge.operators import hierarchy as H
 from folioforge.operators import pages as G
 from folioforge.operators import views as W
+from folioforge.operators.order import natural, ranked
 from folioforge.plans import adapters as R
 from folioforge.session import new_folder
 
@@ -16,10 +17,11 @@ _JOBS = R.duck(R.PIPELINE_JOB)
 
 
 def jobs_in_order(spark: SparkSession, folder: str) -> DataFrame:
-    return R.frame(spark, folder, R.PIPELINE_JOB).select("id", "position", "status").orderBy("position", "id")
+    """All jobs with their place in the queue."""
+    return ranked(R.frame(spark, folder, R.PIPELINE_JOB).select("id", "position", "status"), [F.col("position"), F.col("id")])
 
 
-IN_ORDER = f"SELECT id, position, status FROM {_JOBS} ORDER BY position, id"
+IN_ORDER = f"SELECT id, position, status, row_number() OVER (ORDER BY position, id) AS rank FROM {_JOBS}"
 
 
 def frontend_recent(spark: SparkSession, folder: str) -> DataFrame:
@@ -49,10 +51,23 @@ BATCHES = "SELECT c_custkey, CASE WHEN c_custkey % 6 = 0 THEN NULL ELSE concat('
 
 def batches_in_order(spark: SparkSession, folder: str) -> DataFrame:
     """Batches, newest month first; those without one last."""
-    return R.frame(spark, folder, BATCHES).orderBy(F.coalesce("month", F.lit("")).desc(), F.desc("sequence"), F.desc("code"))
+    return ranked(R.frame(spark, folder, BATCHES), [F.coalesce("month", F.lit("")).desc(), F.desc("sequence"), F.desc("code")])
 
 
-BATCH_ORDER = f"SELECT * FROM {R.duck(BATCHES)} ORDER BY coalesce(month, '') DESC, sequence DESC, code DESC"
+BATCH_ORDER = f"SELECT *, row_number() OVER (ORDER BY coalesce(month, '') DESC, sequence DESC, code DESC) AS rank FROM {R.duck(BATCHES)}"
+
+#: Names that differ in case, accents and numbers.
+NAMES = "SELECT p_partkey, concat(CASE p_partkey % 3 WHEN 0 THEN lower(p_type) WHEN 1 THEN replace(p_type, 'E', 'É') ELSE p_type END, ' ', p_size, CASE WHEN p_partkey % 2 = 0 THEN ' x0' ELSE ' X' END, p_partkey) AS name FROM {part}"
+
+
+def natural_order(spark: SparkSession, folder: str) -> DataFrame:
+    """Parts by their names as a reader orders them."""
+    return ranked(R.frame(spark, folder, NAMES), [natural(F.col("name")), F.col("p_partkey")])
+
+
+NATURAL_ORDER = f"""
+SELECT p_partkey, name, row_number() OVER (ORDER BY array_to_string(list_transform(regexp_extract_all(lower(strip_accents(name)), '[0-9]+|[^0-9]+'), lambda x: CASE WHEN regexp_matches(x, '^[0-9]') THEN lpad(ltrim(x, '0'), 20, '0') ELSE x END), ''), p_partkey) AS rank FROM {R.duck(NAMES)}
+"""
 _KEYS = ("date", "batch_date", "valid_until", "dates", "update", "time_of_day", "shift_time", "effective_until", "x_validity", "name")
 
 
@@ -195,6 +210,7 @@ QUERIES = {
     "frontend_pages": (frontend_pages, FRONTEND_PAGES),
     "batch_labels": (batch_labels, BATCH_LABELS),
     "batches_in_order": (batches_in_order, BATCH_ORDER),
+    "natural_order": (natural_order, NATURAL_ORDER),
     "temporal_keys": (temporal_keys, TEMPORAL_KEYS),
     "redact_texts": (redact_texts, REDACT_TEXTS),
     "fenced_texts": (fenced_texts, FENCED),
