@@ -56,7 +56,7 @@ def price_calls(calls: DataFrame, book: DataFrame, threshold: int | None = THRES
     cached and written tokens fit in the input. Above the threshold (strictly) the long
     tier applies; without one both tiers bound the cost.
     """
-    rows = calls.join(F.broadcast(book), "model", "left")
+    rows = calls.join(book, "model", "left")
     known = F.lit(True)
     for t in TOKENS:
         known = known & F.coalesce(F.col(t) >= 0, F.lit(False))

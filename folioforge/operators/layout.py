@@ -18,16 +18,20 @@ def overflow(glyphs: DataFrame, width: float, height: float, tolerance: float, s
     """Pages with glyphs that stand out by more than ``tolerance``: how many, how far at each side, and the first few."""
     rows = glyphs.select("page", "glyph", *[x.alias(s) for s, x in excess(F.col("box"), width, height).items()])
     rows = rows.where(F.greatest(*SIDES) > tolerance)
-    rank = F.row_number().over(Window.partitionBy("page").orderBy("glyph"))
-    rows = rows.withColumn("_rank", rank)
-    some = F.array_sort(F.collect_list(F.when(F.col("_rank") <= samples, F.col("glyph"))))
-    return rows.groupBy("page").agg(F.count("*").alias("clipped"), *[F.max(s).alias(s) for s in SIDES], F.array_join(some, ",").alias("samples"))
+    first = rows.select("page", "glyph").withColumn("_rank", F.row_number().over(Window.partitionBy("page").orderBy("glyph"))).where(F.col("_rank") <= samples)
+    first = first.groupBy("page").agg(F.array_join(F.array_sort(F.collect_list("glyph")), ",").alias("samples"))
+    return rows.groupBy("page").agg(F.count("*").alias("clipped"), *[F.max(s).alias(s) for s in SIDES]).join(first, "page")
+
+
+#: Pages of a bin by which ranges and pages meet.
+BIN = 64
 
 
 def clipped_sources(page_map: DataFrame, clipped: DataFrame) -> DataFrame:
-    """Source pages whose output pages (``start`` to ``end``) hold a clipped one; ranges are few pages long, so they are written out."""
-    pages = page_map.select("source_page", F.explode(F.sequence("start", "end")).alias("page"))
-    return pages.join(clipped.select("page").distinct(), "page", "left_semi").select("source_page").distinct()
+    """Source pages whose output pages (``start`` to ``end``) hold a clipped one; a range meets pages by the bins it touches."""
+    ranges = page_map.where("start <= end").withColumn("_bin", F.explode(F.sequence(F.floor(F.col("start") / BIN), F.floor(F.col("end") / BIN))))
+    pages = clipped.select("page").distinct().withColumn("_bin", F.floor(F.col("page") / BIN))
+    return ranges.join(pages, "_bin").where(F.col("page").between(F.col("start"), F.col("end"))).select("source_page").distinct()
 
 
 def source_pages(page_map: DataFrame, outputs: DataFrame) -> DataFrame:

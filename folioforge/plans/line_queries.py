@@ -112,10 +112,10 @@ SELECT e.doc_id, error_line, md5(string_agg(line_no || ': ' || line, chr(10) ORD
 """
 #: Vectors as glyphs: a page, and a box in points.
 GLYPHS = """
-SELECT vec_id AS glyph, vec_id % 50 AS page, CAST(embedding[0] AS DOUBLE) * 900 + 280 AS x0, CAST(embedding[1] AS DOUBLE) * 900 + 400 AS y0,
+SELECT vec_id AS glyph, CAST(floor(vec_id / 20) AS BIGINT) AS page, CAST(embedding[0] AS DOUBLE) * 900 + 280 AS x0, CAST(embedding[1] AS DOUBLE) * 900 + 400 AS y0,
        CAST(embedding[0] AS DOUBLE) * 900 + 292 AS x1, CAST(embedding[1] AS DOUBLE) * 900 + 409 AS y1 FROM {embeddings}
 """
-_GLYPHS = "(SELECT vec_id AS glyph, vec_id % 50 AS page, embedding[1]::DOUBLE * 900 + 280 AS x0, embedding[2]::DOUBLE * 900 + 400 AS y0, embedding[1]::DOUBLE * 900 + 292 AS x1, embedding[2]::DOUBLE * 900 + 409 AS y1 FROM embeddings)"
+_GLYPHS = "(SELECT vec_id AS glyph, vec_id // 20 AS page, embedding[1]::DOUBLE * 900 + 280 AS x0, embedding[2]::DOUBLE * 900 + 400 AS y0, embedding[1]::DOUBLE * 900 + 292 AS x1, embedding[2]::DOUBLE * 900 + 409 AS y1 FROM embeddings)"
 
 
 def _overflow(spark: SparkSession, folder: str) -> DataFrame:

@@ -89,12 +89,12 @@ CATEGORY_WIDE = f"SELECT DISTINCT batch, step, form, name, status, quantity, CAS
 
 def merge_runs(spark: SparkSession, folder: str) -> DataFrame:
     rows = table(spark, folder, "orders").join(table(spark, folder, "customer"), F.col("o_custkey") == F.col("c_custkey"))
-    rows = rows.select(F.col("c_nationkey").alias("sheet"), "c_mktsegment", "c_custkey", "o_orderkey", "o_orderdate")
+    rows = rows.select(F.floor(F.col("o_orderkey") / 500).alias("sheet"), "c_mktsegment", "c_custkey", "o_orderkey", "o_orderdate")
     return H.merge_runs(rows, "sheet", ["o_orderdate", "o_orderkey"], ["c_mktsegment"])
 
 
 MERGE_RUNS = """
-WITH r AS (SELECT c_nationkey AS sheet, c_mktsegment, row_number() OVER w AS row, lag(c_mktsegment) OVER w AS before FROM orders JOIN customer ON o_custkey = c_custkey WINDOW w AS (PARTITION BY c_nationkey ORDER BY o_orderdate, o_orderkey)),
+WITH r AS (SELECT o_orderkey // 500 AS sheet, c_mktsegment, row_number() OVER w AS row, lag(c_mktsegment) OVER w AS before FROM orders JOIN customer ON o_custkey = c_custkey WINDOW w AS (PARTITION BY o_orderkey // 500 ORDER BY o_orderdate, o_orderkey)),
 g AS (SELECT *, sum(CASE WHEN row > 1 AND before = c_mktsegment THEN 0 ELSE 1 END) OVER (PARTITION BY sheet ORDER BY row) AS run FROM r)
 SELECT sheet, run::BIGINT AS run, c_mktsegment, min(row)::INT AS first_row, max(row)::INT AS last_row FROM g GROUP BY sheet, run, c_mktsegment
 """
@@ -105,18 +105,18 @@ def _boxes(spark: SparkSession, folder: str) -> DataFrame:
         return (F.col("embedding")[k].cast("double") + 0.6) * 500
 
     x0, y0 = corner(0), corner(1)
-    return table(spark, folder, "embeddings").select("vec_id", (F.col("vec_id") % 50).alias("page"), F.array(x0, y0, x0 + F.abs(corner(2)) / 4, y0 + F.abs(corner(3)) / 4).alias("box"), (F.col("embedding")[4].cast("double") + 0.6).alias("score"))
+    return table(spark, folder, "embeddings").select("vec_id", F.floor(F.col("vec_id") / 60).alias("page"), F.array(x0, y0, x0 + F.abs(corner(2)) / 4, y0 + F.abs(corner(3)) / 4).alias("box"), (F.col("embedding")[4].cast("double") + 0.6).alias("score"))
 
 
-_BOX_SQL = "(SELECT vec_id, vec_id % 50 AS page, x0, y0, x0 + abs(a) / 4 AS x1, y0 + abs(b) / 4 AS y1, score FROM (SELECT vec_id, {0} AS x0, {1} AS y0, {2} AS a, {3} AS b, embedding[5]::DOUBLE + 0.6 AS score FROM embeddings))".format(*[f"(embedding[{k}]::DOUBLE + 0.6) * 500" for k in range(1, 5)])
+_BOX_SQL = "(SELECT vec_id, vec_id // 60 AS page, x0, y0, x0 + abs(a) / 4 AS x1, y0 + abs(b) / 4 AS y1, score FROM (SELECT vec_id, {0} AS x0, {1} AS y0, {2} AS a, {3} AS b, embedding[5]::DOUBLE + 0.6 AS score FROM embeddings))".format(*[f"(embedding[{k}]::DOUBLE + 0.6) * 500" for k in range(1, 5)])
 
 
 def review_select(spark: SparkSession, folder: str) -> DataFrame:
-    """Fields that a low-scored block of their page overlaps: blocks are nested by page, one row each."""
+    """Fields that a low-scored block of their page overlaps."""
     boxes = _boxes(spark, folder)
-    blocks = boxes.where("vec_id % 2 = 0").groupBy("page").agg(F.collect_list(F.struct(F.col("box").alias("bbox"), "score")).alias("blocks"))
+    blocks = boxes.where("vec_id % 2 = 0").where("score < 0.55")
     fields = boxes.where("vec_id % 2 = 1").withColumn("page", F.col("page") - 1)
-    return fields.join(blocks, "page").where(V.low_score_near(F.col("blocks"), F.col("box"), 0.55)).select("vec_id", "page")
+    return V.overlapping(fields, blocks, "page", 64.0).select("vec_id", "page")
 
 
 REVIEW = f"""

@@ -1,6 +1,7 @@
 """Groups of date parts against a fold in Python."""
 
 import datetime
+import random
 from itertools import groupby
 
 from folioforge.operators import review
@@ -37,3 +38,21 @@ def test_date_groups_equal_a_fold(spark):
     assert sorted(map(str, expected)) == sorted(str((*key(r), r.group)) for r in found)
     out = record_queries.date_islands(spark, FOLDER).collect()
     assert sorted((r.l_orderkey, r.group) for r in out) == sorted(bad) and len(bad) > 20
+
+
+def test_boxes_that_overlap(spark):
+    chance = random.Random(4)
+    inf, nan = float("inf"), float("nan")
+
+    def box():
+        x, y = chance.uniform(-50, 300), chance.uniform(-50, 300)
+        return [x, y, x + chance.choice([0, 5, 40, 120, -3]), y + chance.choice([1, 30, 90])]
+
+    odd = [None, [], [1.0, 2.0, 3.0], [0.0, 0.0, inf, 5.0], [0.0, nan, 5.0, 5.0], [0.0, 0.0, 64.0, 64.0], [64.0, 0.0, 70.0, 9.0]]
+    fields = [(k, chance.choice([1, 2, None]), b) for k, b in enumerate([*odd, *[box() for _ in range(120)]])]
+    blocks = [(chance.choice([1, 2, 2, None]), b) for b in [*odd, *[box() for _ in range(60)]]]
+    right = lambda b: b is not None and len(b) == 4 and all(abs(v) < inf for v in b) and b[0] < b[2] and b[1] < b[3]
+    meet = lambda a, b: right(a) and right(b) and min(a[2], b[2]) > max(a[0], b[0]) and min(a[3], b[3]) > max(a[1], b[1])
+    expected = sorted(k for k, p, a in fields if p is not None and any(p == q and meet(a, b) for q, b in blocks))
+    out = review.overlapping(spark.createDataFrame(fields, "id int, page int, box array<double>"), spark.createDataFrame(blocks, "page int, box array<double>"), "page", 50.0)
+    assert sorted(r.id for r in out.collect()) == expected and expected

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from folioforge.session import new_folder, ship
-from folioforge.streaming import matches, restarts, run
+from folioforge.streaming import calls, matches, restarts, run
 
 DAY = datetime(2024, 5, 1, tzinfo=UTC)
 
@@ -75,3 +75,15 @@ def test_matches_and_late_rows(spark):
     base = int(DAY.timestamp())
     out = [(r.call_id, r.s, r.e, r.ended) for r in run.appended(spark, place).select("call_id", (F.unix_seconds("started_at") - base).alias("s"), (F.unix_seconds("finished_at") - base).alias("e"), "ended").collect()]
     assert sorted(out, key=str) == sorted([(1, 0, 30, True), (1, 0, 40, True), (2, 5, None, False), (3, 10, None, False), (None, 3, None, False), (4, 100, 130, True), (6, 500, 510, True), (8, 900, None, False), (10, 5000, 5000, True)], key=str)
+
+
+def test_ids_are_forgotten_within_their_bound(spark):
+    """Repeats within the watermark count once; rows later than it are dropped, and old ids leave the state."""
+    schema = "event_id long, ts timestamp, user_id long, event_type string, value double"
+    row = lambda i, s, kind="view": (i, DAY + timedelta(seconds=s), 7, kind, 1.5)
+    folder, place = new_folder(spark, "calls"), new_folder(spark, "snapshots")
+    for batch in ([row(1, 0), row(1, 3), row(2, 5, "error")], [row(2, 9), row(3, 600)], [row(4, 2), row(5, 601), row(5, 601)]):
+        spark.createDataFrame(batch, schema).coalesce(1).write.mode("append").parquet(folder)
+        calls.write_snapshots(calls.call_totals(spark.readStream.schema(schema).parquet(folder), "1 minute"), place)
+    state = calls.read_snapshot(spark, place, ["user_id"]).collect()
+    assert [(r.user_id, r.calls, r.errors, r.tokens, r.last_id) for r in state] == [(7, 4, 1, 600, 5)]
