@@ -237,7 +237,8 @@ def test_odd_vectors(spark):
 @pytest.mark.parametrize(("name", "sql"), registry.oracle_sql().items())
 def test_sql_of_the_queries(spark, sf_dir, name, sql):
     connection = duckdb.connect()
-    connection.execute(f"CREATE VIEW documents AS SELECT * FROM '{sf_dir}/documents.parquet'")
+    for table in ("documents", "labels"):
+        connection.execute(f"CREATE VIEW {table} AS SELECT * FROM '{sf_dir}/{table}.parquet'")
     frame = registry.queries()[name](spark, sf_dir)
     result = connection.execute(f"SELECT {', '.join(frame.columns)} FROM ({sql})").fetchall()
     assert sorted(map(str, map(tuple, frame.collect()))) == sorted(map(str, result))
