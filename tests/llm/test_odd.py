@@ -176,3 +176,24 @@ def test_stages_on_odd_documents(spark, tmp_path):
     out = corpus_pipeline.token_ids(spark, docs, folder).collect()
     assert len(out) == docs.count() and all(r.n_tokens == 1 for r in out if r.doc_id in (1, 2, 4))
     assert pa.compute.sum(pa.array([r.n_tokens for r in out])).as_py() > sum(len(re.findall(r"\S+", r.text or "")) for r in docs.collect())
+
+
+def test_stages_with_clashing_columns_and_a_text_of_megabytes(spark, tmp_path):
+    """Columns named as those that operators add pass through; the long text, twice there, is one document after the second stage."""
+    folder = str(tmp_path)
+    labels_of(spark, []).write.parquet(f"{folder}/labels.parquet")
+    spark.createDataFrame([(1, prose(77, 40))], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+    long = " ".join(f"{prose(k % 50, 12)} {k}" for k in range(60_000))
+    assert len(long) > 4 << 20
+    schema = "doc_id long, text string, lang string, source string, n_chars long, rep int, label string, t1 int, n int, a int, b int, id string, fold int, path string, k int, start int, keeper long, size int, docs string"
+    row = lambda i, t: (i, t, "en", "s", len(t or ""), 1, "x", 2, 3, 4, 5, "y", 6, "z", 7, 8, 9, 10, "w")
+    docs = spark.createDataFrame([row(1, long), row(2, long), row(3, None), row(4, "short text")], schema)
+    for (name, stage), expected in zip(corpus_pipeline.STAGES[:-1], ([1, 2, 3, 4], [1, 3, 4], [1, 3, 4], None), strict=True):
+        out = stage(spark, docs, folder)
+        assert out.columns == docs.columns, name
+        rows = out.collect()
+        assert expected is None or sorted(r.doc_id for r in rows) == expected, name
+        assert all(r[5:] == row(0, "")[5:] for r in rows), name
+        docs = spark.createDataFrame(rows, docs.schema)
+    tokens = {r.doc_id: r.n_tokens for r in corpus_pipeline.token_ids(spark, docs, folder).collect()}
+    assert tokens[1] > 700_000 and tokens[3] == 1
