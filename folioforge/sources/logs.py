@@ -23,11 +23,13 @@ new content to the next one.
 from __future__ import annotations
 
 import hashlib
+import sys
 from collections.abc import Iterator
 from fnmatch import fnmatch
 
 import pyarrow as pa
 from pyarrow import fs
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPartition
@@ -36,6 +38,9 @@ ANCHOR = 64
 TAIL = 256
 SCHEMA = "file string, at long, line string, restarted boolean"
 _ARROW = pa.schema([("file", pa.string()), ("at", pa.int64()), ("line", pa.string()), ("restarted", pa.bool_())])
+# Spark runs some of this in processes beside the driver that get none of the files sent to executors: it goes there by value.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 #: Bytes of lines in a batch of rows.
 ROWS_BYTES = 1 << 20
 

@@ -13,6 +13,7 @@ Columns keep their types; an empty batch has a manifest without files.
 from __future__ import annotations
 
 import json
+import sys
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -20,6 +21,7 @@ from dataclasses import dataclass
 import pyarrow as pa
 import pyarrow.parquet as pq
 from pyarrow import fs
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceStreamArrowWriter, WriterCommitMessage
 from pyspark.sql.types import StructType
@@ -27,6 +29,10 @@ from pyspark.sql.types import StructType
 from folioforge.session import exists
 
 
+# Spark runs some of this in processes beside the driver that get none of the files sent to executors: it goes there by value.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
 def place(path: str) -> tuple[fs.FileSystem, str]:
     """The file system of a path or URI, and the path in it."""
     return fs.FileSystem.from_uri("file://" + path[5:] if path.startswith("file:/") and not path.startswith("file://") else path)

@@ -18,12 +18,17 @@ go by ``seq``.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator, Sequence
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+# Spark runs some of this in processes beside the driver that get none of the files sent to executors: it goes there by value.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 #: What a probe tells of a target; ``run`` names the container's run, ``status`` is one of running, ended, broken, failing, monitor_error.
 OBSERVATION = "target long, at timestamp, seq long, run string, status string"
 #: The state store that timers and lists need.
