@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from folioforge.operators import calls as C
 from folioforge.operators import chains as A
-from folioforge.operators.jobs import TRANSITIONS
+from folioforge.operators.jobs import TRANSITIONS, after_command
 from folioforge.plans import adapters as R
 
 #: One row a request for a name; few computations succeed, so that failures follow one another.
@@ -125,7 +125,20 @@ a AS (
 SELECT f.page, f.place, f.size, max(a.request) AS request FROM f JOIN a ON a.page = f.page AND a.place <= f.place GROUP BY ALL
 """
 
+
+
+def command_transitions(spark: SparkSession, folder: str) -> DataFrame:
+    """What each command would make of its job as it stands, whatever versions say."""
+    pairs = R.frame(spark, folder, COMMAND).join(R.frame(spark, folder, WEB_JOB).select("key", "status"), "key")
+    return pairs.withColumn("after", after_command(F.col("status"), F.col("action"))).groupBy("status", "action", "after").agg(F.count("*").alias("n"))
+
+
+TRANSITION_COUNTS = f"""
+SELECT j.status, c.action, t.after, count(*)::BIGINT AS n FROM {R.duck(COMMAND)} c JOIN {R.duck(WEB_JOB)} j ON j.key = c.key LEFT JOIN ({_TABLE}) AS t(before, action, after) ON t.before = j.status AND t.action = c.action GROUP BY ALL
+"""
+
 QUERIES = {
+    "command_transitions": (command_transitions, TRANSITION_COUNTS),
     "packed_requests": (packed_requests, PACKED),
     "naming_cache": (naming_cache, CACHE),
     "alert_kinds": (alert_kinds, ALERTS),
