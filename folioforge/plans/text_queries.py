@@ -56,10 +56,12 @@ def plain_words(spark: SparkSession, folder: str) -> DataFrame:
 
 
 _WIDE = r"[\s\x{0B}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+"
-PLAIN = rf"""
+_PLAIN = rf"""
 SELECT doc_id, length(p)::INT AS chars, md5(p) AS plain_md5 FROM (
-  SELECT doc_id, trim(regexp_replace(translate(regexp_replace('Lead in x 1 ' || text, '{T.MACRO}', ' ', 'g'), '{T.MARKS}', repeat(' ', {len(T.MARKS)})), '{_WIDE}', ' ', 'g'), ' ') AS p FROM documents)
+  SELECT doc_id, trim(regexp_replace(translate(regexp_replace(@TEXT@, '{T.MACRO}', ' ', 'g'), '{T.MARKS}', repeat(' ', {len(T.MARKS)})), '{_WIDE}', ' ', 'g'), ' ') AS p FROM documents)
 """
+PLAIN = _PLAIN.replace("@TEXT@", "'Lead in x 1 ' || text")
+PLAIN_TEXTS = _PLAIN.replace("@TEXT@", "text")
 
 
 def plain_texts(spark: SparkSession, folder: str) -> DataFrame:
@@ -68,18 +70,28 @@ def plain_texts(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "documents").select("doc_id", F.length(plain).alias("chars"), F.md5(plain).alias("plain_md5"))
 
 
+#: What each rule finds, written around whole documents, and what it makes of it.
+_BEFORE = r"x\nB A37\\2605 \handwritten{10^3} y\中\\文 "
+_AFTER = "\n  \\%  #VALUE_ID: v\n  \\newline  \nend"
+
+
 def rules_texts(spark: SparkSession, folder: str) -> DataFrame:
-    """The built rules over every whole document: its digest after them, and the finds of each rule."""
-    result, finds = T.normalize(F.col("text"))
+    """The built rules over every whole document with markup around it: its digest after them, and the finds of each rule."""
+    result, finds = T.normalize(F.concat(F.lit(_BEFORE), "text", F.lit(_AFTER)))
     return table(spark, folder, "documents").select("doc_id", F.md5(result).alias("result_md5"), *[finds[name].alias(name) for name, _, _ in T.REGEX_RULES])
 
 
+RULES_TEXTS = r"""
+SELECT doc_id, md5('x' || chr(10) || 'B A37\textbackslash{}2605 \handwritten{10\textsuperscript{3}} y\textbackslash{}中\textbackslash{}文 ' || text || chr(10) || '  % #VALUE_ID: v' || chr(10) || '\par' || chr(10) || 'end') AS result_md5,
+       1 AS literal_newlines, 1 AS numeric_backslashes, 1 AS raw_superscripts, 1 AS metadata_comments, 2 AS cjk_backslashes, 1 AS standalone_newlines FROM documents
+"""
+
 QUERIES = {
     "redact": (redacted, REDACTED),
     "library_search": (library_search, LIBRARY),
     "slug_names": (slug_names, SLUGS),
     "log_tail": (log_tail, LOG_TAIL),
     "plain_words": (plain_words, PLAIN),
-    "plain_texts": (plain_texts, None),
-    "rules_texts": (rules_texts, None),
+    "plain_texts": (plain_texts, PLAIN_TEXTS),
+    "rules_texts": (rules_texts, RULES_TEXTS),
 }
