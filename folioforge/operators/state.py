@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from folioforge.session import kept
+
 ERROR_CHARS = 8000
 
 
@@ -24,15 +26,18 @@ def after_events(jobs: DataFrame, events: DataFrame) -> DataFrame:
     places = events.groupBy("id").agg(last("complete"), last("fail"), last("invalidate"))
     none = F.lit(-(2**63))
     done, failed, undone = (F.coalesce(c, none) for c in ("complete", "fail", "invalidate"))
-    rows = jobs.join(places, "id", "left").join(_errors(events), ["id", "fail"], "left")
+    places = kept(places, "places")
+    rows = jobs.join(places, "id", "left").join(_errors(events, places), "id", "left")
     state = F.when(done > failed, "completed").when(failed > done, "retry").otherwise(F.col("status"))
     undo = (state == "completed") & F.col("invalidate").isNotNull() & (undone > F.greatest(done, failed))
     return rows.select(*[jobs[c] for c in jobs.columns], F.when(undo, "retry").otherwise(state).alias("after"), "error")
 
 
-def _errors(events: DataFrame) -> DataFrame:
-    """The end of each failure's error, by ``id`` and ``fail``, its place."""
-    return events.where("event = 'fail'").select("id", F.col("place").alias("fail"), F.right("error", F.lit(ERROR_CHARS)).alias("error"))
+def _errors(events: DataFrame, places: DataFrame) -> DataFrame:
+    """``id`` and the end of the error of each job's last failure; the few places that won meet the events before errors are read."""
+    last = places.where(F.col("fail").isNotNull()).select(F.col("id").alias("_id"), F.col("fail").alias("_place"))
+    found = events.where("event = 'fail'").join(last, (F.col("id") == F.col("_id")) & (F.col("place") == F.col("_place")))
+    return found.select("id", F.right("error", F.lit(ERROR_CHARS)).alias("error"))
 
 
 def recovered(jobs: DataFrame) -> DataFrame:
