@@ -56,3 +56,14 @@ def test_boxes_that_overlap(spark):
     expected = sorted(k for k, p, a in fields if p is not None and any(p == q and meet(a, b) for q, b in blocks))
     out = review.overlapping(spark.createDataFrame(fields, "id int, page int, box array<double>"), spark.createDataFrame(blocks, "page int, box array<double>"), "page", 50.0)
     assert sorted(r.id for r in out.collect()) == expected and expected
+
+
+def test_review_select_meets_all_boxes_of_fifty_pages(spark):
+    rows = [(r.vec_id, r.box, r.score) for r in record_queries._boxes(spark, FOLDER).collect()]
+    blocks = {}
+    for k, box, score in rows:
+        if k % 2 == 0 and score < 0.55:
+            blocks.setdefault(k % 50, []).append(box)
+    meet = lambda a, b: min(a[2], b[2]) > max(a[0], b[0]) and min(a[3], b[3]) > max(a[1], b[1])
+    expected = sorted((k, k % 50 - 1) for k, box, _ in rows if k % 2 and any(meet(box, b) for b in blocks.get(k % 50 - 1, ())))
+    assert sorted((r.vec_id, r.page) for r in record_queries.review_select(spark, FOLDER).collect()) == expected and expected
