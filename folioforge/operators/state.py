@@ -5,6 +5,8 @@ Every function is a query over tables of jobs, events or requests; none changes
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -13,31 +15,32 @@ from folioforge.session import kept
 ERROR_CHARS = 8000
 
 
-def after_events(jobs: DataFrame, events: DataFrame) -> DataFrame:
+def after_events(jobs: DataFrame, events: DataFrame, error: Callable[[Column], Column] | None = None) -> DataFrame:
     """``jobs`` (``id``, ``status``) after appended ``events`` (``id``, ``place``, ``event``, ``error``).
 
     ``complete`` and ``fail`` set a job to completed or retry, whatever it was;
     ``invalidate`` turns a completed job to retry. So the last complete or fail counts, and
     any invalidate after it. Adds ``after`` and the end of the last failure's ``error``.
     Places are unique within a job; only these are aggregated, the error of the place that
-    won is fetched by them.
+    won is fetched by them. ``error`` is what to make of such an end, like a digest, before
+    it is moved; errors are cut before that too.
     """
     last = lambda event: F.max(F.when(F.col("event") == event, F.col("place"))).alias(event)
     places = events.groupBy("id").agg(last("complete"), last("fail"), last("invalidate"))
     none = F.lit(-(2**63))
     done, failed, undone = (F.coalesce(c, none) for c in ("complete", "fail", "invalidate"))
     places = kept(places, "places")
-    rows = jobs.join(places, "id", "left").join(_errors(events, places), "id", "left")
+    rows = jobs.join(places, "id", "left").join(_errors(events, places, error or (lambda end: end)), "id", "left")
     state = F.when(done > failed, "completed").when(failed > done, "retry").otherwise(F.col("status"))
     undo = (state == "completed") & F.col("invalidate").isNotNull() & (undone > F.greatest(done, failed))
     return rows.select(*[jobs[c] for c in jobs.columns], F.when(undo, "retry").otherwise(state).alias("after"), "error")
 
 
-def _errors(events: DataFrame, places: DataFrame) -> DataFrame:
-    """``id`` and the end of the error of each job's last failure; the few places that won meet the events before errors are read."""
+def _errors(events: DataFrame, places: DataFrame, error: Callable[[Column], Column]) -> DataFrame:
+    """``id`` and what ``error`` makes of the end of the error of each job's last failure; no more of an error is shuffled."""
     last = places.where(F.col("fail").isNotNull()).select(F.col("id").alias("_id"), F.col("fail").alias("_place"))
-    found = events.where("event = 'fail'").join(last, (F.col("id") == F.col("_id")) & (F.col("place") == F.col("_place")))
-    return found.select("id", F.right("error", F.lit(ERROR_CHARS)).alias("error"))
+    ends = events.where("event = 'fail'").select("id", "place", error(F.right("error", F.lit(ERROR_CHARS))).alias("error"))
+    return ends.join(last, (F.col("id") == F.col("_id")) & (F.col("place") == F.col("_place"))).select("id", "error")
 
 
 def recovered(jobs: DataFrame) -> DataFrame:

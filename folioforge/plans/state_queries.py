@@ -18,7 +18,7 @@ FROM {lineitem}
 
 def job_states(spark: SparkSession, folder: str) -> DataFrame:
     jobs = R.frame(spark, folder, R.PIPELINE_JOB).select("id", "status")
-    return S.after_events(jobs, R.frame(spark, folder, JOB_EVENT)).select("id", "status", "after", F.md5("error").alias("error_md5"))
+    return S.after_events(jobs, R.frame(spark, folder, JOB_EVENT), F.md5).select("id", "status", "after", F.col("error").alias("error_md5"))
 
 
 JOB_STATES = f"""
