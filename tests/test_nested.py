@@ -181,3 +181,13 @@ def test_progress_over_batches(spark):
             s[2][kind].add(page)
     got = {r.doc: (r.attempts, r["last"], r.checked, r.upgraded) for r in progress.progress(spark, place, kinds).collect()}
     assert got == {d: (n, last, len(p["checked"]), len(p["upgraded"])) for d, (n, last, p) in state.items()}
+
+
+@pytest.mark.parametrize("shape", [nested.FLAT, nested.DEEP])
+def test_shapes_that_end_are_one_pass(spark, monkeypatch, shape):
+    monkeypatch.setattr(nested, "kept", lambda *_: pytest.fail("a level was written"))
+    chance = random.Random(7)
+    records = [(k, json.dumps(made(chance, shape))) for k in range(20)]
+    frame = spark.createDataFrame(records, "id long, text string").select("id", F.try_parse_json("text").alias("value"))
+    expected = [(k, *f) for k, text in records for f in (brute(json.loads(text), shape) if text != "null" else brute_null(shape))]
+    assert sorted(tuple(r) for r in nested.validate(frame, shape).collect()) == sorted(expected)
