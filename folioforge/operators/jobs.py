@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+import pandas as pd
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from folioforge.session import kept
+
 
 def claimable(jobs: DataFrame, now: Column, max_attempts: int) -> DataFrame:
     """Jobs that may start: retries that are due, of attempts left, whose source runs no other job."""
@@ -42,19 +46,44 @@ def retry_delay(attempt: Column, delays: Sequence[int]) -> Column:
 def assign(pages: DataFrame, workers: int, by: str) -> DataFrame:
     """Greedy assignment of each group's sources to workers: pinned ones to the first, then the largest to the least loaded.
 
-    ``pages`` has the group column ``by``, ``source``, ``pages`` and ``pinned``. A group is
-    one plan and its list is held in one row, as the plan's file is; groups spread over tasks.
+    ``pages`` has the group column ``by``, ``source``, ``pages`` (whole numbers from 0, null
+    counts as 0) and ``pinned``. Only a group's sizes and how many sources have each are
+    folded; of sources of one size each takes the place of its rank among those that the
+    fold gave out, so no list of sources is folded or held but a worker's own.
     """
-    item = F.struct((~F.col("pinned")).alias("rank"), (-F.col("pages")).alias("less"), F.col("source").alias("source"), F.col("pages").alias("pages"))
-    start = F.transform(F.sequence(F.lit(1), F.lit(workers)), lambda w: F.struct(F.lit(0).cast("long").alias("pages"), F.lit(0).alias("files"), w.alias("id"), F.array().cast("array<string>").alias("sources")))
-
-    def add(load: Column, one: Column) -> Column:
-        least = F.array_min(F.transform(load, lambda w: F.struct(w["pages"].alias("pages"), w["files"].alias("files"), w["id"].alias("id"))))["id"]
-        chosen = F.when(one["rank"], least).otherwise(1)
-        return F.transform(load, lambda w: F.when(w["id"] == chosen, F.struct((w["pages"] + one["pages"]).alias("pages"), (w["files"] + 1).alias("files"), w["id"].alias("id"), F.array_append(w["sources"], one["source"]).alias("sources"))).otherwise(w))
-
-    plan = pages.groupBy(by).agg(F.sort_array(F.collect_list(item)).alias("items")).select(by, F.explode(F.aggregate("items", start, add)).alias("w"))
-    return plan.select(by, F.col("w.id").alias("worker"), "w.pages", "w.files", F.sort_array("w.sources").alias("sources"))
+    items = pages.select(F.col(by).alias("_by"), "source", F.coalesce("pages", F.lit(0)).cast("long").alias("size"), F.coalesce("pinned", F.lit(True)).alias("pinned"))
+    runs = items.groupBy("_by", "pinned", "size").agg(F.count("*").alias("n"))
+    kind = items.schema["_by"].dataType.simpleString()
+    shares = runs.groupBy("_by").applyInPandas(lambda runs: _shares(workers, runs), f"_by {kind}, pinned boolean, size long, worker int, load long, files long, n long")
+    shares = kept(shares, "shares")
+    run = Window.partitionBy("_by", "pinned", "size")
+    turn = shares.where("n > 0").select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)).alias("j"))
+    turn = turn.withColumn("k", F.row_number().over(run.orderBy(F.col("load") + F.col("j") * F.col("size"), F.col("files") + F.col("j"), "worker"))).select("_by", "pinned", "size", "k", "worker")
+    mine = items.withColumn("k", F.row_number().over(run.orderBy("source")))
+    same = mine["_by"].eqNullSafe(turn["_by"]) & (mine["pinned"] == turn["pinned"]) & (mine["size"] == turn["size"]) & (mine["k"] == turn["k"])
+    lists = mine.join(turn, same).groupBy(mine["_by"], "worker").agg(F.sort_array(F.collect_list(F.struct("source")))["source"].alias("sources"))
+    loads = shares.groupBy("_by", "worker").agg(F.sum(F.col("n") * F.col("size")).alias("pages"), F.sum("n").cast("int").alias("files"))
+    none = F.array().cast("array<string>")
+    whole = loads.join(lists, loads["_by"].eqNullSafe(lists["_by"]) & (loads["worker"] == lists["worker"]), "left")
+    return whole.select(loads["_by"].alias(by), loads["worker"], "pages", "files", F.coalesce("sources", none).alias("sources"))
+
+
+def _shares(workers: int, runs: pd.DataFrame) -> pd.DataFrame:
+    """How many sources of each size of one group each worker gets, and its load before: the least loaded gets the next one."""
+    heap, out = [(0, 0, w) for w in range(1, workers + 1)], []
+    for pinned, size, n in runs.sort_values(["pinned", "size"], ascending=False)[["pinned", "size", "n"]].itertuples(index=False):
+        before, got = list(heap), dict.fromkeys(range(1, workers + 1), 0)
+        if pinned:
+            heap = [(load + n * size, files + n, w) if w == 1 else (load, files, w) for load, files, w in heap]
+            heapq.heapify(heap)
+            got[1] = n
+        else:
+            for _ in range(n):
+                load, files, w = heap[0]
+                heapq.heapreplace(heap, (load + size, files + 1, w))
+                got[w] += 1
+        out += [(runs["_by"].iloc[0], pinned, size, w, load, files, got[w]) for load, files, w in before]
+    return pd.DataFrame(out, columns=["_by", "pinned", "size", "worker", "load", "files", "n"])
 
 
 #: Notes of a batch code, the ending of a skipped one and the century of two-digit years: fixed values of the record format.
