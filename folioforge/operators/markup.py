@@ -35,13 +35,16 @@ def rows_of(docs: DataFrame, kind: str, key: str, text_col: str = "text") -> Dat
         arrow = None
         for batch in batches:
             arrow = arrow or pa.schema([batch.schema.field(0), *(pa.field(n, {"string": pa.string(), "int": pa.int32(), "boolean": pa.bool_()}[f.split()[1]]) for n, f in zip(names, fields.split(", "), strict=True))])
-            out = [[] for _ in arrow]
-            for k, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                for row in found(text) if text is not None else ():
-                    values = row.values() if isinstance(row, dict) else row
-                    for column, v in zip(out, (k, *values), strict=True):
-                        column.append(v)
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(out, arrow, strict=True)], schema=arrow)
+            keys, rows = [], []
+            for place, text in enumerate(batch.column(1).to_pylist()):
+                told = found(text) if text is not None else ()
+                keys += [place] * len(told)
+                rows += told
+            if rows and isinstance(rows[0], dict):
+                rows = [tuple(r.values()) for r in rows]
+            out = zip(*rows, strict=True) if rows else [()] * len(names)
+            told = [pa.array(c, f.type) for c, f in zip(out, list(arrow)[1:], strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(keys, pa.int64())), *told], schema=arrow)
 
     return docs.select(key, text_col).mapInArrow(run, schema)
 
