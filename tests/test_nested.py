@@ -191,3 +191,9 @@ def test_shapes_that_end_are_one_pass(spark, monkeypatch, shape):
     frame = spark.createDataFrame(records, "id long, text string").select("id", F.try_parse_json("text").alias("value"))
     expected = [(k, *f) for k, text in records for f in (brute(json.loads(text), shape) if text != "null" else brute_null(shape))]
     assert sorted(tuple(r) for r in nested.validate(frame, shape).collect()) == sorted(expected)
+
+
+def test_progress_rows_hold_no_bitmaps(spark):
+    events = spark.createDataFrame([("a", k, "checked", 40_000 * k) for k in range(50)] + [("a", 60, "other", 3)], "doc string, seq long, kind string, page long")
+    made = progress.delta(events, ("checked",))
+    assert made.count() == 51 and "binary" not in {t for _, t in made.dtypes}
