@@ -5,14 +5,19 @@ every row at once: the first, in order, that an accepted row lets pass. These
 successors are found by windows over fine keys, and the accepted rows are those that
 can be reached from each key's first one. Pointer doubling finds them in as many
 rounds as the longest chain has binary digits, so one key with a third of all rows
-is spread over all tasks like any other.
+is spread over all tasks like any other. Requests under a budget have so many short
+steps that their chains are first contracted, block by block.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
+from operator import or_
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
@@ -103,16 +108,44 @@ def versioned(objects: DataFrame, changes: DataFrame, transitions: Sequence[tupl
     return changes.join(found, ["key", "place"], "left").withColumn("accepted", F.coalesce("accepted", F.lit(False)))
 
 
-def _running(rows: DataFrame, names: Sequence[str], value: str, out: str) -> DataFrame:
-    """Adds the sum of ``value`` through each row of its key, by blocks, so that no key is summed in one task."""
-    sums = rows.groupBy(*names, "block").agg(F.sum(value).alias("_sum"))
-    before = Window.partitionBy(*names).orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    sums = sums.select(*names, "block", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_before"))
-    inside = Window.partitionBy(*names, "block").orderBy("place").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return rows.join(sums, [*names, "block"]).withColumn(out, F.col("_before") + F.sum(value).over(inside)).drop("_before")
+#: Items of a block, which one task folds.
+BLOCK_ROWS = 1 << 16
 
 
-def packed(items: DataFrame, keys: Sequence[str], place: str, size: str, budget: int) -> DataFrame:
+def _requests(sizes: np.ndarray, firsts: np.ndarray, budget: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of a block whose keys begin at ``firsts``: sums before and through each item within its key, the end of its key, and where the next request begins if one begins with it."""
+    ends = np.cumsum(sizes)
+    lengths = np.diff(np.append(firsts, len(sizes)))
+    stop = np.repeat(firsts + lengths, lengths)
+    after = np.searchsorted(ends, ends - sizes + budget, "right")
+    before = np.repeat((ends - sizes)[firsts], lengths)
+    return ends - sizes - before, ends - before, stop, np.minimum(np.maximum(after, np.arange(1, len(sizes) + 1)), stop)
+
+
+def _ways(sizes: np.ndarray, firsts: np.ndarray, budget: int) -> dict[str, np.ndarray]:
+    """The items that a request from before the block may give way to, and the place and number of the last of the requests that follow from each."""
+    begin, end, stop, after = _requests(sizes, firsts, budget)
+    last, count = list(range(len(sizes))), [1] * len(sizes)
+    for i, (n, s) in reversed(list(enumerate(zip(after.tolist(), stop.tolist(), strict=True)))):
+        if n < s:
+            last[i], count[i] = last[n], count[n] + 1
+    at = np.flatnonzero(begin <= budget)
+    return {"at": at, "end": end[at], "last": begin[np.array(last)[at]], "n": np.array(count)[at], "total": end[stop[at] - 1], "beyond": stop[at]}
+
+
+def _numbers(sizes: np.ndarray, firsts: np.ndarray, entries: list[int | None], before: np.ndarray, budget: int) -> np.ndarray:
+    """Each item's request, if of each key ``before`` ones began before the block, and at ``entries`` the first within it."""
+    _, _, stop, after = _requests(sizes, firsts, budget)
+    begins, after = np.zeros(len(sizes), np.int64), after.tolist()
+    for at, end in zip(entries, stop[firsts].tolist(), strict=True):
+        while at is not None and at < end:
+            begins[at] = 1
+            at = after[at]
+    total = np.cumsum(begins)
+    return total + np.repeat(before - (total - begins)[firsts], np.diff(np.append(firsts, len(sizes))))
+
+
+def packed(items: DataFrame, keys: Sequence[str], place: str, size: str, budget: int, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """``items`` with ``request``, from 1: a key's items go in order into requests of at most ``budget``.
 
     An item joins the request of the one before it if it fits, else it begins the next
@@ -120,26 +153,58 @@ def packed(items: DataFrame, keys: Sequence[str], place: str, size: str, budget:
     its own. Sizes are whole numbers; null and negative ones
     count as 0. ``place`` is unique within a key. Rows with a null key or place get no
     request; an empty table stays empty.
+
+    Items are cut, in order, into blocks of ``block_rows``. A block tells for each of the few
+    items that a request from before it can give way to where the last request that follows
+    begins. Pointer doubling goes over these only, so its rows and rounds follow the blocks;
+    then every block numbers its items.
     """
-    names = [f"_k{i}" for i in range(len(keys))]
-    rows = items.dropna(subset=[*keys, place]).select(*[F.col(c).alias(n) for c, n in zip(keys, names, strict=True)], F.col(place).alias("place"), F.greatest(F.coalesce(F.col(size), F.lit(0)), F.lit(0)).cast("long").alias("size"))
-    rows = kept(rows.repartitionByRange(*names, "place").withColumn("block", F.spark_partition_id()), "items")
-    width = budget + 1
-    rows = _running(rows, names, "size", "end").withColumn("node", F.struct(*names, "place"))
-    rows = kept(rows.withColumn("span", F.floor(F.col("end") / width)), "items")
-    part, order = [*names, "span"], ["end", "place", "after"]
-    # The next request begins with the first item that ends beyond this one's budget, or follows an item that is too large itself.
-    full = F.col("end") - F.col("size") + width
-    alone = full <= F.col("end")
-    ask = rows.select(*names, F.when(alone, F.col("end")).otherwise(full).alias("end"), F.when(alone, F.col("place")).alias("place"), F.when(alone, 1).otherwise(0).alias("after"), F.col("node").alias("of"))
-    ask = ask.withColumn("span", F.floor(F.col("end") / width))
-    near = first_from(rows.withColumn("after", F.lit(0)), ask, part, order)
-    spans = rows.groupBy(*part).agg(F.min(F.struct("end", "place")).alias("f")).select(*part, F.struct(*names, F.col("f.place").alias("place")).alias("node"))
+    names, width = [f"_k{i}" for i in range(len(keys))], budget + 1
+    lost = reduce(or_, [F.col(c).isNull() | F.isnan(c) if items.schema[c].dataType.typeName() in ("float", "double") else F.col(c).isNull() for c in [*keys, place]])
+    weight = F.greatest(F.coalesce(F.col(size), F.lit(0)), F.lit(0)).cast("long").alias("size")
+    rows = items.where(~lost).select(*[F.col(c).alias(n) for c, n in zip(keys, names, strict=True)], F.col(place).alias("place"), weight, F.struct(*[F.col(c) for c in items.columns]).alias("item"))
+    rows = rows.repartitionByRange(*names, "place").sortWithinPartitions(*names, "place").withColumn("row", F.monotonically_increasing_id())
+    rows = kept(rows.drop("place").withColumn("block", F.floor(F.col("row") / block_rows)), "items")
+
+    def ways(table: pa.Table) -> pa.Table:
+        table = table.sort_by("row")
+        new = np.zeros(len(table), bool)
+        for n in names:
+            column = table[n].combine_chunks()
+            new[1:] |= pc.not_equal(column[1:], column[:-1]).to_numpy(zero_copy_only=False)
+        new[0] = True
+        row, told = table["row"].to_numpy(), _ways(table["size"].to_numpy(), np.flatnonzero(new), budget)
+        at, beyond = told.pop("at"), told.pop("beyond")
+        return pa.table({n: table[n].take(pa.array(at)) for n in (*names, "block", "row")} | told | {"beyond": row[beyond - 1] + 1})
+
+    types = ", ".join(f"{n} {rows.schema[n].dataType.simpleString()}" for n in names)
+    found = kept(rows.select(*names, "block", "row", "size").groupBy("block").applyInArrow(ways, f"{types}, block long, row long, `end` long, last long, n long, total long, beyond long"), "ways")
+    earlier = Window.partitionBy(*names).orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    sums = found.groupBy(*names, "block").agg(F.min("row").alias("first"), F.first("total").alias("total"))
+    sums = sums.withColumn("base", F.coalesce(F.sum("total").over(earlier), F.lit(0))).drop("total")
+    found = found.join(sums, [*names, "block"]).withColumn("node", F.struct(*names, "row"))
+    # The next request begins with the first item beyond the block that ends beyond the last one's budget, or that follows one too large itself.
+    full = F.greatest(F.col("base") + F.col("last") + width, F.col("base") + F.col("total"))
+    span = F.floor(F.col("end") / width).alias("span")
+    entries = kept(found.select(*names, "node", "row", (F.col("base") + F.col("end")).alias("end")).select("*", span), "entries")
+    ask = kept(found.select(*names, F.col("node").alias("of"), F.col("beyond").alias("row"), full.alias("end")).select("*", span), "asked")
+    part = [*names, "span"]
+    near = first_from(entries, ask, part, ["end", "row"])
+    spans = entries.groupBy(*part).agg(F.min("row").alias("row")).select(*part, F.struct(*names, "row").alias("node"))
     asked = ask.select(*names, (F.col("span") + 1).alias("span")).distinct().withColumn("of", F.struct(*part))
     later = first_from(spans, asked, names, ["span"]).select(*[F.col(f"of.{n}").alias(n) for n in names], (F.col("of.span") - 1).alias("span"), F.col("found").alias("beyond"))
     jumps = ask.select(*part, "of").join(near, "of").join(later, part).select(F.col("of").alias("node"), F.coalesce("found", "beyond").alias("next"))
-    starts = rows.groupBy(*names).agg(F.min(F.struct("end", "place")).alias("f")).select(F.struct(*names, F.col("f.place").alias("place")).alias("node"))
-    begun = rows.join(reached(starts, jumps).withColumn("begins", F.lit(1)), "node", "left").withColumn("begins", F.coalesce("begins", F.lit(0)))
-    numbered = _running(begun.select(*names, "place", "block", "begins"), names, "begins", "request").select(*names, F.col("place").alias("_place"), "request")
-    on = [F.col(f"r.{c}") == F.col(f"d.{n}") for c, n in zip(keys, names, strict=True)] + [F.col(f"r.{place}") == F.col("d._place")]
-    return items.alias("r").join(numbered.alias("d"), on, "left").select("r.*", "d.request")
+    starts = entries.groupBy(*names).agg(F.min("row").alias("row")).select(F.struct(*names, "row").alias("node"))
+    entered = found.join(reached(starts, jumps), "node").select(*names, "block", F.col("row").alias("entry"), "n")
+    blocks = sums.join(entered, [*names, "block"], "left").withColumn("before", F.coalesce(F.sum("n").over(earlier), F.lit(0)))
+
+    def number(table: pa.Table, block: pa.Table) -> pa.Table:
+        table, block = table.sort_by("row"), block.sort_by("first")
+        row = table["row"].to_numpy()
+        entries = [None if e is None else int(np.searchsorted(row, e)) for e in block["entry"].to_pylist()]
+        told = _numbers(table["size"].to_numpy(), np.searchsorted(row, block["first"].to_numpy()), entries, block["before"].to_numpy(), budget)
+        return pa.table({"item": table["item"], "request": told})
+
+    told = rows.select("block", "row", "size", "item").groupBy("block").cogroup(blocks.select("block", "first", "entry", "before").groupBy("block"))
+    told = told.applyInArrow(number, f"item {rows.schema['item'].dataType.simpleString()}, request long")
+    return told.select("item.*", "request").union(items.where(lost).withColumn("request", F.lit(None).cast("long")))

@@ -4,6 +4,7 @@ import random
 
 import pytest
 
+from folioforge.operators import chains
 from folioforge.operators.chains import attempts, packed, versioned
 
 ROWS = "k string, j long, at long, id long, ok boolean, node int, span int"
@@ -99,3 +100,19 @@ def test_packed(spark, seed, budget, most):
 
 def test_packed_of_nothing(spark):
     assert packed(spark.createDataFrame([], "k string, place long, size int"), ["k"], "place", "size", 5).collect() == []
+
+
+@pytest.mark.parametrize("seed, budget, most, block", [(1, 10, 7, 3), (2, 10, 40, 8), (3, 0, 1, 5), (4, 1000, 30, 16), (5, 6, 30, 1), (6, 50, 2, 7)])
+def test_packed_over_many_blocks(spark, seed, budget, most, block):
+    chance = random.Random(seed)
+    items = [(chance.choice(["hot"] * 4 + ["b", "", f"k{place % 90}"]), place, chance.choice([None, 0, 0, -3, *range(most + 1)])) for place in range(500)] + [(None, 1000, 5), ("b", None, 5)]
+    got = packed(spark.createDataFrame(items, "k string, node long, size int"), ["k"], "node", "size", budget, block).collect()
+    assert len(got) == len(items) and {(r.k, r.node): r.request for r in got if r.request} == fold_packed(items, budget)
+
+
+def test_packed_doubles_over_blocks_only(spark, monkeypatch):
+    seen, reached = [], chains.reached
+    monkeypatch.setattr(chains, "reached", lambda starts, jumps: seen.append(jumps.count()) or reached(starts, jumps))
+    items = spark.range(20_000).selectExpr("id % 2 AS k", "id AS place", "id % 7 AS size")
+    assert packed(items, ["k"], "place", "size", 12).count() == 20_000
+    assert sum(seen) < 1000
