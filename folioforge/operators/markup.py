@@ -15,7 +15,7 @@ from folioforge.functions import tex
 _KINDS = {
     "issues": (tex.issues, "severity string, code string, line int"),
     "row_issues": (tex.row_issues, "severity string, code string, line int"),
-    "fields": (tex.fields, "field_id string, label string, value string, page int, total int, line int, handwritten boolean, todo string, kind string, checked boolean"),
+    "fields": (None, "field_id string, label string, value string, page int, total int, line int, handwritten boolean, todo string, kind string, checked boolean"),
     "cells": (None, "table_no int, env string, columns int, row_no int, cell_no int, text string, span int"),
 }
 
@@ -28,6 +28,7 @@ def rows_of(docs: DataFrame, kind: str, key: str, text_col: str = "text") -> Dat
     """Rows that ``kind`` finds in each text, with the document's ``key``; null texts give none."""
     found, fields = _KINDS[kind]
     found = found or _cells
+    add = tex.add_fields if kind == "fields" else None
     schema = f"`{key}` {docs.schema[key].dataType.simpleString()}, {fields}"
     names = [f.split()[0] for f in fields.split(", ")]
 
@@ -35,14 +36,18 @@ def rows_of(docs: DataFrame, kind: str, key: str, text_col: str = "text") -> Dat
         arrow = None
         for batch in batches:
             arrow = arrow or pa.schema([batch.schema.field(0), *(pa.field(n, {"string": pa.string(), "int": pa.int32(), "boolean": pa.bool_()}[f.split()[1]]) for n, f in zip(names, fields.split(", "), strict=True))])
-            keys, rows = [], []
+            keys, rows, out = [], [], [[] for _ in names]
             for place, text in enumerate(batch.column(1).to_pylist()):
-                told = found(text) if text is not None else ()
-                keys += [place] * len(told)
-                rows += told
-            if rows and isinstance(rows[0], dict):
-                rows = [tuple(r.values()) for r in rows]
-            out = zip(*rows, strict=True) if rows else [()] * len(names)
+                if text is None:
+                    continue
+                if add:
+                    keys += [place] * add(text, out)
+                else:
+                    told = found(text)
+                    keys += [place] * len(told)
+                    rows += told
+            if rows:
+                out = zip(*rows, strict=True)
             told = [pa.array(c, f.type) for c, f in zip(out, list(arrow)[1:], strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(keys, pa.int64())), *told], schema=arrow)
 
