@@ -27,6 +27,46 @@ def told(spark, batches, delays, timeout, late):
     return sorted(tuple(r) for r in out.collect())
 
 
+class Handle:
+    """State, timers and the calls that reach them."""
+
+    def __init__(self):
+        self.value, self.timers, self.calls = None, [], 0
+
+    def getValueState(self, *_):
+        return self
+
+    def get(self):
+        self.calls += 1
+        return self.value
+
+    def update(self, value):
+        self.calls, self.value = self.calls + 1, value
+
+    def registerTimer(self, timer):
+        self.calls += 1
+        self.timers.append(timer)
+
+    def getCurrentWatermarkInMs(self):
+        return self.mark
+
+
+def test_a_batch_reads_and_writes_a_targets_state_once(spark):
+    rows = spark.createDataFrame([(1, DAY + timedelta(seconds=s), s, r, x) for s, r, x in [(5, "a=b c", "running"), (1, None, "failing"), (9, "", "ended"), (7, None, "odd"), (3, "z", None)]] + [(1, None, 0, "n", "running")], restarts.OBSERVATION)
+    us = F.unix_micros("at")
+    told = rows.select(restarts._packed(us, F.col("seq"), F.col("run"), F.col("status")).alias("told"), us.alias("us")).collect()
+    zero = int(DAY.timestamp()) * 1000
+    assert sorted(restarts._unpacked(r.told)[1:] for r in told if r.told) == [(1, None, "failing"), (3, "z", None), (5, "a=b c", "running"), (7, None, None), (9, "", "ended")]
+    assert all((r.told is None) == (r.us is None) and (r.us is None or restarts._unpacked(r.told)[0] == r.us) for r in told)
+    machine, handle = restarts.Restarts((2000,), 4000), Handle()
+    machine.init(handle)
+    handle.mark = 0
+    assert list(machine.handleInputRows((1,), told, handle)) == [] and handle.calls == 3 and handle.timers == [zero + 1001]
+    handle.mark = zero + 8000
+    notices = [(r.attempt, r.phase, r.at_ms - zero) for r in machine.handleExpiredTimer((1,), handle, None)]
+    assert notices == [(1, "waiting", 1000), (1, "starting", 3000), (1, "succeeded", 5000)] and handle.calls == 6 and handle.timers[1:] == [zero + 9001]
+
+
 def test_a_restart_that_succeeds_and_one_that_times_out(spark):
     rows = [
         (1, 0, 1, "r1", "running"), (1, 10, 2, None, "failing"), (1, 15, 3, None, "failing"), (1, 50, 4, "r1", "running"), (1, 60, 5, "r2", "running"),
